@@ -14,11 +14,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from spindle.functions.vectors import Centers, centers_literal, nearest
+from spindle.functions.vectors import Centers, centers_sql, check_centers, nearest
 from spindle.sources.points import GROUP_A, GROUP_B
 
 # Largest dimension summed with one SUM per coordinate; above it the vector sums go through Spark ML's Summarizer.
-UNROLL_DIM = 128
+UNROLL_DIM = 64
 
 
 def as_centers(centers: Centers) -> list[list[float]]:
@@ -27,7 +27,7 @@ def as_centers(centers: Centers) -> list[list[float]]:
 
 def assign(points: DataFrame, centers: Centers, strategy: str = "auto") -> DataFrame:
     """Points plus ``ci INT`` (nearest centre, lowest index on ties) and ``d2 DOUBLE`` (squared distance)."""
-    nn = nearest(F.col("features"), as_centers(centers), strategy)
+    nn = nearest("features", as_centers(centers), strategy)
     return points.withColumn("_nn", nn).select(
         *[F.col(c) for c in points.columns], F.col("_nn.ci").alias("ci"), F.col("_nn.d2").alias("d2")
     )
@@ -108,14 +108,15 @@ def cluster_stats(points: DataFrame, centers: Centers) -> DataFrame:
 # ---------------------------------------------------------------------------------------------------------------
 
 
-def vector_sum_aggs(vec: Column, dim: int) -> list[Column]:
-    """Aggregate expressions that sum an array column; read back with :func:`vector_sum_value`."""
+def vector_sum_aggs(vec: str, dim: int) -> list[Column]:
+    """Aggregate expressions summing the array column named by SQL text ``vec``; read back with
+    :func:`vector_sum_value` or :func:`vector_sum_column`."""
     if dim <= UNROLL_DIM:
-        return [F.sum(vec.getItem(j)).alias(f"_vs{j}") for j in range(dim)]
+        return [F.expr(f"sum({vec}[{j}])").alias(f"_vs{j}") for j in range(dim)]
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
-    return [Summarizer.sum(array_to_vector(vec)).alias("_vsum")]
+    return [Summarizer.sum(array_to_vector(F.expr(vec))).alias("_vsum")]
 
 
 def vector_sum_value(row: Row, dim: int) -> list[float]:
@@ -127,7 +128,7 @@ def vector_sum_value(row: Row, dim: int) -> list[float]:
 def vector_sum_column(dim: int) -> Column:
     """The summed vector as an ``ARRAY<DOUBLE>`` column, after an aggregation built by :func:`vector_sum_aggs`."""
     if dim <= UNROLL_DIM:
-        return F.array(*[F.col(f"_vs{j}") for j in range(dim)])
+        return F.expr("array(" + ", ".join(f"_vs{j}" for j in range(dim)) + ")")
     from pyspark.ml.functions import vector_to_array
 
     return vector_to_array(F.col("_vsum"))
@@ -140,26 +141,22 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
     numerically stable; one pass replaces a second scan against the means.
     """
     cs = as_centers(centers)
-    dim = len(cs[0])
-    lit_c = centers_literal(cs)
-    assigned = assign(points, cs)
-    own = lit_c.getItem(F.col("ci"))
-    res = [F.col("features").getItem(j) - own.getItem(j) for j in range(dim)]
+    _, dim = check_centers(cs)
+    keys = ["ci", "grp"] if by_group else ["ci"]
+    assigned = assign(points, cs).select(*keys, "features", F.expr(f"{centers_sql(cs)}[ci]").alias("_c"))
     if dim <= UNROLL_DIM:
-        rsq = sum((r * r for r in res[1:]), res[0] * res[0])
-        cols = [F.col("ci"), F.col("grp")] + [r.alias(f"_r{j}") for j, r in enumerate(res)] + [rsq.alias("_rsq")]
-        rvec = F.array(*[F.col(f"_r{j}") for j in range(dim)])
-        proj = assigned.select(*cols)
+        res = [f"(features[{j}] - _c[{j}])" for j in range(dim)]
+        proj = assigned.selectExpr(
+            *keys, *[f"{r} AS _r{j}" for j, r in enumerate(res)], " + ".join(f"{r} * {r}" for r in res) + " AS _rsq"
+        )
+        rvec = "array(" + ", ".join(f"_r{j}" for j in range(dim)) + ")"
+        sums = [F.expr(f"sum(_r{j})").alias(f"_vs{j}") for j in range(dim)]
     else:
-        diff = F.zip_with(F.col("features"), own, lambda a, b: a - b)
-        proj = assigned.select("ci", "grp", diff.alias("_rv")).withColumn(
-            "_rsq", F.aggregate(F.col("_rv"), F.lit(0.0), lambda s, y: s + y * y)
+        proj = assigned.selectExpr(*keys, "zip_with(features, _c, (a, b) -> a - b) AS _rv").selectExpr(
+            *keys, "_rv", "aggregate(_rv, 0D, (s, y) -> s + y * y) AS _rsq"
         )
-        rvec = F.col("_rv")
-    keys = ["ci", "grp"] if by_group else ["ci"]
-    return proj.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_rsq").alias("rsq"), *vector_sum_aggs(rvec, dim)
-    )
+        sums = vector_sum_aggs("_rv", dim)
+    return proj.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("_rsq").alias("rsq"), *sums)
 
 
 # ---------------------------------------------------------------------------------------------------------------

@@ -143,7 +143,7 @@ def q_cluster_ab_outer_join(dataset):
 
         def side(g: str, tag: str) -> DataFrame:
             s = a.where(F.col("grp") == g).groupBy("ci").agg(
-                F.count(F.lit(1)).alias(f"n_{tag}"), *clu.vector_sum_aggs(F.col("features"), dim)
+                F.count(F.lit(1)).alias(f"n_{tag}"), *clu.vector_sum_aggs("features", dim)
             )
             return s.select("ci", f"n_{tag}", clu.vector_sum_column(dim).alias(f"s_{tag}"))
 
