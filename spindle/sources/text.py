@@ -9,8 +9,8 @@ from spindle.functions.text import parse_item
 
 
 def read_docs(spark: SparkSession, path: str) -> DataFrame:
-    """One document per text line: ``(text STRING)``."""
-    return spark.read.text(path).select(F.col("value").alias("text"))
+    """One document per text line: ``(doc_id BIGINT, text STRING)``; the id is unique but position-derived."""
+    return spark.read.text(path).select(F.monotonically_increasing_id().alias("doc_id"), F.col("value").alias("text"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
