@@ -241,3 +241,18 @@ def centers_df(spark, centers: Centers) -> DataFrame:
     """Centres in long form ``(ci INT, j INT, value DOUBLE)``."""
     rows = [(i, j, float(x)) for i, c in enumerate(centers) for j, x in enumerate(c)]
     return spark.createDataFrame(rows, "ci INT, j INT, value DOUBLE")
+
+
+class ClusteringReport:
+    """The quality report of one clustering: sizes, Δ, Φ and per-centre group counts (two jobs over the points)."""
+
+    def __init__(self, centers: list[list[float]], summary: DataFrame, stats: DataFrame):
+        self.centers = centers
+        self.summary = summary  # one row: n, n_a, n_b, delta, phi
+        self.stats = stats  # (ci, center, n_a, n_b)
+
+
+def clustering_report(points: DataFrame, k: int, rounds: int, init: Centers | str = "k-means||", seed: int = 48):
+    """k-means (Spark ML with k-means|| seeding, or deterministic Lloyd from given centres), then its report."""
+    cs = kmeans(points, k, rounds, seed=seed) if isinstance(init, str) else lloyd(points, init, rounds)
+    return ClusteringReport(cs, objectives(points, cs), cluster_stats(points, cs))

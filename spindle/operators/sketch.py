@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -126,7 +127,7 @@ def count_sketch_estimate(keys: DataFrame, cs: DataFrame, fam: HashFamily) -> Da
 
 @dataclass
 class HeavyHitters:
-    """Every relation of a heavy-hitter run; all lazy DataFrames."""
+    """Every relation of a heavy-hitter run; lazy DataFrames over one aggregated state (see :func:`cell_state`)."""
 
     freq: DataFrame
     cm: DataFrame
@@ -135,6 +136,11 @@ class HeavyHitters:
     report: DataFrame
     summary: DataFrame
     listing: DataFrame
+    state: DataFrame | None = None
+
+    def release(self) -> None:
+        if self.state is not None:
+            self.state.unpersist()
 
 
 def error_report(top: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily) -> DataFrame:
@@ -151,12 +157,89 @@ def error_report(top: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily)
     )
 
 
-def heavy_hitters(items: DataFrame, fam: HashFamily, k: int) -> HeavyHitters:
-    """The full batch report over an item relation (all lines count as processed, parsed or not)."""
-    freq = item_frequency(items)
-    cm = count_min_cells(items, fam)
-    cs = count_sketch_cells(items, fam)
-    return hh_from_tables(items.agg(F.count(F.lit(1)).alias("processed")), freq, cm, cs, fam, k)
+# ---------------------------------------------------------------------------------------------------------------
+# One pass for every table: tagged cells
+# ---------------------------------------------------------------------------------------------------------------
+
+CELL_SCHEMA = "tag STRING, a BIGINT, b BIGINT, v BIGINT"
+
+
+def tagged_cells(items: DataFrame, fam: HashFamily, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every line's contributions ``(tag, a, b, v)``:
+
+    * ``('p', 0, 0, 1)``            a processed line, parsed or not;
+    * ``('f', item, 0, 1)``         the exact histogram;
+    * ``('cm', row, col, 1)`` x D   Count-Min;
+    * ``('cs', row, col, ±1)`` x D  Count-Sketch.
+
+    One ``groupBy(tag, a, b).sum(v)`` over them builds all four relations from a single scan and a single shuffle;
+    map-side partial aggregation collapses a hot item to one row per task.
+    """
+    item = F.col("item")
+    one = F.lit(1).cast("bigint")
+    zero = F.lit(0).cast("bigint")
+
+    def cell(tag: str, a: Column, b: Column, v: Column) -> Column:
+        return F.struct(F.lit(tag).alias("tag"), a.alias("a"), b.alias("b"), v.alias("v"))
+
+    parsed = [cell("f", item, zero, one)]
+    for h in fam.rows:
+        r = F.lit(h.row).cast("bigint")
+        parsed.append(cell("cm", r, hash_col(item, h.a_cm, h.b_cm, fam.width, fam.prime), one))
+        parsed.append(
+            cell(
+                "cs",
+                r,
+                hash_col(item, h.a_cs, h.b_cs, fam.width, fam.prime),
+                sign_col(item, h.a_sg, h.b_sg, fam.prime),
+            )
+        )
+    processed = F.array(cell("p", zero, zero, one))
+    all_cells = F.when(item.isNotNull(), F.concat(processed, F.array(*parsed))).otherwise(processed)
+    return items.select(*keep, F.inline(all_cells))
+
+
+def cell_state(items: DataFrame, fam: HashFamily, by: tuple[str, ...] = ()) -> DataFrame:
+    """``([by...,] tag, a, b, v)``: the summed cells (optionally per batch)."""
+    return (
+        tagged_cells(items, fam, keep=by)
+        .groupBy(*by, "tag", "a", "b")
+        .agg(F.sum("v").cast("bigint").alias("v"))
+    )
+
+
+def tables_from_cells(state: DataFrame):
+    """``(processed, freq, cm, cs)`` relations from a ``(tag, a, b, v)`` state table."""
+    processed = state.where(F.col("tag") == "p").agg(
+        F.coalesce(F.sum("v"), F.lit(0)).cast("bigint").alias("processed")
+    )
+    freq = state.where(F.col("tag") == "f").select(F.col("a").alias("item"), F.col("v").alias("n"))
+    cm = state.where(F.col("tag") == "cm").select(F.col("a").cast("int").alias("row"), F.col("b").alias("col"), "v")
+    cs = state.where(F.col("tag") == "cs").select(F.col("a").cast("int").alias("row"), F.col("b").alias("col"), "v")
+    return processed, freq, cm, cs
+
+
+def heavy_hitters(items: DataFrame, fam: HashFamily, k: int, threshold: int | None = None) -> HeavyHitters:
+    """The full batch report over an item relation (every line counts as processed, parsed or not).
+
+    With ``threshold`` the items carry a ``batch`` column and only the batches taken under the stop rule count
+    (see :func:`batch_sizes`); the per-batch partial cells are built in the same single pass.
+    The aggregated state is persisted (it is read by every relation of the report); call ``release()``.
+    """
+    if threshold is None:
+        state = cell_state(items, fam)
+    else:
+        per_batch = cell_state(items, fam, by=("batch",))
+        sizes = per_batch.where(F.col("tag") == "p").select("batch", F.col("v").alias("size"))
+        last = _taken(sizes, threshold).agg(F.max("batch")).scalar()
+        state = (
+            per_batch.where(F.col("batch") <= last).groupBy("tag", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
+        )
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    processed, freq, cm, cs = tables_from_cells(state)
+    hh = hh_from_tables(processed, freq, cm, cs, fam, k)
+    hh.state = state
+    return hh
 
 
 def hh_from_tables(
@@ -186,14 +269,18 @@ def hh_from_tables(
 # ---------------------------------------------------------------------------------------------------------------
 
 
+def _taken(sizes: DataFrame, threshold: int) -> DataFrame:
+    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
+    with_before = sizes.withColumn("before", F.coalesce(F.sum("size").over(w), F.lit(0)).cast("bigint"))
+    return with_before.where(F.col("before") < F.lit(threshold))
+
+
 def batch_sizes(items: DataFrame, threshold: int) -> DataFrame:
     """``(batch, size, before)`` for the batches that are taken: a batch is taken whole iff the items of all
     earlier batches number fewer than ``threshold``.  One row per batch, so the running total is a window over
     a small relation."""
     sizes = items.groupBy("batch").agg(F.count(F.lit(1)).alias("size"))
-    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
-    with_before = sizes.withColumn("before", F.coalesce(F.sum("size").over(w), F.lit(0)).cast("bigint"))
-    return with_before.where(F.col("before") < F.lit(threshold))
+    return _taken(sizes, threshold)
 
 
 def bounded_items(items: DataFrame, threshold: int) -> DataFrame:

@@ -127,8 +127,8 @@ def q_kmeans_lloyd(dataset):
 def q_clustering_report(dataset):
     def q(spark, sf):
         p = _points(spark, sf, dataset)
-        c = clu.lloyd(p, _init(p), M)
-        return clu.objectives(p, c).select("n", "n_a", "n_b", rnd("delta"), rnd("phi"))
+        rep = clu.clustering_report(p, K, M, init=_init(p))
+        return rep.summary.select("n", "n_a", "n_b", rnd("delta"), rnd("phi"))
 
     return q
 
@@ -314,8 +314,7 @@ def q_bounded_stream(spark, sf):
 
 
 def q_bounded_hh_summary(spark, sf):
-    items = sk.bounded_items(event_items(spark, sf), STREAM_T)
-    hh = sk.heavy_hitters(items, FAM, HH_K)
+    hh = sk.heavy_hitters(event_items(spark, sf), FAM, HH_K, threshold=STREAM_T)
     return hh.summary.select("processed", "n_distinct", "n_top", rnd("avg_err_cm"), rnd("avg_err_cs"))
 
 

@@ -28,14 +28,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spindle.functions.hashing import HashFamily, hash_col, sign_col
+from spindle.functions.hashing import HashFamily
 from spindle.functions.text import parse_item
-from spindle.operators.sketch import HeavyHitters, hh_from_tables
+from spindle.operators.sketch import CELL_SCHEMA, HeavyHitters, hh_from_tables, tables_from_cells, tagged_cells
 from spindle.session import work_path
 
-CELL_SCHEMA = "tag STRING, a BIGINT, b BIGINT, v BIGINT"
-
-
 def item_stream(
     spark: SparkSession,
     directory: str,
@@ -64,38 +61,8 @@ def item_stream(
 
 
 def cells(lines: DataFrame, fam: HashFamily) -> DataFrame:
-    """``(tag, a, b, v)`` contributions of every line (see module doc)."""
-    item = parse_item(F.col("value"))
-    one = F.lit(1).cast("bigint")
-    zero = F.lit(0).cast("bigint")
-
-    def cell(tag: str, a: Column, b: Column, v: Column) -> Column:
-        return F.struct(F.lit(tag).alias("tag"), a.alias("a"), b.alias("b"), v.alias("v"))
-
-    parsed = [cell("f", F.col("item"), zero, one)]
-    for h in fam.rows:
-        r = F.lit(h.row).cast("bigint")
-        parsed.append(cell("cm", r, hash_col(F.col("item"), h.a_cm, h.b_cm, fam.width, fam.prime), one))
-        parsed.append(
-            cell(
-                "cs",
-                r,
-                hash_col(F.col("item"), h.a_cs, h.b_cs, fam.width, fam.prime),
-                sign_col(F.col("item"), h.a_sg, h.b_sg, fam.prime),
-            )
-        )
-    processed = F.array(cell("p", zero, zero, one))
-    all_cells = F.when(F.col("item").isNotNull(), F.concat(processed, F.array(*parsed))).otherwise(processed)
-    return lines.select(item.alias("item")).select(F.inline(all_cells))
-
-
-def tables_from_cells(state: DataFrame):
-    """``(processed, freq, cm, cs)`` relations from a ``(tag, a, b, v)`` state table."""
-    processed = state.where(F.col("tag") == "p").select(F.col("v").alias("processed"))
-    freq = state.where(F.col("tag") == "f").select(F.col("a").alias("item"), F.col("v").alias("n"))
-    cm = state.where(F.col("tag") == "cm").select(F.col("a").cast("int").alias("row"), F.col("b").alias("col"), "v")
-    cs = state.where(F.col("tag") == "cs").select(F.col("a").cast("int").alias("row"), F.col("b").alias("col"), "v")
-    return processed, freq, cm, cs
+    """``(tag, a, b, v)`` contributions of every line (see :func:`spindle.operators.sketch.tagged_cells`)."""
+    return tagged_cells(lines.select(parse_item(F.col("value")).alias("item")), fam)
 
 
 def _latest(spark: SparkSession, out_dir: str, keys: list[str], value: str, schema: str) -> DataFrame:
@@ -136,8 +103,7 @@ class RunningState:
 
     def report(self, fam: HashFamily, k: int) -> HeavyHitters:
         processed, freq, cm, cs = self.tables()
-        total = processed.agg(F.coalesce(F.sum("processed"), F.lit(0)).cast("bigint").alias("processed"))
-        return hh_from_tables(total, freq, cm, cs, fam, k)
+        return hh_from_tables(processed, freq, cm, cs, fam, k)
 
 
 def start_running_state(
@@ -238,8 +204,7 @@ class BoundedRun:
 
     def report(self, fam: HashFamily, k: int) -> HeavyHitters:
         processed, freq, cm, cs = tables_from_cells(self.sink.state(self.spark))
-        total = processed.agg(F.coalesce(F.sum("processed"), F.lit(0)).cast("bigint").alias("processed"))
-        return hh_from_tables(total, freq, cm, cs, fam, k)
+        return hh_from_tables(processed, freq, cm, cs, fam, k)
 
 
 def run_bounded(
