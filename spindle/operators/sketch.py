@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.functions.hashing import HashFamily, hash_col, sign_col
+from spindle.session import spread
 
 
 def valid(items: DataFrame) -> DataFrame:
@@ -66,6 +67,18 @@ def sketch_cells(items: DataFrame, fam: HashFamily, kind: str = "cm") -> DataFra
     )
 
 
+def sketch_from_freq(freq: DataFrame, fam: HashFamily, kind: str = "cm") -> DataFrame:
+    """The same table built from an exact histogram ``(item, n)``: each distinct item adds ``n`` (or ``n * sign``)
+    to its D cells, so the work is D per distinct item instead of D per line."""
+    if kind not in ("cm", "cs"):
+        raise ValueError("kind must be 'cm' or 'cs'")
+    return (
+        freq.select("n", F.inline(_cells(F.col("item"), fam, kind)))
+        .groupBy("row", "col")
+        .agg(F.sum(F.col("w") * F.col("n")).cast("bigint").alias("v"))
+    )
+
+
 def count_min_cells(items: DataFrame, fam: HashFamily) -> DataFrame:
     return sketch_cells(items, fam, "cm")
 
@@ -161,16 +174,17 @@ def error_report(top: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily)
 # One pass for every table: tagged cells
 # ---------------------------------------------------------------------------------------------------------------
 
-CELL_SCHEMA = "tag STRING, a BIGINT, b BIGINT, v BIGINT"
+CELL_SCHEMA = "tag INT, a BIGINT, b BIGINT, v BIGINT"
+TAG_P, TAG_F, TAG_CM, TAG_CS = 0, 1, 2, 3
 
 
 def tagged_cells(items: DataFrame, fam: HashFamily, keep: tuple[str, ...] = ()) -> DataFrame:
     """Every line's contributions ``(tag, a, b, v)``:
 
-    * ``('p', 0, 0, 1)``            a processed line, parsed or not;
-    * ``('f', item, 0, 1)``         the exact histogram;
-    * ``('cm', row, col, 1)`` x D   Count-Min;
-    * ``('cs', row, col, ±1)`` x D  Count-Sketch.
+    * ``(TAG_P, 0, 0, 1)``              a processed line, parsed or not;
+    * ``(TAG_F, item, 0, 1)``           the exact histogram;
+    * ``(TAG_CM, row, col, 1)`` x D     Count-Min;
+    * ``(TAG_CS, row, col, ±1)`` x D    Count-Sketch.
 
     One ``groupBy(tag, a, b).sum(v)`` over them builds all four relations from a single scan and a single shuffle;
     map-side partial aggregation collapses a hot item to one row per task.
@@ -179,22 +193,22 @@ def tagged_cells(items: DataFrame, fam: HashFamily, keep: tuple[str, ...] = ())
     one = F.lit(1).cast("bigint")
     zero = F.lit(0).cast("bigint")
 
-    def cell(tag: str, a: Column, b: Column, v: Column) -> Column:
+    def cell(tag: int, a: Column, b: Column, v: Column) -> Column:
         return F.struct(F.lit(tag).alias("tag"), a.alias("a"), b.alias("b"), v.alias("v"))
 
-    parsed = [cell("f", item, zero, one)]
+    parsed = [cell(TAG_F, item, zero, one)]
     for h in fam.rows:
         r = F.lit(h.row).cast("bigint")
-        parsed.append(cell("cm", r, hash_col(item, h.a_cm, h.b_cm, fam.width, fam.prime), one))
+        parsed.append(cell(TAG_CM, r, hash_col(item, h.a_cm, h.b_cm, fam.width, fam.prime), one))
         parsed.append(
             cell(
-                "cs",
+                TAG_CS,
                 r,
                 hash_col(item, h.a_cs, h.b_cs, fam.width, fam.prime),
                 sign_col(item, h.a_sg, h.b_sg, fam.prime),
             )
         )
-    processed = F.array(cell("p", zero, zero, one))
+    processed = F.array(cell(TAG_P, zero, zero, one))
     all_cells = F.when(item.isNotNull(), F.concat(processed, F.array(*parsed))).otherwise(processed)
     return items.select(*keep, F.inline(all_cells))
 
@@ -202,7 +216,7 @@ def tagged_cells(items: DataFrame, fam: HashFamily, keep: tuple[str, ...] = ())
 def cell_state(items: DataFrame, fam: HashFamily, by: tuple[str, ...] = ()) -> DataFrame:
     """``([by...,] tag, a, b, v)``: the summed cells (optionally per batch)."""
     return (
-        tagged_cells(items, fam, keep=by)
+        tagged_cells(spread(items), fam, keep=by)
         .groupBy(*by, "tag", "a", "b")
         .agg(F.sum("v").cast("bigint").alias("v"))
     )
@@ -210,35 +224,32 @@ def cell_state(items: DataFrame, fam: HashFamily, by: tuple[str, ...] = ()) -> D
 
 def tables_from_cells(state: DataFrame):
     """``(processed, freq, cm, cs)`` relations from a ``(tag, a, b, v)`` state table."""
-    processed = state.where(F.col("tag") == "p").agg(
+    processed = state.where(F.col("tag") == TAG_P).agg(
         F.coalesce(F.sum("v"), F.lit(0)).cast("bigint").alias("processed")
     )
-    freq = state.where(F.col("tag") == "f").select(F.col("a").alias("item"), F.col("v").alias("n"))
-    cm = state.where(F.col("tag") == "cm").select(F.col("a").cast("int").alias("row"), F.col("b").alias("col"), "v")
-    cs = state.where(F.col("tag") == "cs").select(F.col("a").cast("int").alias("row"), F.col("b").alias("col"), "v")
+    freq = state.where(F.col("tag") == TAG_F).select(F.col("a").alias("item"), F.col("v").alias("n"))
+    cm = state.where(F.col("tag") == TAG_CM).select(F.col("a").cast("int").alias("row"), F.col("b").alias("col"), "v")
+    cs = state.where(F.col("tag") == TAG_CS).select(F.col("a").cast("int").alias("row"), F.col("b").alias("col"), "v")
     return processed, freq, cm, cs
 
 
 def heavy_hitters(items: DataFrame, fam: HashFamily, k: int, threshold: int | None = None) -> HeavyHitters:
     """The full batch report over an item relation (every line counts as processed, parsed or not).
 
-    With ``threshold`` the items carry a ``batch`` column and only the batches taken under the stop rule count
-    (see :func:`batch_sizes`); the per-batch partial cells are built in the same single pass.
-    The aggregated state is persisted (it is read by every relation of the report); call ``release()``.
+    One scan and one shuffle build the exact histogram, with unparsed lines kept as the NULL group; it is persisted
+    (every relation of the report reads it) and both sketches are derived from its distinct items.  With
+    ``threshold`` the items carry a ``batch`` column and only the batches taken under the stop rule count (see
+    :func:`bounded_items`).  Call ``release()`` when done.
     """
-    if threshold is None:
-        state = cell_state(items, fam)
-    else:
-        per_batch = cell_state(items, fam, by=("batch",))
-        sizes = per_batch.where(F.col("tag") == "p").select("batch", F.col("v").alias("size"))
-        last = _taken(sizes, threshold).agg(F.max("batch")).scalar()
-        state = (
-            per_batch.where(F.col("batch") <= last).groupBy("tag", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
-        )
-    state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    processed, freq, cm, cs = tables_from_cells(state)
+    if threshold is not None:
+        items = bounded_items(items, threshold)
+    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    processed = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("processed"))
+    freq = counts.where(F.col("item").isNotNull())
+    cm = sketch_from_freq(freq, fam, "cm")
+    cs = sketch_from_freq(freq, fam, "cs")
     hh = hh_from_tables(processed, freq, cm, cs, fam, k)
-    hh.state = state
+    hh.state = counts
     return hh
 
 

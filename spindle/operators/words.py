@@ -13,15 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindle.functions.text import utf16_length, words
+from spindle.session import spread
 
 
 def tokens(docs: DataFrame) -> DataFrame:
     """``(doc_id, word)``, one row per token."""
-    return docs.select("doc_id", F.explode(words(F.col("text"))).alias("word"))
+    return spread(docs).select("doc_id", F.explode(words(F.col("text"))).alias("word"))
 
 
 def tokens_with_pos(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
+    return spread(docs).select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
 
 
 def doc_count(docs: DataFrame) -> DataFrame:

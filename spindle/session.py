@@ -49,3 +49,16 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the shared checkpoint folder, unique per call."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "spindle", *parts, uuid.uuid4().hex])
+
+
+def spread(df):
+    """Repartition ``df`` round-robin to the default parallelism when it has fewer partitions than that.
+
+    Iterative jobs scan their cached input once per round, so an input read as a handful of splits (a file with a
+    single row group) would keep most cores idle in every round.  On a cluster reading many file splits the
+    condition is false and nothing is shuffled.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
