@@ -239,7 +239,7 @@ def cluster_ab_outer_join(dataset: str, k: int) -> str:
 def fair_cluster_stats(dataset: str, k: int) -> str:
     return _with(
         _base(dataset, k) + [f"fc0 AS (SELECT * FROM c0)"] + _fair_stats("f", 0),
-        f"SELECT cl.ci, cl.j, k.n_a, k.n_b, round(k.alpha, {R}) AS alpha, round(k.beta, {R}) AS beta, "
+        f"SELECT cl.ci, CAST(cl.j AS INTEGER) AS j, k.n_a, k.n_b, round(k.alpha, {R}) AS alpha, round(k.beta, {R}) AS beta, "
         f"round(k.ell, {R}) AS ell, round(cl.mu_a, {R}) AS mu_a, round(cl.mu_b, {R}) AS mu_b "
         "FROM fcl0 cl JOIN fk0 k USING (ci)",
     )

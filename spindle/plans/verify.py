@@ -18,6 +18,16 @@ TABLES = (
 ).split()
 
 
+SPARK_TO_DUCK = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def duckdb_con(sf_dir: str):
     import duckdb
 
@@ -31,7 +41,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6) + 0.0
+        return v + 0.0  # exact: both sides already round to 6 decimals
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
@@ -67,6 +77,11 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     if sorted(s_cols) != sorted(d_cols):
         out["status"] = f"columns differ: {sorted(s_cols)} vs {sorted(d_cols)}"
         return out
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if bad_types:
+        out["types"] = bad_types
     a, b = _canon(s_cols, s_rows), _canon(d_cols, d_rows)
     if a == b:
         out["status"] = "match"
