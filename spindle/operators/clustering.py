@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from spindle.functions.vectors import Centers, centers_sql, check_centers, nearest
+from spindle.functions.vectors import Centers, centers_sql, check_centers, choose_strategy, nearest
 from spindle.session import spread
 from spindle.sources.points import GROUP_A, GROUP_B
 
@@ -27,9 +27,34 @@ def as_centers(centers: Centers) -> list[list[float]]:
     return [[float(x) for x in c] for c in centers]
 
 
+def _kernels():
+    """The Arrow kernel module, pickled by value so that executors need only numpy and pyarrow."""
+    from pyspark import cloudpickle
+
+    from spindle.functions import arrow_kernels
+
+    cloudpickle.register_pickle_by_value(arrow_kernels)
+    return arrow_kernels
+
+
+def _broadcast_centers(spark, cs: list[list[float]]):
+    import numpy as np
+
+    return spark.sparkContext.broadcast(np.asarray(cs, dtype=np.float64))
+
+
 def assign(points: DataFrame, centers: Centers, strategy: str = "auto") -> DataFrame:
     """Points plus ``ci INT`` (nearest centre, lowest index on ties) and ``d2 DOUBLE`` (squared distance)."""
-    nn = nearest("features", as_centers(centers), strategy)
+    cs = as_centers(centers)
+    if choose_strategy(cs, strategy) == "arrow":
+        from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+        assign_batches = _kernels().assign_batches
+        bc = _broadcast_centers(points.sparkSession, cs)
+        extra = [StructField("ci", IntegerType(), False), StructField("d2", DoubleType(), False)]
+        schema = StructType([*points.schema.fields, *extra])
+        return points.mapInArrow(lambda it: assign_batches(it, bc.value), schema)
+    nn = nearest("features", cs, strategy)
     return points.withColumn("_nn", nn).select(
         *[F.col(c) for c in points.columns], F.col("_nn.ci").alias("ci"), F.col("_nn.d2").alias("d2")
     )
@@ -145,6 +170,17 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
     cs = as_centers(centers)
     _, dim = check_centers(cs)
     keys = ["ci", "grp"] if by_group else ["ci"]
+    if choose_strategy(cs) == "arrow":
+        residual_partials = _kernels().residual_partials
+        bc = _broadcast_centers(points.sparkSession, cs)
+        schema = "ci INT, grp STRING, n BIGINT, rsq DOUBLE, rsum ARRAY<DOUBLE>"
+        parts = points.select("features", *(["grp"] if by_group else [])).mapInArrow(
+            lambda it: residual_partials(it, bc.value, by_group), schema
+        )
+        # Each batch emits at most K (x 2) partial rows; the shuffle carries only those.
+        return parts.groupBy(*keys).agg(
+            F.sum("n").cast("bigint").alias("n"), F.sum("rsq").alias("rsq"), *vector_sum_aggs("rsum", dim)
+        )
     assigned = assign(points, cs).select(*keys, "features", F.expr(f"{centers_sql(cs)}[ci]").alias("_c"))
     if dim <= UNROLL_DIM:
         res = [f"(features[{j}] - _c[{j}])" for j in range(dim)]

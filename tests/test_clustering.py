@@ -180,7 +180,35 @@ def test_fair_vs_standard_kmeans_init(spark):
     assert r.phi_standard > 0 and r.phi_fair > 0
 
 
-def test_centre_literal_limits():
-    with pytest.raises(ValueError):
-        V.check_centers([[0.0] * 10] * (V.MAX_LITERAL_CELLS // 10 + 1))
+def test_centre_size_bounds(monkeypatch):
+    assert V.choose_strategy([[0.0] * 2] * 4) == "unrolled"
+    assert V.choose_strategy([[0.0] * 64] * 4) == "arrow"
+    assert V.choose_strategy([[0.0] * 64] * 4, "lambda") == "lambda"
     assert V.dlit(float("nan")).startswith("CAST") and V.dlit(1e-05) == "1e-05D"
+    monkeypatch.setattr(V, "MAX_BROADCAST_CELLS", 100)
+    with pytest.raises(ValueError):
+        V.check_centers([[0.0] * 10] * 11)
+
+
+def test_arrow_path_agrees(spark, monkeypatch):
+    p = embeddings_points(spark, SF001)
+    cs = clu.first_k_centers(p, 4)
+    a = clu.assign(p, cs, "lambda").orderBy("id").collect()
+    b = clu.assign(p, cs, "arrow").orderBy("id").collect()
+    assert [r.ci for r in a] == [r.ci for r in b]
+    assert all(math.isclose(x.d2, y.d2, rel_tol=1e-9) for x, y in zip(a, b))
+    monkeypatch.setattr(V, "LITERAL_CELLS", 10**6)
+    monkeypatch.setattr(V, "UNROLL_CELLS", 10**6)
+    o1 = clu.objectives(p, cs).first()
+    s1 = fair.fair_step(p, cs)
+    monkeypatch.setattr(V, "UNROLL_CELLS", 0)
+    monkeypatch.setattr(V, "LITERAL_CELLS", 0)
+    o2 = clu.objectives(p, cs).first()
+    s2 = fair.fair_step(p, cs)
+    assert (o1.n, o1.n_a, o1.n_b) == (o2.n, o2.n_a, o2.n_b)
+    assert math.isclose(o1.phi, o2.phi, rel_tol=1e-9)
+    assert all(math.isclose(u, v, rel_tol=1e-9, abs_tol=1e-12) for c1, c2 in zip(s1, s2) for u, v in zip(c1, c2))
+    f1 = points_df(spark, F1)
+    assert clu.assign(f1, C1, "arrow").orderBy("id").select("ci").collect() == [(0,), (0,), (1,), (1,)]
+    st = {r.ci: (r.n_a, r.n_b) for r in clu.cluster_stats(f1, C1).collect()}
+    assert st == {0: (2, 0), 1: (0, 2)}
