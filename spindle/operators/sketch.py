@@ -88,7 +88,7 @@ def count_sketch_cells(items: DataFrame, fam: HashFamily) -> DataFrame:
 
 
 def _probe(keys: DataFrame, fam: HashFamily) -> DataFrame:
-    """``(item, row, col_cm, col_cs, sign)``: the D cells each key reads."""
+    """Every key column plus ``(row, col_cm, col_cs, sign)``: the D cells each key reads."""
     item = F.col("item")
     structs = [
         F.struct(
@@ -99,43 +99,48 @@ def _probe(keys: DataFrame, fam: HashFamily) -> DataFrame:
         )
         for h in fam.rows
     ]
-    return keys.select("item", F.inline(F.array(*structs)))
+    return keys.select(*keys.columns, F.inline(F.array(*structs)))
 
 
-def estimates(keys: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily) -> DataFrame:
-    """``(item, est_cm, est_cs)`` for every key: Count-Min = min over rows, Count-Sketch = upper median of the D
-    signed cells (the element at index D div 2 of the sorted values).  A missing cell reads as 0."""
-    probe = _probe(keys.select("item").distinct(), fam)
-    # The sketch tables hold at most D*W rows each.
-    cmb = F.broadcast(cm.select("row", F.col("col").alias("col_cm"), F.col("v").alias("v_cm")))
-    csb = F.broadcast(cs.select("row", F.col("col").alias("col_cs"), F.col("v").alias("v_cs")))
-    joined = probe.join(cmb, ["row", "col_cm"], "left").join(csb, ["row", "col_cs"], "left")
-    signed = F.coalesce(F.col("v_cs"), F.lit(0)) * F.col("sign")
-    return joined.groupBy("item").agg(
-        F.min(F.coalesce(F.col("v_cm"), F.lit(0))).cast("bigint").alias("est_cm"),
-        F.sort_array(F.collect_list(signed)).getItem(fam.depth // 2).cast("bigint").alias("est_cs"),
-    )
+def _unique_keys(keys: DataFrame, unique: bool) -> DataFrame:
+    return keys if unique else keys.select("item").distinct()
 
 
-def count_min_estimate(keys: DataFrame, cm: DataFrame, fam: HashFamily) -> DataFrame:
-    probe = _probe(keys.select("item").distinct(), fam)
-    cmb = F.broadcast(cm.select("row", F.col("col").alias("col_cm"), F.col("v").alias("v_cm")))
-    return (
-        probe.join(cmb, ["row", "col_cm"], "left")
-        .groupBy("item")
-        .agg(F.min(F.coalesce(F.col("v_cm"), F.lit(0))).cast("bigint").alias("est_cm"))
-    )
+def _cm_cells(cm: DataFrame) -> DataFrame:
+    # A sketch table holds at most D*W rows: a proven bound for the broadcast.
+    return F.broadcast(cm.select("row", F.col("col").alias("col_cm"), F.col("v").alias("v_cm")))
+
 
+def _cs_cells(cs: DataFrame) -> DataFrame:
+    return F.broadcast(cs.select("row", F.col("col").alias("col_cs"), F.col("v").alias("v_cs")))
 
-def count_sketch_estimate(keys: DataFrame, cs: DataFrame, fam: HashFamily) -> DataFrame:
-    probe = _probe(keys.select("item").distinct(), fam)
-    csb = F.broadcast(cs.select("row", F.col("col").alias("col_cs"), F.col("v").alias("v_cs")))
+
+def _est_cm() -> Column:
+    return F.min(F.coalesce(F.col("v_cm"), F.lit(0))).cast("bigint").alias("est_cm")
+
+
+def _est_cs(fam: HashFamily) -> Column:
     signed = F.coalesce(F.col("v_cs"), F.lit(0)) * F.col("sign")
-    return (
-        probe.join(csb, ["row", "col_cs"], "left")
-        .groupBy("item")
-        .agg(F.sort_array(F.collect_list(signed)).getItem(fam.depth // 2).cast("bigint").alias("est_cs"))
-    )
+    return F.sort_array(F.collect_list(signed)).getItem(fam.depth // 2).cast("bigint").alias("est_cs")
+
+
+def estimates(keys: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily, unique: bool = False) -> DataFrame:
+    """Key columns plus ``(est_cm, est_cs)``: Count-Min = min over rows, Count-Sketch = upper median of the D
+    signed cells (the element at index D div 2 of the sorted values).  A missing cell reads as 0.  With
+    ``unique=True`` the keys are taken as distinct items and every key column is carried through."""
+    k = _unique_keys(keys, unique)
+    joined = _probe(k, fam).join(_cm_cells(cm), ["row", "col_cm"], "left").join(_cs_cells(cs), ["row", "col_cs"], "left")
+    return joined.groupBy(*k.columns).agg(_est_cm(), _est_cs(fam))
+
+
+def count_min_estimate(keys: DataFrame, cm: DataFrame, fam: HashFamily, unique: bool = False) -> DataFrame:
+    k = _unique_keys(keys, unique)
+    return _probe(k, fam).join(_cm_cells(cm), ["row", "col_cm"], "left").groupBy(*k.columns).agg(_est_cm())
+
+
+def count_sketch_estimate(keys: DataFrame, cs: DataFrame, fam: HashFamily, unique: bool = False) -> DataFrame:
+    k = _unique_keys(keys, unique)
+    return _probe(k, fam).join(_cs_cells(cs), ["row", "col_cs"], "left").groupBy(*k.columns).agg(_est_cs(fam))
 
 
 @dataclass
@@ -157,10 +162,11 @@ class HeavyHitters:
 
 
 def error_report(top: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily) -> DataFrame:
-    """``(item, n, est_cm, est_cs, err_cm, err_cs)`` for the top-K items; err = |n - est| / n."""
-    est = estimates(top, cm, cs, fam)
+    """``(item, n, est_cm, est_cs, err_cm, err_cs)`` for the top-K items; err = |n - est| / n.  The true count
+    rides along through the estimate aggregation, so no join back to the top-K is needed."""
+    est = estimates(top.select("item", "n"), cm, cs, fam, unique=True)
     n = F.col("n").cast("double")
-    return top.join(est, "item").select(
+    return est.select(
         "item",
         "n",
         "est_cm",
@@ -260,16 +266,18 @@ def hh_from_tables(
     top = top_k(freq, k)
     rep = error_report(top, cm, cs, fam)
     stats = rep.agg(
-        F.count(F.lit(1)).alias("n_top"), F.avg("err_cm").alias("avg_err_cm"), F.avg("err_cs").alias("avg_err_cs")
-    )
-    distinct = freq.agg(F.count(F.lit(1)).alias("n_distinct"))
-    # Three one-row relations side by side.
+        F.struct(
+            F.count(F.lit(1)).alias("n_top"), F.avg("err_cm").alias("avg_err_cm"), F.avg("err_cs").alias("avg_err_cs")
+        ).alias("s")
+    ).scalar()
+    distinct = freq.agg(F.count(F.lit(1))).scalar()
+    # One-row relation; the report is evaluated once, as a single scalar subquery returning a struct.
     summary = processed.select(
         F.col("processed").cast("bigint").alias("processed"),
-        distinct.select("n_distinct").scalar().alias("n_distinct"),
-        stats.select("n_top").scalar().alias("n_top"),
-        stats.select("avg_err_cm").scalar().alias("avg_err_cm"),
-        stats.select("avg_err_cs").scalar().alias("avg_err_cs"),
+        distinct.alias("n_distinct"),
+        stats.getField("n_top").alias("n_top"),
+        stats.getField("avg_err_cm").alias("avg_err_cm"),
+        stats.getField("avg_err_cs").alias("avg_err_cs"),
     )
     listing = rep.select("item", "n", "est_cm").orderBy("item")
     return HeavyHitters(freq, cm, cs, top, rep, summary, listing)

@@ -24,6 +24,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -96,7 +97,10 @@ class RunningState:
     spark: SparkSession
 
     def state(self) -> DataFrame:
-        return _latest(self.spark, self.out_dir, ["tag", "a", "b"], "v", CELL_SCHEMA)
+        """The latest value of every state key, persisted: each relation of a report reads it."""
+        return _latest(self.spark, self.out_dir, ["tag", "a", "b"], "v", CELL_SCHEMA).persist(
+            StorageLevel.MEMORY_AND_DISK
+        )
 
     def tables(self):
         return tables_from_cells(self.state())
@@ -203,7 +207,8 @@ class BoundedRun:
     timed_out: bool
 
     def report(self, fam: HashFamily, k: int) -> HeavyHitters:
-        processed, freq, cm, cs = tables_from_cells(self.sink.state(self.spark))
+        state = self.sink.state(self.spark).persist(StorageLevel.MEMORY_AND_DISK)
+        processed, freq, cm, cs = tables_from_cells(state)
         return hh_from_tables(processed, freq, cm, cs, fam, k)
 
 
