@@ -245,7 +245,8 @@ class _Cached:
 
     def __init__(self, df: DataFrame):
         self.owned = not df.storageLevel.useMemory and not df.storageLevel.useDisk
-        self.df = spread(df) if self.owned else df
+        # Only the columns the rounds read are cached.
+        self.df = spread(df.select("features", "grp")) if self.owned else df
 
     def __enter__(self) -> DataFrame:
         if self.owned:
