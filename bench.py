@@ -90,6 +90,14 @@ def suite(spark, sf_dir: str) -> dict[str, float]:
     return q
 
 
+def _sf_value(sf_dir: str):
+    name = os.path.basename(os.path.normpath(sf_dir))
+    try:
+        return float(name[2:]) if name.startswith("sf") else name
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")
@@ -108,7 +116,8 @@ def main() -> None:
                 "value": total,
                 "unit": "sec",
                 "queries": q,
-                "sf": sf_dir,
+                "sf": _sf_value(sf_dir),
+                "sf_dir": sf_dir,
                 "warmup_sec": warmup,
                 "warmup_sf": warm_dir,
             }

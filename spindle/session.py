@@ -35,9 +35,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only when the session has none."""
+    """Return the shared checkpoint folder; set a scratch one only for a local-mode session that has none.
+
+    On a cluster a machine-local folder would not survive the loss of the machine, so the session must name a
+    shared folder in ``spark.checkpoint.dir``.
+    """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...) for this cluster session")
         current = tempfile.mkdtemp(prefix="spindle-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

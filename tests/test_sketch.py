@@ -105,3 +105,14 @@ def test_hash_family_is_seeded():
     assert hash_family(7, 100, seed=48) == hash_family(7, 100, seed=48)
     fam = hash_family(7, 100, seed=48)
     assert all(1 <= r.a_cm <= 8190 and 0 <= r.b_cm <= 8190 for r in fam.rows)
+
+
+def test_top_k_size_invariant(spark):
+    items = lineitem_items(spark, SF001, "l_orderkey")
+    freq = sk.item_frequency(items)
+    distinct = freq.count()
+    for k in (1, 5, 50, distinct + 10):
+        top = sk.top_k(freq, k)
+        assert top.count() >= min(k, distinct)
+        kth = freq.select(sk.kth_frequency(freq, k).alias("t")).first().t
+        assert top.agg(F.min("n")).first()[0] == kth

@@ -82,3 +82,35 @@ def test_timeout_stops_an_idle_stream(spark, tmpdir_fresh):
     assert time.monotonic() - t < 60
     s = run.report(FAM, 5).summary.first()
     assert (s.processed, s.n_distinct) == (3, 2)
+
+
+def test_any_micro_batch_split_gives_the_batch_answer(spark, tmpdir_fresh):
+    import random
+
+    rng = random.Random(5)
+    values = [str(rng.choice([1, 2, 2, 3, 3, 3, 8192, 9000])) for _ in range(60)] + ["x", "+4", " 4"]
+    rng.shuffle(values)
+    cuts = sorted(rng.sample(range(1, len(values)), 3))
+    parts = [values[a:b] for a, b in zip([0, *cuts], [*cuts, len(values)])]
+    src = os.path.join(tmpdir_fresh, "lines")
+    os.makedirs(src)
+    base = int(time.time()) - 100
+    for i, part in enumerate(parts):
+        path = os.path.join(src, f"part-{i}.txt")
+        with open(path, "w") as f:
+            f.write("\n".join(part) + "\n")
+        os.utime(path, (base + i, base + i))
+    rs = run_running_state(item_stream(spark, src, "value", fmt="text", max_files_per_trigger=1), FAM)
+    assert rs.query.lastProgress["batchId"] == len(parts) - 1  # one micro-batch per file
+    batch = parse_lines(spark, values)
+    processed, freq, cm, cs = rs.tables()
+    assert processed.first().processed == len(values)
+    assert _rows(freq) == _rows(sk.item_frequency(batch))
+    assert _rows(cm) == _rows(sk.count_min_cells(batch, FAM))
+    assert _rows(cs) == _rows(sk.count_sketch_cells(batch, FAM))
+
+
+def parse_lines(spark, values):
+    from spindle.sources.text import parse_items
+
+    return parse_items(spark.createDataFrame([(v,) for v in values], "value STRING"))
