@@ -10,8 +10,9 @@ Running state.  Each line becomes a few tagged cells ``(tag, a, b, v)``:
 and one stateful ``groupBy(tag, a, b).sum(v)`` keeps them all, so a single query and a single state store serve
 every relation.  Sketch state is bounded by 2*D*W keys; the histogram state grows with the distinct items, as the
 exact answer must (the state store spills to RocksDB when configured).  Updated keys are written by
-``foreachBatch`` to ``<out>/batch_id=<n>`` with overwrite, so a replayed batch rewrites the same folder; readers
-take, per key, the value of the latest batch.
+``foreachBatch`` to ``<out>/updates/batch_id=<n>`` with overwrite, so a replayed batch rewrites the same folder;
+every N batches a snapshot of the full state is written too, and readers take, per key, the value of the latest
+batch among the newest snapshot and the update folders after it.
 
 Bounded consumption.  A batch is taken whole iff the lines of earlier batches number fewer than T; later batches
 are ignored and the caller stops the query.  The sink writes each taken batch's partial cells and a log row
@@ -66,13 +67,6 @@ def cells(lines: DataFrame, fam: HashFamily) -> DataFrame:
     return tagged_cells(lines.select(parse_item(F.col("value")).alias("item")), fam)
 
 
-def _latest(spark: SparkSession, out_dir: str, keys: list[str], value: str, schema: str) -> DataFrame:
-    if not _exists(spark, out_dir):
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(f"{schema}, batch_id BIGINT").parquet(out_dir)
-    return df.groupBy(*keys).agg(F.max_by(value, "batch_id").alias(value))
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -80,14 +74,57 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def _partition_ids(spark: SparkSession, path: str, key: str) -> list[int]:
+    """Values of ``key=<n>`` sub-folders of ``path`` (a listing, no data read)."""
+    if not _exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.listStatus(jpath):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{key}="):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
+def _latest(spark: SparkSession, out_dir: str, upto: int | None = None) -> DataFrame:
+    """Latest value per state key: the newest snapshot plus only the update folders written after it."""
+    snaps = [i for i in _partition_ids(spark, f"{out_dir}/snapshots", "snap_id") if upto is None or i <= upto]
+    base = snaps[-1] if snaps else -1
+    parts = []
+    if snaps:
+        snap = spark.read.schema(CELL_SCHEMA).parquet(f"{out_dir}/snapshots/snap_id={base}")
+        parts.append(snap.withColumn("batch_id", F.lit(base).cast("bigint")))
+    if _exists(spark, f"{out_dir}/updates"):
+        upd = spark.read.schema(f"{CELL_SCHEMA}, batch_id BIGINT").parquet(f"{out_dir}/updates")
+        cond = F.col("batch_id") > F.lit(base)  # partition pruning: older folders are not read
+        if upto is not None:
+            cond = cond & (F.col("batch_id") <= F.lit(upto))
+        parts.append(upd.where(cond))
+    if not parts:
+        return spark.createDataFrame([], CELL_SCHEMA)
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return df.groupBy("tag", "a", "b").agg(F.max_by("v", "batch_id").alias("v"))
+
+
 class _UpsertSink:
-    """foreachBatch: write the batch's updated rows under ``batch_id=<id>`` (overwrite: idempotent on replay)."""
+    """foreachBatch: write the batch's updated keys under ``updates/batch_id=<id>`` (overwrite: idempotent on
+    replay); every ``compact_every`` batches also write the full latest state as ``snapshots/snap_id=<id>``, so
+    readers never scan more than ``compact_every`` update folders."""
 
-    def __init__(self, out_dir: str):
+    def __init__(self, out_dir: str, compact_every: int = 50):
         self.out_dir = out_dir
+        self.compact_every = compact_every
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.write.mode("overwrite").parquet(f"{self.out_dir}/batch_id={batch_id}")
+        batch_df.write.mode("overwrite").parquet(f"{self.out_dir}/updates/batch_id={batch_id}")
+        if self.compact_every and (batch_id + 1) % self.compact_every == 0:
+            spark = batch_df.sparkSession
+            _latest(spark, self.out_dir, upto=batch_id).write.mode("overwrite").parquet(
+                f"{self.out_dir}/snapshots/snap_id={batch_id}"
+            )
 
 
 @dataclass
@@ -98,9 +135,7 @@ class RunningState:
 
     def state(self) -> DataFrame:
         """The latest value of every state key, persisted: each relation of a report reads it."""
-        return _latest(self.spark, self.out_dir, ["tag", "a", "b"], "v", CELL_SCHEMA).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
+        return _latest(self.spark, self.out_dir).persist(StorageLevel.MEMORY_AND_DISK)
 
     def tables(self):
         return tables_from_cells(self.state())
@@ -117,6 +152,7 @@ def start_running_state(
     checkpoint: str | None = None,
     trigger: dict | None = None,
     name: str | None = None,
+    compact_every: int = 50,
 ) -> RunningState:
     """Start the stateful query; ``trigger`` defaults to ``{"availableNow": True}``, use
     ``{"processingTime": "100 milliseconds"}`` for an unbounded source."""
@@ -124,7 +160,7 @@ def start_running_state(
     out_dir = out_dir or work_path(spark, "stream-state")
     checkpoint = checkpoint or work_path(spark, "stream-ckpt")
     agg = cells(lines, fam).groupBy("tag", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
-    writer = agg.writeStream.outputMode("update").foreachBatch(_UpsertSink(out_dir)).option(
+    writer = agg.writeStream.outputMode("update").foreachBatch(_UpsertSink(out_dir, compact_every)).option(
         "checkpointLocation", checkpoint
     )
     if name:

@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import time
 
+import pytest
 from conftest import SF001
 from pyspark.sql import functions as F
 
@@ -84,7 +85,8 @@ def test_timeout_stops_an_idle_stream(spark, tmpdir_fresh):
     assert (s.processed, s.n_distinct) == (3, 2)
 
 
-def test_any_micro_batch_split_gives_the_batch_answer(spark, tmpdir_fresh):
+@pytest.mark.parametrize("compact_every", [2, 3, 50])
+def test_any_micro_batch_split_gives_the_batch_answer(spark, tmpdir_fresh, compact_every):
     import random
 
     rng = random.Random(5)
@@ -100,7 +102,8 @@ def test_any_micro_batch_split_gives_the_batch_answer(spark, tmpdir_fresh):
         with open(path, "w") as f:
             f.write("\n".join(part) + "\n")
         os.utime(path, (base + i, base + i))
-    rs = run_running_state(item_stream(spark, src, "value", fmt="text", max_files_per_trigger=1), FAM)
+    lines = item_stream(spark, src, "value", fmt="text", max_files_per_trigger=1)
+    rs = run_running_state(lines, FAM, compact_every=compact_every)
     assert rs.query.lastProgress["batchId"] == len(parts) - 1  # one micro-batch per file
     batch = parse_lines(spark, values)
     processed, freq, cm, cs = rs.tables()
