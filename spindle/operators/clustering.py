@@ -92,6 +92,28 @@ def objectives(points: DataFrame, centers: Centers) -> DataFrame:
     )
 
 
+def objectives_many(points: DataFrame, center_sets: Sequence[Centers]) -> list:
+    """``[(n, n_a, n_b, delta, phi)]`` for several centre sets from one pass over the points (one job)."""
+    df = points.select("features", "grp")
+    for i, cs in enumerate(center_sets):
+        df = assign(df, cs).withColumnRenamed("d2", f"_d2_{i}").drop("ci")
+    is_a = F.col("grp") == F.lit(GROUP_A)
+    is_b = F.col("grp") == F.lit(GROUP_B)
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(is_a).alias("n_a")]
+    for i in range(len(center_sets)):
+        d2 = F.col(f"_d2_{i}")
+        aggs += [F.sum(d2).alias(f"s{i}"), F.sum(F.when(is_a, d2)).alias(f"a{i}"), F.sum(F.when(is_b, d2)).alias(f"b{i}")]
+    r = df.agg(*aggs).first()
+    n, n_a = r["n"], r["n_a"]
+    n_b = n - n_a
+    out = []
+    for i in range(len(center_sets)):
+        delta = r[f"s{i}"] / n if n else None
+        phi = 0.0 if n_a == 0 or n_b == 0 else max(r[f"a{i}"] / n_a, r[f"b{i}"] / n_b)
+        out.append((n, n_a, n_b, delta, phi))
+    return out
+
+
 def standard_objective(points: DataFrame, centers: Centers) -> DataFrame:
     """Δ(U, C): mean squared distance of every point to its nearest centre."""
     return objectives(points, centers).select("delta")

@@ -7,8 +7,6 @@ batch SQL over the same lines, since a stream must end in the batch answer.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from spindle.plans import oracle as orc
 from spindle.streaming.items import item_stream, run_running_state
 
@@ -61,4 +59,4 @@ def registry():
     }
 
 
-__all__ = ["registry", "F"]
+__all__ = ["registry"]
