@@ -11,12 +11,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.functions.hashing import HashFamily, hash_col, sign_col
-from spindle.session import spread
+from spindle.session import ensure_checkpoint_dir, spread
 
 
 def valid(items: DataFrame) -> DataFrame:
@@ -157,6 +156,7 @@ class HeavyHitters:
     state: DataFrame | None = None
 
     def release(self) -> None:
+        """Drop cached blocks of the state, if any (checkpoint files are left to the cleaner)."""
         if self.state is not None:
             self.state.unpersist()
 
@@ -242,14 +242,16 @@ def tables_from_cells(state: DataFrame):
 def heavy_hitters(items: DataFrame, fam: HashFamily, k: int, threshold: int | None = None) -> HeavyHitters:
     """The full batch report over an item relation (every line counts as processed, parsed or not).
 
-    One scan and one shuffle build the exact histogram, with unparsed lines kept as the NULL group; it is persisted
-    (every relation of the report reads it) and both sketches are derived from its distinct items.  With
-    ``threshold`` the items carry a ``batch`` column and only the batches taken under the stop rule count (see
-    :func:`bounded_items`).  Call ``release()`` when done.
+    One scan and one shuffle build the exact histogram, with unparsed lines kept as the NULL group.  Every relation
+    of the report reads it, so it is checkpointed into the shared ``spark.checkpoint.dir``: a lost executor then
+    costs a re-read of the histogram, not a rescan of the input.  Both sketches are derived from its distinct
+    items.  With ``threshold`` the items carry a ``batch`` column and only the batches taken under the stop rule
+    count (see :func:`bounded_items`).
     """
     if threshold is not None:
         items = bounded_items(items, threshold)
-    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(items.sparkSession)
+    counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     processed = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("processed"))
     freq = counts.where(F.col("item").isNotNull())
     cm = sketch_from_freq(freq, fam, "cm")

@@ -138,8 +138,9 @@ def q_cluster_ab_outer_join(dataset):
 
     def q(spark, sf):
         p = _points(spark, sf, dataset)
-        a = clu.assign(p, _init(p))
-        dim = len(_init(p)[0])
+        init = _init(p)
+        a = clu.assign(p, init)
+        dim = len(init[0])
 
         def side(g: str, tag: str) -> DataFrame:
             s = a.where(F.col("grp") == g).groupBy("ci").agg(
