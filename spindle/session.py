@@ -27,6 +27,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPINDLE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Streaming state (the exact histogram grows with distinct items) lives off-heap and spills to disk.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
