@@ -220,7 +220,8 @@ def tagged_cells(items: DataFrame, fam: HashFamily, keep: tuple[str, ...] = ())
 
 
 def cell_state(items: DataFrame, fam: HashFamily, by: tuple[str, ...] = ()) -> DataFrame:
-    """``([by...,] tag, a, b, v)``: the summed cells (optionally per batch)."""
+    """``([by...,] tag, a, b, v)``: the summed cells (optionally per batch) -- in batch, the same relation the
+    streaming query keeps as its state."""
     return (
         tagged_cells(spread(items), fam, keep=by)
         .groupBy(*by, "tag", "a", "b")

@@ -2,10 +2,10 @@
 
 Running state.  Each line becomes a few tagged cells ``(tag, a, b, v)``:
 
-* ``('p', 0, 0, 1)``            processed lines, parsed or not;
-* ``('f', item, 0, 1)``         exact histogram;
-* ``('cm', row, col, 1)`` x D   Count-Min;
-* ``('cs', row, col, ±1)`` x D  Count-Sketch;
+* ``(TAG_P, 0, 0, 1)``            processed lines, parsed or not;
+* ``(TAG_F, item, 0, 1)``         exact histogram;
+* ``(TAG_CM, row, col, 1)`` x D   Count-Min;
+* ``(TAG_CS, row, col, ±1)`` x D  Count-Sketch;
 
 and one stateful ``groupBy(tag, a, b).sum(v)`` keeps them all, so a single query and a single state store serve
 every relation.  Sketch state is bounded by 2*D*W keys; the histogram state grows with the distinct items, as the
@@ -35,6 +35,7 @@ from spindle.functions.text import parse_item
 from spindle.operators.sketch import CELL_SCHEMA, HeavyHitters, hh_from_tables, tables_from_cells, tagged_cells
 from spindle.session import work_path
 
+
 def item_stream(
     spark: SparkSession,
     directory: str,

@@ -23,6 +23,7 @@ def test_running_state_equals_batch(spark):
     rs = run_running_state(item_stream(spark, SF001, "user_id", glob="events.parquet"), FAM)
     processed, freq, cm, cs = rs.tables()
     items = event_items(spark, SF001)
+    assert _rows(rs.state()) == _rows(sk.cell_state(items, FAM))  # the stream's state is the batch state
     assert _rows(freq) == _rows(sk.item_frequency(items))
     assert _rows(cm) == _rows(sk.count_min_cells(items, FAM))
     assert _rows(cs) == _rows(sk.count_sketch_cells(items, FAM))
