@@ -209,7 +209,6 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
         proj = assigned.selectExpr(
             *keys, *[f"{r} AS _r{j}" for j, r in enumerate(res)], " + ".join(f"{r} * {r}" for r in res) + " AS _rsq"
         )
-        rvec = "array(" + ", ".join(f"_r{j}" for j in range(dim)) + ")"
         sums = [F.expr(f"sum(_r{j})").alias(f"_vs{j}") for j in range(dim)]
     else:
         proj = assigned.selectExpr(*keys, "zip_with(features, _c, (a, b) -> a - b) AS _rv").selectExpr(
