@@ -264,10 +264,14 @@ class _Cached:
     blocks are recomputed from the source; the lineage is one scan, since centres are driver values.
     """
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, partitions: int | None = None):
         self.owned = not df.storageLevel.useMemory and not df.storageLevel.useDisk
-        # Only the columns the rounds read are cached.
-        self.df = spread(df.select("features", "grp")) if self.owned else df
+        if self.owned:
+            # Only the columns the rounds read are cached; ``partitions`` is an explicit round-robin layout.
+            cols = df.select("features", "grp")
+            self.df = cols.repartition(partitions) if partitions else spread(cols)
+        else:
+            self.df = df
 
     def __enter__(self) -> DataFrame:
         if self.owned:
@@ -292,10 +296,10 @@ def lloyd_step(points: DataFrame, centers: Centers) -> list[list[float]]:
     return out
 
 
-def lloyd(points: DataFrame, init: Centers, rounds: int) -> list[list[float]]:
+def lloyd(points: DataFrame, init: Centers, rounds: int, partitions: int | None = None) -> list[list[float]]:
     """Deterministic k-means: ``rounds`` Lloyd steps from the given centres (one Spark job per round)."""
     cs = as_centers(init)
-    with _Cached(points) as p:
+    with _Cached(points, partitions) as p:
         for _ in range(rounds):
             cs = lloyd_step(p, cs)
     return cs
@@ -316,7 +320,19 @@ class ClusteringReport:
         self.stats = stats  # (ci, center, n_a, n_b)
 
 
-def clustering_report(points: DataFrame, k: int, rounds: int, init: Centers | str = "k-means||", seed: int = 48):
-    """k-means (Spark ML with k-means|| seeding, or deterministic Lloyd from given centres), then its report."""
-    cs = kmeans(points, k, rounds, seed=seed) if isinstance(init, str) else lloyd(points, init, rounds)
-    return ClusteringReport(cs, objectives(points, cs), cluster_stats(points, cs))
+def clustering_report(
+    points: DataFrame,
+    k: int,
+    rounds: int,
+    init: Centers | str = "k-means||",
+    seed: int = 48,
+    partitions: int | None = None,
+):
+    """k-means (Spark ML with k-means|| seeding, or deterministic Lloyd from given centres), then its report.
+    ``partitions`` is the number of partitions the points are spread over while the job runs."""
+    with _Cached(points, partitions) as p:
+        cs = kmeans(p, k, rounds, seed=seed) if isinstance(init, str) else lloyd(p, init, rounds)
+        summary = objectives(p, cs).collect()
+    spark = points.sparkSession
+    summary_df = spark.createDataFrame(summary, "n BIGINT, n_a BIGINT, n_b BIGINT, delta DOUBLE, phi DOUBLE")
+    return ClusteringReport(cs, summary_df, cluster_stats(points, cs))

@@ -16,27 +16,31 @@ from spindle.functions.text import utf16_length, words
 from spindle.session import spread
 
 
-def tokens(docs: DataFrame) -> DataFrame:
-    """``(doc_id, word)``, one row per token."""
-    return spread(docs).select("doc_id", F.explode(words(F.col("text"))).alias("word"))
+def _layout(docs: DataFrame, partitions: int | None) -> DataFrame:
+    return docs.repartition(partitions) if partitions else spread(docs)
 
 
-def tokens_with_pos(docs: DataFrame) -> DataFrame:
-    return spread(docs).select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
+def tokens(docs: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``(doc_id, word)``, one row per token; ``partitions`` spreads the documents first (default: automatic)."""
+    return _layout(docs, partitions).select("doc_id", F.explode(words(F.col("text"))).alias("word"))
+
+
+def tokens_with_pos(docs: DataFrame, partitions: int | None = None) -> DataFrame:
+    return _layout(docs, partitions).select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
 
 
 def doc_count(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count(F.lit(1)).alias("n_docs"))
 
 
-def word_count(docs: DataFrame) -> DataFrame:
+def word_count(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """``(word, n)``: occurrences of every word (one round)."""
-    return tokens(docs).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return tokens(docs, partitions).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def word_count_per_doc(docs: DataFrame) -> DataFrame:
+def word_count_per_doc(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """``(doc_id, word, n)``: the per-document (word, count) pairs."""
-    return tokens(docs).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    return tokens(docs, partitions).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _two_round(keyed: DataFrame) -> DataFrame:
@@ -44,23 +48,25 @@ def _two_round(keyed: DataFrame) -> DataFrame:
     return first.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
 
 
-def word_count_salted(docs: DataFrame, partitions: int = 8, seed: int = 0) -> DataFrame:
-    """Two rounds; every token draws its own key in [0, partitions) while mapping."""
-    t = tokens_with_pos(docs)
-    salt = F.pmod(F.xxhash64(F.col("doc_id"), F.col("pos"), F.lit(seed)), F.lit(partitions))
+def word_count_salted(docs: DataFrame, salts: int = 8, seed: int = 0, partitions: int | None = None) -> DataFrame:
+    """Two rounds; every token draws its own key in [0, salts) while mapping."""
+    t = tokens_with_pos(docs, partitions)
+    salt = F.pmod(F.xxhash64(F.col("doc_id"), F.col("pos"), F.lit(seed)), F.lit(salts))
     return _two_round(t.select(salt.alias("salt"), "word"))
 
 
-def word_count_salted_pairs(docs: DataFrame, partitions: int = 8, seed: int = 0) -> DataFrame:
-    """Two rounds; the key is drawn per per-document (word, count) pair at grouping time."""
-    t = tokens(docs)
-    salt = F.pmod(F.xxhash64(F.col("doc_id"), F.col("word"), F.lit(seed)), F.lit(partitions))
+def word_count_salted_pairs(
+    docs: DataFrame, salts: int = 8, seed: int = 0, partitions: int | None = None
+) -> DataFrame:
+    """Two rounds; the key in [0, salts) is drawn per per-document (word, count) pair at grouping time."""
+    t = tokens(docs, partitions)
+    salt = F.pmod(F.xxhash64(F.col("doc_id"), F.col("word"), F.lit(seed)), F.lit(salts))
     return _two_round(t.select(salt.alias("salt"), "word"))
 
 
-def word_count_partition(docs: DataFrame) -> DataFrame:
+def word_count_partition(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """Two rounds; first count inside each input partition, then sum the partition counts."""
-    t = tokens(docs)
+    t = tokens(docs, partitions)
     return _two_round(t.select(F.spark_partition_id().alias("salt"), "word"))
 
 

@@ -212,3 +212,13 @@ def test_arrow_path_agrees(spark, monkeypatch):
     assert clu.assign(f1, C1, "arrow").orderBy("id").select("ci").collect() == [(0,), (0,), (1,), (1,)]
     st = {r.ci: (r.n_a, r.n_b) for r in clu.cluster_stats(f1, C1).collect()}
     assert st == {0: (2, 0), 1: (0, 2)}
+
+
+def test_explicit_partitions_give_the_same_centres(spark):
+    p = _random_points(spark, dim=2, seed=11)
+    cs = clu.first_k_centers(p, 3)
+    a = fair.fair_lloyd(p, 3, 2, init=cs)
+    b = fair.fair_lloyd(p, 3, 2, init=cs, partitions=5)
+    assert all(math.isclose(u, v, rel_tol=1e-9, abs_tol=1e-12) for c1, c2 in zip(a, b) for u, v in zip(c1, c2))
+    rep = clu.clustering_report(p, 3, 2, init=cs, partitions=3)
+    assert rep.summary.first().n == 300 and rep.stats.count() == 3

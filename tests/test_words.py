@@ -65,3 +65,9 @@ def test_plans_agree_on_documents(spark):
     base = sorted(wc.word_count(d).collect())
     for plan in (wc.word_count_salted, wc.word_count_salted_pairs, wc.word_count_partition):
         assert sorted(plan(d).collect()) == base
+
+
+def test_explicit_partitions_give_the_same_rows(f5):
+    assert {r.word: r.n for r in wc.word_count(f5, partitions=3).collect()} == F5_COUNTS
+    assert {r.word: r.n for r in wc.word_count_partition(f5, partitions=5).collect()} == F5_COUNTS
+    assert {r.word: r.n for r in wc.word_count_salted(f5, salts=2, partitions=4).collect()} == F5_COUNTS
