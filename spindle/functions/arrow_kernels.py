@@ -48,6 +48,17 @@ def assign_batches(batches, centers: np.ndarray):
         )
 
 
+def distance_batches(batches, center_sets: list[np.ndarray], names: list[str]):
+    """mapInArrow body: append, for each centre set, the squared distance to its nearest centre (one pass over the
+    points for several centre sets)."""
+    norms = [(c * c).sum(axis=1) for c in center_sets]
+    dim = center_sets[0].shape[1]
+    for b in batches:
+        x = _matrix(b, dim)
+        extra = [pa.array(nearest_block(x, c, cn)[1], pa.float64()) for c, cn in zip(center_sets, norms)]
+        yield pa.RecordBatch.from_arrays([*b.columns, *extra], names=[*b.schema.names, *names])
+
+
 def residual_partials(batches, centers: np.ndarray, by_group: bool):
     """mapInArrow body: per batch and (cluster[, group]) the count, Σr (as a list) and Σ‖r‖², r = x - c_ci."""
     c_norm = (centers * centers).sum(axis=1)

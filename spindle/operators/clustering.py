@@ -93,10 +93,25 @@ def objectives(points: DataFrame, centers: Centers) -> DataFrame:
 
 
 def objectives_many(points: DataFrame, center_sets: Sequence[Centers]) -> list:
-    """``[(n, n_a, n_b, delta, phi)]`` for several centre sets from one pass over the points (one job)."""
+    """``[(n, n_a, n_b, delta, phi)]`` for several centre sets from one pass over the points (one job).
+
+    Sets small enough for plan literals become JVM expressions; all others share one Arrow kernel call."""
+    sets = [as_centers(c) for c in center_sets]
     df = points.select("features", "grp")
-    for i, cs in enumerate(center_sets):
-        df = assign(df, cs).withColumnRenamed("d2", f"_d2_{i}").drop("ci")
+    arrow = [i for i, cs in enumerate(sets) if choose_strategy(cs) == "arrow"]
+    for i, cs in enumerate(sets):
+        if i not in arrow:
+            df = df.withColumn(f"_d2_{i}", nearest("features", cs).getField("d2"))
+    if arrow:
+        import numpy as np
+        from pyspark.sql.types import DoubleType, StructField, StructType
+
+        distance_batches = _kernels().distance_batches
+        sc = points.sparkSession.sparkContext
+        bc = sc.broadcast([np.asarray(sets[i], dtype=np.float64) for i in arrow])
+        names = [f"_d2_{i}" for i in arrow]
+        schema = StructType([*df.schema.fields, *[StructField(n, DoubleType(), False) for n in names]])
+        df = df.mapInArrow(lambda it: distance_batches(it, bc.value, names), schema)
     is_a = F.col("grp") == F.lit(GROUP_A)
     is_b = F.col("grp") == F.lit(GROUP_B)
     aggs = [F.count(F.lit(1)).alias("n"), F.count_if(is_a).alias("n_a")]

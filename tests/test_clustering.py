@@ -222,3 +222,15 @@ def test_explicit_partitions_give_the_same_centres(spark):
     assert all(math.isclose(u, v, rel_tol=1e-9, abs_tol=1e-12) for c1, c2 in zip(a, b) for u, v in zip(c1, c2))
     rep = clu.clustering_report(p, 3, 2, init=cs, partitions=3)
     assert rep.summary.first().n == 300 and rep.stats.count() == 3
+
+
+def test_objectives_many_equals_one_by_one(spark):
+    p = embeddings_points(spark, SF001)
+    c1 = clu.first_k_centers(p, 1)  # 64 cells: JVM expression
+    c4 = clu.first_k_centers(p, 4)  # 256 cells: Arrow kernel
+    c3 = clu.first_k_centers(p, 3, ["features"])
+    many = clu.objectives_many(p, [c1, c4, c3])
+    for cs, got in zip([c1, c4, c3], many):
+        o = clu.objectives(p, cs).first()
+        assert got[:3] == (o.n, o.n_a, o.n_b)
+        assert math.isclose(got[3], o.delta, rel_tol=1e-9) and math.isclose(got[4], o.phi, rel_tol=1e-9)
