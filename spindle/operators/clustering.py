@@ -311,12 +311,26 @@ def lloyd_step(points: DataFrame, centers: Centers) -> list[list[float]]:
     return out
 
 
-def lloyd(points: DataFrame, init: Centers, rounds: int, partitions: int | None = None) -> list[list[float]]:
-    """Deterministic k-means: ``rounds`` Lloyd steps from the given centres (one Spark job per round)."""
+def lloyd(
+    points: DataFrame,
+    init: Centers,
+    rounds: int,
+    partitions: int | None = None,
+    tol: float | None = None,
+) -> list[list[float]]:
+    """k-means by Lloyd steps from the given centres (one Spark job per round).
+
+    Without ``tol`` exactly ``rounds`` steps run; with it the loop also stops once no centre moved more than
+    ``tol`` (Spark ML's convergence rule), so ``lloyd(p, kmeans_init(p, k), m, tol=1e-4)`` is Spark ML k-means
+    with the seeding computed once and reusable."""
     cs = as_centers(init)
     with _Cached(points, partitions) as p:
         for _ in range(rounds):
-            cs = lloyd_step(p, cs)
+            new = lloyd_step(p, cs)
+            moved = max(sum((a - b) * (a - b) for a, b in zip(c0, c1)) for c0, c1 in zip(cs, new))
+            cs = new
+            if tol is not None and moved <= tol * tol:
+                break
     return cs
 
 

@@ -234,3 +234,12 @@ def test_objectives_many_equals_one_by_one(spark):
         o = clu.objectives(p, cs).first()
         assert got[:3] == (o.n, o.n_a, o.n_b)
         assert math.isclose(got[3], o.delta, rel_tol=1e-9) and math.isclose(got[4], o.phi, rel_tol=1e-9)
+
+
+def test_seeded_lloyd_with_tol_is_spark_ml_kmeans(spark):
+    p = embeddings_points(spark, SF001).repartition(4).cache()
+    ml = clu.kmeans(p, 4, 3)
+    ours = clu.lloyd(p, clu.kmeans_init(p, 4), 3, tol=1e-4)
+    assert len(ml) == len(ours)
+    assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-12) for c1, c2 in zip(sorted(ml), sorted(ours)) for a, b in zip(c1, c2))
+    p.unpersist()
