@@ -56,6 +56,8 @@ def suite(spark, sf_dir: str) -> dict[str, float]:
     fair_intervals(q, "lineitem", lineitem_points(spark, sf_dir))
     fair_intervals(q, "embeddings", embeddings_points(spark, sf_dir))
 
+    timed(q, "fair_vs_standard_lineitem", lambda: fair.fair_vs_standard(lineitem_points(spark, sf_dir), K, M)[0].collect())
+
     li = lineitem_points(spark, sf_dir)
     init = clu.first_k_centers(li, K, ["id", "features"])
     timed(q, "objectives_lineitem", lambda: clu.objectives(li, init).collect())
