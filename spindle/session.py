@@ -27,6 +27,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SPINDLE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Checkpoint files of DataFrames that are no longer referenced are removed from the shared folder.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # Streaming state (the exact histogram grows with distinct items) lives off-heap and spills to disk.
         .config(
             "spark.sql.streaming.stateStore.providerClass",
