@@ -32,7 +32,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spindle.functions.hashing import HashFamily
 from spindle.functions.text import parse_item
-from spindle.operators.sketch import CELL_SCHEMA, HeavyHitters, hh_from_tables, tables_from_cells, tagged_cells
+from spindle.operators.sketch import (
+    CELL_SCHEMA,
+    TAG_P,
+    HeavyHitters,
+    hh_from_tables,
+    tables_from_cells,
+    tagged_cells,
+)
 from spindle.session import work_path
 
 
@@ -206,18 +213,24 @@ class BoundedSink:
         before = self.before(batch_id)
         if before >= self.threshold:
             return
-        batch_df.persist()
+        # One pass over the batch: its partial cells (at most distinct items + 2*D*W rows) carry the batch size in
+        # the processed tag, so no separate count is needed.
+        part = (
+            cells(batch_df, self.fam)
+            .groupBy("tag", "a", "b")
+            .agg(F.sum("v").cast("bigint").alias("v"))
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
         try:
-            size = batch_df.count()
-            part = cells(batch_df, self.fam).groupBy("tag", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
             part.write.mode("overwrite").parquet(f"{self.out_dir}/cells/batch_id={batch_id}")
+            size = part.where(F.col("tag") == TAG_P).agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0]
             spark = batch_df.sparkSession
-            spark.createDataFrame([(size, before)], "size BIGINT, before BIGINT").write.mode("overwrite").parquet(
+            spark.createDataFrame([(int(size), before)], "size BIGINT, before BIGINT").write.mode("overwrite").parquet(
                 f"{self.out_dir}/log/batch_id={batch_id}"
             )
-            self.sizes[batch_id] = size
+            self.sizes[batch_id] = int(size)
         finally:
-            batch_df.unpersist()
+            part.unpersist()
 
     def state(self, spark: SparkSession) -> DataFrame:
         path = f"{self.out_dir}/cells"
