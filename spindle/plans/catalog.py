@@ -134,32 +134,15 @@ def q_clustering_report(dataset):
 
 
 def q_cluster_ab_outer_join(dataset):
-    """Per-group vector sums joined per cluster with a full outer join (missing side: count 0, zero sum)."""
+    """Per-group vector sums joined per cluster with a full outer join, in long form ``(ci, j, ...)``."""
 
     def q(spark, sf):
         p = _points(spark, sf, dataset)
-        init = _init(p)
-        a = clu.assign(p, init)
-        dim = len(init[0])
-
-        def side(g: str, tag: str) -> DataFrame:
-            s = a.where(F.col("grp") == g).groupBy("ci").agg(
-                F.count(F.lit(1)).alias(f"n_{tag}"), *clu.vector_sum_aggs("features", dim)
-            )
-            return s.select("ci", f"n_{tag}", clu.vector_sum_column(dim).alias(f"s_{tag}"))
-
-        j = side("A", "a").join(side("B", "b"), "ci", "full_outer")
-        zero = F.array_repeat(F.lit(0.0), dim)
-        j = j.select(
-            "ci",
-            F.coalesce("n_a", F.lit(0)).cast("bigint").alias("n_a"),
-            F.coalesce("n_b", F.lit(0)).cast("bigint").alias("n_b"),
-            F.coalesce("s_a", zero).alias("s_a"),
-            F.coalesce("s_b", zero).alias("s_b"),
+        j = clu.cluster_ab_outer_join(p, _init(p))
+        z = j.select("ci", "n_a", "n_b", F.posexplode(F.arrays_zip("s_a", "s_b")).alias("j", "s"))
+        return z.select(
+            "ci", F.col("j").cast("int").alias("j"), "n_a", "n_b", rnd("s.s_a", "sum_a"), rnd("s.s_b", "sum_b")
         )
-        return j.select(
-            "ci", "n_a", "n_b", F.posexplode(F.arrays_zip("s_a", "s_b")).alias("j", "s")
-        ).select("ci", F.col("j").cast("int").alias("j"), "n_a", "n_b", rnd("s.s_a", "sum_a"), rnd("s.s_b", "sum_b"))
 
     return q
 
