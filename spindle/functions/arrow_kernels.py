@@ -36,15 +36,15 @@ def nearest_block(x: np.ndarray, c: np.ndarray, c_norm: np.ndarray) -> tuple[np.
     return ci, d2
 
 
-def assign_batches(batches, centers: np.ndarray):
-    """mapInArrow body: append ``ci`` and ``d2`` to every batch."""
+def assign_batches(batches, centers: np.ndarray, names=("ci", "d2"), offset: int = 0):
+    """mapInArrow body: append the nearest centre's index (plus ``offset``) and squared distance to every batch."""
     c_norm = (centers * centers).sum(axis=1)
     dim = centers.shape[1]
     for b in batches:
         ci, d2 = nearest_block(_matrix(b, dim), centers, c_norm)
         yield pa.RecordBatch.from_arrays(
-            [*b.columns, pa.array(ci, pa.int32()), pa.array(d2, pa.float64())],
-            names=[*b.schema.names, "ci", "d2"],
+            [*b.columns, pa.array(ci + offset, pa.int32()), pa.array(d2, pa.float64())],
+            names=[*b.schema.names, *names],
         )
 
 

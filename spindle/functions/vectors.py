@@ -33,7 +33,8 @@ UNROLL_CELLS = 64
 LITERAL_CELLS = 64
 # Largest K * dim the explicit ``lambda`` strategy accepts as a plan literal.
 MAX_LITERAL_CELLS = 100_000
-# Largest K * dim shipped at all (256 MiB of doubles per executor); a bigger centre set is data, not a parameter.
+# Largest K * dim shipped in one broadcast (256 MiB of doubles per executor).  A bigger centre set is split into
+# chunks of at most this size, one Arrow pass each, and the per-chunk nearest centres are combined exactly.
 MAX_BROADCAST_CELLS = 32 * 1024 * 1024
 
 Centers = Sequence[Sequence[float]]
@@ -45,18 +46,20 @@ def check_centers(centers: Centers) -> tuple[int, int]:
     dim = len(centers[0])
     if dim == 0 or any(len(c) != dim for c in centers):
         raise ValueError("all centres must have the same, positive dimension")
-    if len(centers) * dim > MAX_BROADCAST_CELLS:
-        raise ValueError(f"centre set of {len(centers)} x {dim} exceeds the broadcast bound of {MAX_BROADCAST_CELLS} cells")
     return len(centers), dim
 
 
 def choose_strategy(centers: Centers, strategy: str = "auto") -> str:
     k, dim = check_centers(centers)
     if strategy == "auto":
-        return "unrolled" if k * dim <= min(UNROLL_CELLS, LITERAL_CELLS) else "arrow"
+        if k * dim <= min(UNROLL_CELLS, LITERAL_CELLS):
+            return "unrolled"
+        return "arrow" if k * dim <= MAX_BROADCAST_CELLS else "chunked"
     if strategy in ("unrolled", "lambda") and k * dim > MAX_LITERAL_CELLS:
         raise ValueError(f"{strategy!r} needs K * dim <= {MAX_LITERAL_CELLS}; use 'arrow'")
-    if strategy not in ("unrolled", "lambda", "arrow"):
+    if strategy == "arrow" and k * dim > MAX_BROADCAST_CELLS:
+        return "chunked"
+    if strategy not in ("unrolled", "lambda", "arrow", "chunked"):
         raise ValueError(f"unknown strategy {strategy!r}")
     return strategy
 

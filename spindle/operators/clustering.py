@@ -14,7 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from spindle.functions.vectors import Centers, centers_sql, check_centers, choose_strategy, nearest
+from spindle.functions import vectors as V
+from spindle.functions.vectors import Centers, array_sql, centers_sql, check_centers, choose_strategy, nearest
 from spindle.session import spread
 from spindle.sources.points import GROUP_A, GROUP_B
 
@@ -43,17 +44,40 @@ def _broadcast_centers(spark, cs: list[list[float]]):
     return spark.sparkContext.broadcast(np.asarray(cs, dtype=np.float64))
 
 
+def _chunks(cs: list[list[float]]) -> list[tuple[int, list[list[float]]]]:
+    """Consecutive centre blocks of at most one broadcast each, with the index of their first centre."""
+    per = max(1, V.MAX_BROADCAST_CELLS // len(cs[0]))
+    return [(start, cs[start : start + per]) for start in range(0, len(cs), per)]
+
+
+def _arrow_assign(points: DataFrame, cs: list[list[float]], chunked: bool) -> DataFrame:
+    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+    assign_batches = _kernels().assign_batches
+    parts = _chunks(cs) if chunked else [(0, cs)]
+    df, names = points, []
+    for n, (start, block) in enumerate(parts):
+        bc = _broadcast_centers(points.sparkSession, block)
+        nm = ("ci", "d2") if len(parts) == 1 else (f"_ci{n}", f"_d2{n}")
+        extra = [StructField(nm[0], IntegerType(), False), StructField(nm[1], DoubleType(), False)]
+        schema = StructType([*df.schema.fields, *extra])
+        df = df.mapInArrow(lambda it, bc=bc, nm=nm, start=start: assign_batches(it, bc.value, nm, start), schema)
+        names.append(nm)
+    if len(parts) == 1:
+        return df
+    # Nearest over all centres = least (d2, ci) over the blocks' nearest: same lowest-index rule on ties.
+    best = F.least(*[F.struct(F.col(d).alias("d2"), F.col(c).alias("ci")) for c, d in names])
+    return df.withColumn("_best", best).select(
+        *[F.col(c) for c in points.columns], F.col("_best.ci").alias("ci"), F.col("_best.d2").alias("d2")
+    )
+
+
 def assign(points: DataFrame, centers: Centers, strategy: str = "auto") -> DataFrame:
     """Points plus ``ci INT`` (nearest centre, lowest index on ties) and ``d2 DOUBLE`` (squared distance)."""
     cs = as_centers(centers)
-    if choose_strategy(cs, strategy) == "arrow":
-        from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-
-        assign_batches = _kernels().assign_batches
-        bc = _broadcast_centers(points.sparkSession, cs)
-        extra = [StructField("ci", IntegerType(), False), StructField("d2", DoubleType(), False)]
-        schema = StructType([*points.schema.fields, *extra])
-        return points.mapInArrow(lambda it: assign_batches(it, bc.value), schema)
+    chosen = choose_strategy(cs, strategy)
+    if chosen in ("arrow", "chunked"):
+        return _arrow_assign(points, cs, chunked=chosen == "chunked")
     nn = nearest("features", cs, strategy)
     return points.withColumn("_nn", nn).select(
         *[F.col(c) for c in points.columns], F.col("_nn.ci").alias("ci"), F.col("_nn.d2").alias("d2")
@@ -98,9 +122,12 @@ def objectives_many(points: DataFrame, center_sets: Sequence[Centers]) -> list:
     Sets small enough for plan literals become JVM expressions; all others share one Arrow kernel call."""
     sets = [as_centers(c) for c in center_sets]
     df = points.select("features", "grp")
-    arrow = [i for i, cs in enumerate(sets) if choose_strategy(cs) == "arrow"]
+    kinds = [choose_strategy(cs) for cs in sets]
+    arrow = [i for i, kind in enumerate(kinds) if kind == "arrow"]
     for i, cs in enumerate(sets):
-        if i not in arrow:
+        if kinds[i] == "chunked":
+            df = assign(df, cs, "chunked").withColumnRenamed("d2", f"_d2_{i}").drop("ci")
+        elif kinds[i] != "arrow":
             df = df.withColumn(f"_d2_{i}", nearest("features", cs).getField("d2"))
     if arrow:
         import numpy as np
@@ -202,12 +229,15 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
     """Per (cluster[, group]): ``n``, the summed residual ``x - c_ci`` (vector sum columns) and ``rsq`` = Σ‖x - c_ci‖².
 
     Residuals to the current centre keep the sums small, so the group means and scatters recovered from them are
-    numerically stable; one pass replaces a second scan against the means.
+    numerically stable; one pass replaces a second scan against the means.  For a centre set larger than one
+    broadcast the residuals are taken to the fixed vector ``c_0`` instead (no per-row centre lookup);
+    :func:`collect_residual_sums` turns them into residuals to each ``c_ci`` exactly.
     """
     cs = as_centers(centers)
     _, dim = check_centers(cs)
     keys = ["ci", "grp"] if by_group else ["ci"]
-    if choose_strategy(cs) == "arrow":
+    chosen = choose_strategy(cs)
+    if chosen == "arrow":
         residual_partials = _kernels().residual_partials
         bc = _broadcast_centers(points.sparkSession, cs)
         schema = "ci INT, grp STRING, n BIGINT, rsq DOUBLE, rsum ARRAY<DOUBLE>"
@@ -218,6 +248,14 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
         return parts.groupBy(*keys).agg(
             F.sum("n").cast("bigint").alias("n"), F.sum("rsq").alias("rsq"), *vector_sum_aggs("rsum", dim)
         )
+    if chosen == "chunked":
+        assigned = assign(points, cs, "chunked").select(*keys, "features")
+        proj = assigned.selectExpr(*keys, f"zip_with(features, {array_sql(cs[0])}, (a, b) -> a - b) AS _rv").selectExpr(
+            *keys, "_rv", "aggregate(_rv, 0D, (s, y) -> s + y * y) AS _rsq"
+        )
+        return proj.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("_rsq").alias("rsq"), *vector_sum_aggs("_rv", dim)
+        )
     assigned = assign(points, cs).select(*keys, "features", F.expr(f"{centers_sql(cs)}[ci]").alias("_c"))
     if dim <= UNROLL_DIM:
         res = [f"(features[{j}] - _c[{j}])" for j in range(dim)]
@@ -233,6 +271,22 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
     return proj.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("_rsq").alias("rsq"), *sums)
 
 
+def collect_residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) -> list[tuple]:
+    """The at most 2K rows of :func:`residual_sums` as ``(ci, grp, n, Σr, Σ‖r‖²)`` with r = x - c_ci."""
+    cs = as_centers(centers)
+    dim = len(cs[0])
+    out = []
+    for r in residual_sums(points, cs, by_group).collect():
+        ci, n, s, q = r["ci"], int(r["n"]), vector_sum_value(r, dim), float(r["rsq"])
+        if choose_strategy(cs) == "chunked":
+            # Sums were taken to c_0: with u = x - c_0 and e = c_ci - c_0, r = u - e.
+            e = [a - b for a, b in zip(cs[ci], cs[0])]
+            q = q - 2 * sum(a * b for a, b in zip(e, s)) + n * sum(a * a for a in e)
+            s = [a - n * b for a, b in zip(s, e)]
+        out.append((ci, r["grp"] if by_group else None, n, s, q))
+    return out
+
+
 def cluster_ab_outer_join(points: DataFrame, centers: Centers) -> DataFrame:
     """``(ci, n_a, n_b, s_a, s_b)``: per cluster the A-side and B-side counts and coordinate sums, joined with a
     full outer join (a missing side reads as count 0 and the zero vector).
@@ -334,13 +388,9 @@ class _Cached:
 def lloyd_step(points: DataFrame, centers: Centers) -> list[list[float]]:
     """One Lloyd round: each centre moves to the mean of its points; a centre with no point stays put."""
     cs = as_centers(centers)
-    dim = len(cs[0])
-    rows = residual_sums(points, cs, by_group=False).collect()  # at most K rows
     out = [list(c) for c in cs]
-    for r in rows:
-        i = r["ci"]
-        s = vector_sum_value(r, dim)
-        out[i] = [cs[i][j] + s[j] / r["n"] for j in range(dim)]
+    for ci, _, n, s, _ in collect_residual_sums(points, cs, by_group=False):  # at most K rows
+        out[ci] = [c + v / n for c, v in zip(cs[ci], s)]
     return out
 
 

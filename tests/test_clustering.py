@@ -186,8 +186,9 @@ def test_centre_size_bounds(monkeypatch):
     assert V.choose_strategy([[0.0] * 64] * 4, "lambda") == "lambda"
     assert V.dlit(float("nan")).startswith("CAST") and V.dlit(1e-05) == "1e-05D"
     monkeypatch.setattr(V, "MAX_BROADCAST_CELLS", 100)
+    assert V.choose_strategy([[0.0] * 10] * 11) == "chunked"  # beyond one broadcast: blocks, not an error
     with pytest.raises(ValueError):
-        V.check_centers([[0.0] * 10] * 11)
+        V.check_centers([[0.0] * 10, [0.0] * 9])
 
 
 def test_arrow_path_agrees(spark, monkeypatch):
@@ -243,3 +244,24 @@ def test_seeded_lloyd_with_tol_is_spark_ml_kmeans(spark):
     assert len(ml) == len(ours)
     assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-12) for c1, c2 in zip(sorted(ml), sorted(ours)) for a, b in zip(c1, c2))
     p.unpersist()
+
+
+def test_chunked_centre_sets_agree(spark, monkeypatch):
+    """Centre sets beyond one broadcast are split into blocks; results equal the single-broadcast path."""
+    p = embeddings_points(spark, SF001)
+    cs = clu.first_k_centers(p, 5)
+    a = clu.assign(p, cs, "arrow").orderBy("id").collect()
+    o1 = clu.objectives(p, cs).first()
+    f1 = fair.fair_step(p, cs)
+    l1 = clu.lloyd_step(p, cs)
+    monkeypatch.setattr(V, "MAX_BROADCAST_CELLS", 2 * 64)  # two centres per block: three blocks
+    assert V.choose_strategy(cs) == "chunked"
+    b = clu.assign(p, cs).orderBy("id").collect()
+    assert [r.ci for r in a] == [r.ci for r in b]
+    assert all(math.isclose(x.d2, y.d2, rel_tol=1e-12) for x, y in zip(a, b))
+    o2 = clu.objectives_many(p, [cs])[0]
+    assert o2[:3] == (o1.n, o1.n_a, o1.n_b) and math.isclose(o2[4], o1.phi, rel_tol=1e-9)
+    f2 = fair.fair_step(p, cs)
+    l2 = clu.lloyd_step(p, cs)
+    for s1, s2 in ((f1, f2), (l1, l2)):
+        assert all(math.isclose(u, v, rel_tol=1e-9, abs_tol=1e-12) for c1, c2 in zip(s1, s2) for u, v in zip(c1, c2))
