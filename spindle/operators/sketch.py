@@ -105,13 +105,22 @@ def _unique_keys(keys: DataFrame, unique: bool) -> DataFrame:
     return keys if unique else keys.select("item").distinct()
 
 
-def _cm_cells(cm: DataFrame) -> DataFrame:
-    # A sketch table holds at most D*W rows: a proven bound for the broadcast.
-    return F.broadcast(cm.select("row", F.col("col").alias("col_cm"), F.col("v").alias("v_cm")))
+# Largest sketch (D*W cells, about 24 bytes each) broadcast to the estimate lookup; a larger one is joined by a
+# shuffle on (row, col) instead.
+BROADCAST_SKETCH_CELLS = 4_000_000
 
 
-def _cs_cells(cs: DataFrame) -> DataFrame:
-    return F.broadcast(cs.select("row", F.col("col").alias("col_cs"), F.col("v").alias("v_cs")))
+def _bounded_broadcast(df: DataFrame, fam: HashFamily) -> DataFrame:
+    # A sketch table holds at most D*W rows: a bound fixed by the parameters, checked here.
+    return F.broadcast(df) if fam.depth * fam.width <= BROADCAST_SKETCH_CELLS else df
+
+
+def _cm_cells(cm: DataFrame, fam: HashFamily) -> DataFrame:
+    return _bounded_broadcast(cm.select("row", F.col("col").alias("col_cm"), F.col("v").alias("v_cm")), fam)
+
+
+def _cs_cells(cs: DataFrame, fam: HashFamily) -> DataFrame:
+    return _bounded_broadcast(cs.select("row", F.col("col").alias("col_cs"), F.col("v").alias("v_cs")), fam)
 
 
 def _est_cm() -> Column:
@@ -128,18 +137,22 @@ def estimates(keys: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily, un
     signed cells (the element at index D div 2 of the sorted values).  A missing cell reads as 0.  With
     ``unique=True`` the keys are taken as distinct items and every key column is carried through."""
     k = _unique_keys(keys, unique)
-    joined = _probe(k, fam).join(_cm_cells(cm), ["row", "col_cm"], "left").join(_cs_cells(cs), ["row", "col_cs"], "left")
+    joined = (
+        _probe(k, fam)
+        .join(_cm_cells(cm, fam), ["row", "col_cm"], "left")
+        .join(_cs_cells(cs, fam), ["row", "col_cs"], "left")
+    )
     return joined.groupBy(*k.columns).agg(_est_cm(), _est_cs(fam))
 
 
 def count_min_estimate(keys: DataFrame, cm: DataFrame, fam: HashFamily, unique: bool = False) -> DataFrame:
     k = _unique_keys(keys, unique)
-    return _probe(k, fam).join(_cm_cells(cm), ["row", "col_cm"], "left").groupBy(*k.columns).agg(_est_cm())
+    return _probe(k, fam).join(_cm_cells(cm, fam), ["row", "col_cm"], "left").groupBy(*k.columns).agg(_est_cm())
 
 
 def count_sketch_estimate(keys: DataFrame, cs: DataFrame, fam: HashFamily, unique: bool = False) -> DataFrame:
     k = _unique_keys(keys, unique)
-    return _probe(k, fam).join(_cs_cells(cs), ["row", "col_cs"], "left").groupBy(*k.columns).agg(_est_cs(fam))
+    return _probe(k, fam).join(_cs_cells(cs, fam), ["row", "col_cs"], "left").groupBy(*k.columns).agg(_est_cs(fam))
 
 
 @dataclass

@@ -116,3 +116,13 @@ def test_top_k_size_invariant(spark):
         assert top.count() >= min(k, distinct)
         kth = freq.select(sk.kth_frequency(freq, k).alias("t")).first().t
         assert top.agg(F.min("n")).first()[0] == kth
+
+
+def test_large_sketches_are_joined_without_broadcast(spark, monkeypatch):
+    items = lineitem_items(spark, SF001, "l_partkey")
+    fam = hash_family(3, 50, seed=5)
+    hh = sk.heavy_hitters(items, fam, 5)
+    expect = sorted(tuple(r) for r in hh.report.collect())
+    monkeypatch.setattr(sk, "BROADCAST_SKETCH_CELLS", 10)
+    hh2 = sk.heavy_hitters(items, fam, 5)
+    assert sorted(tuple(r) for r in hh2.report.collect()) == expect
