@@ -185,8 +185,8 @@ def cluster_stats(points: DataFrame, centers: Centers) -> DataFrame:
         )
     )
     cdf = spark.createDataFrame([(i, c) for i, c in enumerate(cs)], "ci INT, center ARRAY<DOUBLE>")
-    # Both sides hold at most K rows.
-    return cdf.join(F.broadcast(stats), "ci", "left").select(
+    # Both sides hold at most K rows; AQE broadcasts them when their measured size is under the threshold.
+    return cdf.join(stats, "ci", "left").select(
         "ci",
         "center",
         F.coalesce("n_a", F.lit(0)).cast("bigint").alias("n_a"),
