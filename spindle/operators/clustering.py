@@ -9,6 +9,7 @@ third of all points therefore costs nothing extra in the shuffle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
@@ -38,10 +39,34 @@ def _kernels():
     return arrow_kernels
 
 
+# Centre broadcasts created inside open _released_broadcasts scopes (one list per scope).
+_BROADCAST_SCOPES: list[list] = []
+
+
+def _broadcast(spark, value):
+    bc = spark.sparkContext.broadcast(value)
+    if _BROADCAST_SCOPES:
+        _BROADCAST_SCOPES[-1].append(bc)
+    return bc
+
+
 def _broadcast_centers(spark, cs: list[list[float]]):
     import numpy as np
 
-    return spark.sparkContext.broadcast(np.asarray(cs, dtype=np.float64))
+    return _broadcast(spark, np.asarray(cs, dtype=np.float64))
+
+
+@contextmanager
+def _released_broadcasts():
+    """Unpersist the centre broadcasts created inside the block once its result has been collected, so that an
+    iterative job does not leave one copy per round on every executor.  Outside a scope (a lazy DataFrame handed
+    to the caller) broadcasts are left to Spark's cleaner."""
+    _BROADCAST_SCOPES.append([])
+    try:
+        yield
+    finally:
+        for bc in _BROADCAST_SCOPES.pop():
+            bc.unpersist(blocking=False)
 
 
 def _chunks(cs: list[list[float]]) -> list[tuple[int, list[list[float]]]]:
@@ -120,6 +145,11 @@ def objectives_many(points: DataFrame, center_sets: Sequence[Centers]) -> list:
     """``[(n, n_a, n_b, delta, phi)]`` for several centre sets from one pass over the points (one job).
 
     Sets small enough for plan literals become JVM expressions; all others share one Arrow kernel call."""
+    with _released_broadcasts():
+        return _objectives_many(points, center_sets)
+
+
+def _objectives_many(points: DataFrame, center_sets: Sequence[Centers]) -> list:
     sets = [as_centers(c) for c in center_sets]
     df = points.select("features", "grp")
     kinds = [choose_strategy(cs) for cs in sets]
@@ -134,8 +164,7 @@ def objectives_many(points: DataFrame, center_sets: Sequence[Centers]) -> list:
         from pyspark.sql.types import DoubleType, StructField, StructType
 
         distance_batches = _kernels().distance_batches
-        sc = points.sparkSession.sparkContext
-        bc = sc.broadcast([np.asarray(sets[i], dtype=np.float64) for i in arrow])
+        bc = _broadcast(points.sparkSession, [np.asarray(sets[i], dtype=np.float64) for i in arrow])
         names = [f"_d2_{i}" for i in arrow]
         schema = StructType([*df.schema.fields, *[StructField(n, DoubleType(), False) for n in names]])
         df = df.mapInArrow(lambda it: distance_batches(it, bc.value, names), schema)
@@ -275,10 +304,13 @@ def collect_residual_sums(points: DataFrame, centers: Centers, by_group: bool =
     """The at most 2K rows of :func:`residual_sums` as ``(ci, grp, n, Σr, Σ‖r‖²)`` with r = x - c_ci."""
     cs = as_centers(centers)
     dim = len(cs[0])
+    chunked = choose_strategy(cs) == "chunked"
+    with _released_broadcasts():
+        rows = residual_sums(points, cs, by_group).collect()
     out = []
-    for r in residual_sums(points, cs, by_group).collect():
+    for r in rows:
         ci, n, s, q = r["ci"], int(r["n"]), vector_sum_value(r, dim), float(r["rsq"])
-        if choose_strategy(cs) == "chunked":
+        if chunked:
             # Sums were taken to c_0: with u = x - c_0 and e = c_ci - c_0, r = u - e.
             e = [a - b for a, b in zip(cs[ci], cs[0])]
             q = q - 2 * sum(a * b for a, b in zip(e, s)) + n * sum(a * a for a in e)
