@@ -265,3 +265,21 @@ def test_chunked_centre_sets_agree(spark, monkeypatch):
     l2 = clu.lloyd_step(p, cs)
     for s1, s2 in ((f1, f2), (l1, l2)):
         assert all(math.isclose(u, v, rel_tol=1e-9, abs_tol=1e-12) for c1, c2 in zip(s1, s2) for u, v in zip(c1, c2))
+
+
+def test_round_broadcasts_are_released(spark, monkeypatch):
+    p = embeddings_points(spark, SF001)
+    cs = clu.first_k_centers(p, 4)  # 256 cells: Arrow path, one broadcast per round
+    released = []
+    real = clu._broadcast
+
+    def tracking(session, value):
+        bc = real(session, value)
+        orig = bc.unpersist
+        bc.unpersist = lambda blocking=False: (released.append(bc), orig(blocking))[1]
+        return bc
+
+    monkeypatch.setattr(clu, "_broadcast", tracking)
+    fair.fair_step(p, cs)
+    clu.objectives_many(p, [cs, cs])
+    assert len(released) == 2 and clu._BROADCAST_SCOPES == []
