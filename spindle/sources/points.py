@@ -45,7 +45,12 @@ def parse_point_lines(lines: DataFrame, mode: str = "failfast", value: str = "va
     label = F.element_at(tok, -1)
     raw = F.slice(tok, 1, n - 1)
     if mode == "failfast":
-        coords = F.transform(raw, lambda t: t.cast("double"))
+        # Explicit check, so a malformed number fails the job whether or not the session uses ANSI casts.
+        def coord(t: Column) -> Column:
+            bad = F.raise_error(F.concat(F.lit("malformed coordinate: "), F.coalesce(t, F.lit(""))))
+            return F.coalesce(t.try_cast("double"), bad)
+
+        coords = F.transform(raw, coord)
         grp = F.when((n >= 2) & (label != F.lit("")), label).otherwise(
             F.raise_error(F.concat(F.lit("malformed point line: "), F.col(value)))
         )

@@ -283,3 +283,16 @@ def test_round_broadcasts_are_released(spark, monkeypatch):
     fair.fair_step(p, cs)
     clu.objectives_many(p, [cs, cs])
     assert len(released) == 2 and clu._BROADCAST_SCOPES == []
+
+
+def test_failfast_without_ansi(spark, tmpdir_fresh):
+    path = os.path.join(tmpdir_fresh, "pts.csv")
+    with open(path, "w") as f:
+        f.write("1.0,2.0,A\n5.5,x,B\n")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="malformed coordinate"):
+            read_points(spark, path).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
