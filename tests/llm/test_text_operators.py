@@ -1,0 +1,394 @@
+"""Secrets, BPE, token files, rollups, sharding, mixing and fingerprints against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from conftest import same_rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from spindle.llm import bpe, fingerprint, mixing, secret_scan, sharding, token_files, token_rollup
+
+
+def sha(s: str) -> str:
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def library():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def library_ids(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+# Secrets ------------------------------------------------------------------------------------------------------
+
+RULES = [
+    ("assign", r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)"""),
+    ("access", "AKIA[A-Z0-9]+"),
+    ("hex", "[0-9a-f]+"),
+]
+
+
+def brute_spans(text):
+    out = []
+    for order, (kind, rule) in enumerate(RULES):
+        for m in re.finditer(rule, text or ""):
+            size = {"assign": len(m.groups()[-1]) if m.groups() else 0, "access": len(m[0]), "hex": len(m[0])}[kind]
+            if size >= {"assign": 6, "access": 20, "hex": 24}[kind]:
+                out.append((m.start(), order, kind, m.end()))
+    return [(k, s, e) for s, _, k, e in sorted(out)]
+
+
+def secret_rows(pairs):
+    for i, t in pairs:
+        spans = brute_spans(t)
+        n = Counter(k for k, _, _ in spans)
+        yield i, n["assign"], n["access"], n["hex"], sha(",".join(f"{k}:{s}:{e}" for k, s, e in spans))
+
+
+@pytest.mark.parametrize("which", ["docs", "odd", "empty"])
+def test_secrets(request, which, rows, odd_pairs):
+    pairs = {"docs": rows, "odd": odd_pairs, "empty": []}[which]
+    got = secret_scan.scan_secrets(request.getfixturevalue(which))
+    same_rows(got, secret_rows(pairs), ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256"])
+    for r in got.collect():
+        base = [s for s in r["spans"].split(",") if s and not s.startswith("literal")]
+        assert sha(",".join(base)) == r["base_sha256"]
+
+
+def test_secret_constants_propagate():
+    text = 'k = "Zx81hhQw00pL"\npassword = k\nname = "Zx81hhQw00pL"\n'
+    assert secret_scan.literal_spans(text) == [(5, 17, "literal")]
+    assert secret_scan.literal_spans('db_password = os\nos = "Qq81hhQw00pL"') == [(23, 35, "literal")]
+    assert secret_scan.literal_spans('{"apiKey": "q9Wz-771-kkPx", "title": "q9Wz-771-kkPx"}') == [(12, 25, "literal")]
+    assert secret_scan.literal_spans('password = "changeme"\npassword = "${PASSWORD}"\nkeyword = "house"') == []
+
+
+def test_secret_base_rule_drops_failing_matches_after_matching():
+    # the failing match takes "pass" with it, so what follows is not read anew
+    assert secret_scan.base_spans("token = pass\nword=abcdefgh") == []
+    assert secret_scan.base_spans("token=Key") == []
+
+
+def test_redaction_masks_every_span(docs):
+    text = 'password = "hunter2hunter"\nx'
+    assert secret_scan.redact(text) == 'password = "[SECRET]"\nx'
+    out = {r["doc_id"]: r for r in secret_scan.redact_secrets(docs).collect()}
+    for r in docs.collect():
+        new = out[r["doc_id"]]
+        assert new["n_chars"] == len(new["text"])
+        assert bool(secret_scan.all_spans(r["text"])) == (new["text"] != r["text"])
+        assert not [s for s in brute_spans(new["text"]) if s[0] != "assign"]
+
+
+# BPE ----------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("which", ["docs", "odd", "empty"])
+def test_bpe(request, which, rows, odd_pairs, library):
+    want = []
+    for i, t in {"docs": rows, "odd": odd_pairs, "empty": []}[which]:
+        ids = library_ids(library, t)
+        want.append((i, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
+    got = bpe.encode_digests(request.getfixturevalue(which), leaf_chars=2000)
+    same_rows(got, want, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def test_bpe_round_trip(odd, odd_pairs):
+    same_rows(bpe.decode_documents(bpe.encode_documents(odd)), [(i, t or "") for i, t in odd_pairs], ["doc_id", "text"])
+
+
+PARTS = ["a", "b", "the", " ", "  ", "\n", "'", "'s", "'ll", "1", "23", "!", "..", "é", "日本", "\U0001f600", "<|endoftext|>",
+         " ", "\x1c", "\t", "ing", "A", "​", "́", "<|endo"]
+
+
+@settings(max_examples=300, deadline=None, derandomize=True)
+@given(st.lists(st.sampled_from(PARTS) | st.text(max_size=6), max_size=60), st.sampled_from([1, 3, 7, 20]))
+def test_tree_concatenation_equals_library(library, parts, leaf):
+    text = "".join(parts)
+    ids = library_ids(library, text)
+    b = bpe.bpe(None)
+    assert b.encode_one(text).tolist() == ids
+    assert bpe.encode_text(b, text, leaf).tolist() == ids
+    assert b.decode(np.array(ids, "<u4")) == library.decode(ids, skip_special_tokens=False)
+
+
+@pytest.mark.parametrize("text", ["ab" * 9000, "=" * 20000, "7" * 5000 + "x" * 9000, " " * 9000 + "a", "x'" * 5000])
+def test_unsplit_text(library, text):
+    assert bpe.encode_text(bpe.bpe(None), text, 1024).tolist() == library_ids(library, text)
+
+
+def test_other_vocabularies_go_through_the_library():
+    import public_tokenizers
+
+    b = bpe.ByteBPE(public_tokenizers.path("word_bpe_49k.json"))
+    assert b.ranks is None
+
+
+# Token files --------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("which", ["docs", "odd", "empty"])
+def test_token_files(request, spark, which, rows, odd_pairs, library):
+    pairs = {"docs": rows, "odd": odd_pairs, "empty": []}[which]
+    order = sorted(pairs, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    want, start = [], 0
+    for i, t in order:
+        ids = [*library_ids(library, t), 2]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    manifest = token_files.write_token_files(request.getfixturevalue(which), file_tokens=20_000)
+    same_rows(token_files.read_token_files(spark, manifest), want, ["doc_id", "start", "n_tokens", "ids_crc32"])
+
+
+def test_unlisted_files_are_not_read(spark, docs, tmpdir_fresh):
+    manifest = token_files.write_token_files(docs.limit(20), folder=tmpdir_fresh)
+    token_files.write_bytes(tmpdir_fresh, "part-000000-00000-left-over.tok", token_files.file_bytes([7], [np.array([5, 2], "<u4")]))
+    assert token_files.read_token_files(spark, manifest).count() == 20
+
+
+@settings(max_examples=100, deadline=None, derandomize=True)
+@given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=200))
+def test_rank_codes_round_trip(values):
+    ranks = np.array(values, "<u4")
+    control, data = token_files.encode_ranks(ranks)
+    assert len(control) == -(-len(ranks) // 4)
+    back = token_files.decode_ranks(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), len(ranks))
+    assert (back == ranks).all()
+
+
+def test_file_format():
+    content = token_files.file_bytes([None, 4], [np.array([9, 9, 7, 2], "<u4"), np.array([2], "<u4")])
+    doc_ids, sizes, ids = token_files.parse_file(content)
+    assert doc_ids == [None, 4] and sizes.tolist() == [4, 1] and ids.tolist() == [9, 9, 7, 2, 2]
+    with pytest.raises(ValueError):
+        token_files.parse_file(content[:-1])
+
+
+# Rollups ------------------------------------------------------------------------------------------------------
+
+
+def brute_rollup(full_rows, library):
+    first = {}
+    for r in full_rows:
+        if r["doc_id"] is not None:
+            first[r["text"] or ""] = min(first.get(r["text"] or "", r["doc_id"]), r["doc_id"])
+    out = defaultdict(lambda: [0] * 5)
+    for r in full_rows:
+        t = r["text"] or ""
+        copy = r["doc_id"] is not None and r["doc_id"] > first[t]
+        for version, n in (("byte_bpe_50k", len(library_ids(library, t))), ("words", len(re.findall("[^\x20\x09-\x0d]+", t)))):
+            x = out[(r["source"], r["lang"], version)]
+            x[2] += 1
+            if copy:
+                x[3] += 1
+            else:
+                x[0] += 1
+                x[1] += n + 1
+                x[4] += 1
+    return [(*k, *v) for k, v in out.items()]
+
+
+@pytest.mark.parametrize("which", ["docs", "odd", "empty"])
+def test_rollup(request, which, library):
+    df = request.getfixturevalue(which)
+    full = [{c: r[c] for c in ("doc_id", "text", "source", "lang")} for r in df.select("doc_id", df["text"] if which != "odd" else df.columns[1], "source", "lang").collect()] if which != "odd" else None
+    if full is None:
+        from conftest import odd_rows
+
+        full = [{"doc_id": i, "text": t, "lang": lang, "source": s} for i, t, lang, s, _ in odd_rows()]
+    same_rows(token_rollup.corpus_rollup(df), brute_rollup(full, library), [*token_rollup.KEYS, *token_rollup.SUMS])
+
+
+def test_ledger_commits_once_and_survives_a_dead_attempt(spark, tmpdir_fresh):
+    import os
+
+    ledger = token_rollup.TokenLedger(spark, f"{tmpdir_fresh}/ledger")
+    assert ledger.batches() == [] and ledger.totals().count() == 0
+    counts = spark.createDataFrame([("a", "en", "v", 5), ("a", "en", "v", 7), (None, None, "v", 1)], "source STRING, lang STRING, tokenizer STRING, tokens BIGINT")
+    os.makedirs(f"{tmpdir_fresh}/ledger/batch=1")  # an attempt that died before its marker
+    assert ledger.batches() == []
+    assert ledger.commit("1", token_rollup.inserts(counts))
+    assert not ledger.commit("1", token_rollup.inserts(counts))
+    ledger.commit("2", token_rollup.deletes(counts.where("tokens = 5")))
+    ledger.commit("3", token_rollup.revisions(counts.where("tokens = 7").selectExpr("*", "10L AS old_tokens")))
+    same_rows(ledger.totals(), [("a", "en", "v", 1, 4, 2, 1, 1), (None, None, "v", 1, 1, 1, 0, 0)], [*token_rollup.KEYS, *token_rollup.SUMS])
+
+
+# Sharding -----------------------------------------------------------------------------------------------------
+
+
+def check_shards(got, pairs, shards=8):
+    want = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in pairs)
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    total, most = sum(k[1] * n for k, n in want.items()), max((k[1] for k in want), default=0)
+    slots, size = defaultdict(list), Counter()
+    for r in got:
+        assert 0 <= r["shard"] < shards and r["law"] == "bytes" and r["grown_shard"] is None
+        slots[r["shard"]].append(r["slot"])
+        size[r["shard"]] += r["size"]
+    for s in slots.values():
+        assert sorted(s) == list(range(len(s)))
+    for s in range(shards):
+        assert abs(size[s] - total / shards) <= most + 0.01 * total / shards
+
+
+@pytest.mark.parametrize("which", ["docs", "odd", "empty"])
+def test_shards(request, which, rows, odd_pairs):
+    pairs = {"docs": rows, "odd": odd_pairs, "empty": []}[which]
+    check_shards(sharding.shard_documents(request.getfixturevalue(which)).collect(), pairs)
+
+
+def test_shards_divide_hot_text_and_repeated_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "LEAST_CELL", 8)
+    monkeypatch.setattr(sharding, "CHUNK", 50)
+    pairs = [(i, "hot text" if i % 3 else f"text {i}") for i in range(900)] + [(5, "again")] * 400
+    df = spark.createDataFrame(pairs, "doc_id BIGINT, text STRING")
+    check_shards(sharding.shard_documents(df, ranges=16).collect(), pairs)
+    assert [sorted(map(tuple, sharding.shard_documents(df, ranges=16).collect())) for _ in range(2)].count([]) == 0
+
+
+def test_equal_texts_share_a_shard_where_they_fit(spark):
+    pairs = [(i, f"text number {i % 1500:06d}") for i in range(3000)]
+    got = sharding.shard_documents(spark.createDataFrame(pairs, "doc_id BIGINT, text STRING")).collect()
+    check_shards(got, pairs)
+    by_text = defaultdict(set)
+    for r in got:
+        by_text[r["text_crc32"]].add(r["shard"])
+    assert all(len(s) == 1 for s in by_text.values())
+
+
+# Mixing -------------------------------------------------------------------------------------------------------
+
+
+def brute_targets(sizes):
+    """Share by weight, cut at twice the size, share the excess again until nothing is above."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3.0, 1.0, 2.0)[i % 3] for i, s in enumerate(order)}
+    target, open_, left = {}, set(order), 1.5 * sum(sizes.values())
+    while open_:
+        share = {s: left * weight[s] / sum(weight[x] for x in open_) for s in open_}
+        full = [s for s in open_ if share[s] > 2 * sizes[s]]
+        if not full:
+            target |= share
+            break
+        for s in full:
+            target[s] = 2.0 * sizes[s]
+            left -= target[s]
+            open_.remove(s)
+    return target
+
+
+def check_mix(got, triples):
+    n_words = lambda t: len(re.findall("[^\x20\x09-\x0d]+", t or ""))
+    sizes = Counter()
+    for _, t, s in triples:
+        sizes[s] += n_words(t)
+    target = brute_targets(sizes)
+    assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((i, n_words(t)) for i, t, _ in triples)
+    taken = defaultdict(int)
+    most = defaultdict(int)
+    known = defaultdict(set)
+    for i, t, s in triples:
+        known[(i, n_words(t))].add(s)
+        most[s] = max(most[s], n_words(t))
+    for r in got:
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        sources = [s for s in known[(r["doc_id"], r["size"])] if sizes[s] == r["source_size"]]
+        assert any(abs(target[s] - r["target"]) <= 1e-9 * max(1, target[s]) for s in sources)
+        taken[(r["source_size"], round(r["target"], 6))] += r["taken"]
+    for s in sizes:
+        same = [x for x in sizes if (sizes[x], round(target[x], 6)) == (sizes[s], round(target[s], 6))]
+        assert abs(taken[(sizes[s], round(target[s], 6))] - len(same) * target[s]) <= sum(2 * most[x] for x in same) + 1
+
+
+def test_mix(docs, odd, empty):
+    triples = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+    check_mix(mixing.mix_plan(docs).collect(), triples)
+    from conftest import odd_rows
+
+    check_mix(mixing.mix_plan(odd).collect(), [(i, t, s) for i, t, _, s, _ in odd_rows()])
+    assert mixing.mix_plan(empty).count() == 0
+
+
+def test_mix_reruns_agree_and_ignore_partitioning(docs):
+    plans = [sorted(map(tuple, mixing.mix_plan(d).collect())) for d in (docs, docs.repartition(7), docs.orderBy("text"))]
+    assert plans[0] == plans[1] == plans[2]
+
+
+def test_mix_divides_hot_sizes(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "LEAST_CELL", 4)
+    triples = [(i, "w " * (5 if i % 3 else i % 50), "hot" if i % 2 else f"s{i % 7}") for i in range(700)] + [(3, "w w", "hot")] * 60
+    df = spark.createDataFrame(triples, "doc_id BIGINT, text STRING, source STRING")
+    check_mix(mixing.mix_plan(df).collect(), triples)
+
+
+def test_mix_documents_emits_the_planned_copies(docs, spark):
+    plan = Counter()
+    for r in mixing.mix_plan(docs).collect():
+        plan[r["doc_id"]] += r["copies"]
+    out = mixing.mix_documents(docs)
+    assert out.columns == docs.columns
+    assert Counter(r["doc_id"] for r in out.collect()) == +plan
+    again = docs.limit(30).unionByName(docs.limit(30)).unionByName(docs)
+    total = mixing.mix_plan(again).selectExpr("sum(copies)").first()[0]
+    assert mixing.mix_documents(again).count() == total
+
+
+# Fingerprints -------------------------------------------------------------------------------------------------
+
+
+def brute_fingerprints(pairs):
+    order = sorted(pairs, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()), reverse=True)
+    for k, (i, t) in enumerate(order):
+        t, following = t or "", order[(k + 1) % len(order)][1] or ""
+        n = len(t) // 3
+        yield i, len(t), sha(t[: len(t) - n] + following[:n])
+
+
+@pytest.mark.parametrize("which", ["docs", "odd", "empty"])
+def test_fingerprints(request, which, rows, odd_pairs):
+    pairs = {"docs": rows, "odd": odd_pairs, "empty": []}[which]
+    got = fingerprint.fingerprint_documents(request.getfixturevalue(which))
+    same_rows(got, brute_fingerprints(pairs), ["doc_id", "n_chars", "edited_sha256"])
+    texts = defaultdict(set)
+    for i, t in pairs:
+        texts[i].add(t or "")
+    by_print = defaultdict(set)
+    for r in got.collect():
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+        if len(texts[r["doc_id"]]) == 1:
+            by_print[next(iter(texts[r["doc_id"]]))].add(r["fingerprint"])
+            whole = next(iter(texts[r["doc_id"]])).encode().lower().split()
+            assert (r["fingerprint"] == "") == (not whole)
+    assert all(len(p) == 1 for p in by_print.values())
+
+
+def test_fingerprint_many_ranges(docs, rows, monkeypatch):
+    monkeypatch.setattr(fingerprint, "RANGE_ROWS", 3)
+    same_rows(fingerprint.fingerprint_documents(docs), brute_fingerprints(rows), ["doc_id", "n_chars", "edited_sha256"])
+
+
+def test_fingerprint_estimates():
+    from spindle.llm.common import WordHashes
+
+    memo = WordHashes()
+    words = [f"w{i}" for i in range(20_000)]
+    a, b = (fingerprint.sketch(" ".join(w).encode(), memo) for w in (words, words[:4000]))
+    assert abs(fingerprint.containment(b, a) - 1) < 0.01
+    assert abs(fingerprint.containment(a, b) - 0.2) < 0.03
+    assert abs(fingerprint.likeness(a, b) - 0.2) < 0.03
+    assert (fingerprint.from_text(fingerprint.to_text(a)) == a).all()
+    assert fingerprint.merge(fingerprint.to_text(a), fingerprint.to_text(b)) == fingerprint.to_text(a)
