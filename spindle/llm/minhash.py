@@ -4,9 +4,12 @@
    Documents with equal sets are one *node* from here on (a 128-bit digest of the set), so copies cost nothing.
 2. Signatures are cut into ``BANDS`` bands of ``ROWS`` values; nodes that agree in a band meet in its bucket.
    A pair at the threshold meets in no bucket with a chance of (1 - 0.75**4)**32 = 5e-6.
-3. Candidates.  First every node of a bucket with the bucket's least node (as many pairs as rows).  The links found
-   merge nodes into components; in a second pass only nodes of one bucket that are still in different components are
-   compared, those pairs being the ones a decision is still needed for.  Pairs inside a component are never listed.
+3. Candidates.  First every node of a bucket with the bucket's hub, a node drawn by a hash (as many pairs as rows).
+   The links found merge nodes into components.  In a second pass only nodes of buckets that still hold several
+   components are compared, and of their pairs only those that can reach the threshold: with every set in one order,
+   rarest shingle first, a pair that reaches it must share a shingle among the first ``|A| - need + 1`` of A and the
+   first ``|B| - need + 1`` of B, where ``need`` is the overlap it needs.  This loses no pair and lists few: what a
+   large group has in common stands last.  Pairs inside a component are never listed.
 4. Sequential Bayesian verification: signatures are compared ``BATCH`` values at a time; after each batch a pair is
    pruned when the posterior chance that its similarity reaches the threshold, given the matches so far and a uniform
    prior, is below ``MISS``.
@@ -173,14 +176,13 @@ def bayes_filter(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb").mapInArrow(kernel, "a BINARY, b BINARY")
 
 
-def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold.
+def full_sets(involved: DataFrame, nodes: DataFrame, docs: DataFrame, tag: str) -> DataFrame:
+    """``node, shingles`` (uint64, ascending) of the nodes in ``involved``.
 
-    Sets are computed anew from the texts of the nodes involved: found by a broadcast of their text keys where these
-    are few enough, by a shuffled join otherwise.
+    Sets are computed anew from the texts: found by a broadcast of their text keys where these are few enough, by a
+    shuffled join otherwise.
     """
-    involved = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    keys = stored(involved.join(nodes, "node").select("text_key").distinct(), "mh-keys")
+    keys = stored(involved.join(nodes, "node").select("text_key").distinct(), f"mh-keys-{tag}")
     few = keys.count() <= BROADCAST_KEYS
     texts = pick(docs, "text").withColumn("text_key", F.xxhash64("text"))
     texts = texts.join(F.broadcast(keys) if few else keys, "text_key", "left_semi").select("text")
@@ -190,13 +192,17 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFram
 
         memo = process_cache("words", WordHashes)
         for s in slices(batches, "text"):
-            found = {x: None for x in utf8(s, "text")}
+            found = dict.fromkeys(utf8(s, "text"))
             raw = [shingle_hashes(t, memo).tobytes() for t in found]
             node = [xxhash.xxh3_128_digest(x) for x in raw]
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(raw, pa.binary())], ["node", "shingles"])
 
     full = texts.mapInArrow(sets, "node BINARY, shingles BINARY").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    full = stored(full, "mh-sets")
+    return stored(full, f"mh-sets-{tag}")
+
+
+def exact_links(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """The pairs whose full shingle sets reach the threshold."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in slices(batches, "xa"):
@@ -205,13 +211,50 @@ def exact_links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFram
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(WHOLE * both >= PART * (len(x) + len(y) - both))
-            keep = pa.array(keep)
+            keep = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([s.column("a").filter(keep), s.column("b").filter(keep)], ["a", "b"])
 
     a, b = (full.select(F.col("node").alias(n), F.col("shingles").alias(f"x{n}")) for n in "ab")
     return pairs.join(a, "a").join(b, "b").select("a", "b", "xa", "xb").mapInArrow(verify, "a BINARY, b BINARY")
 
 
+def prefix_pairs(full: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of nodes with different ``root`` that can reach the threshold, by the prefixes of their sets.
+
+    Shingles that only one node has can join nothing; they are counted, as they stand first in its order, and left out.
+    """
+
+    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in slices(batches, "shingles"):
+            sets = [np.frombuffer(x, np.int64) for x in s.column("shingles").to_pylist()]
+            size = np.array([len(x) for x in sets], np.int32)
+            at = np.repeat(np.arange(len(sets)), size)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(sets)), s.column("node").take(pa.array(at)), pa.array(size[at])],
+                ["shingle", "node", "size"],
+            )
+
+    rows = full.select("node", "shingles").mapInArrow(tokens, "shingle BIGINT, node BINARY, size INT")
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    ordered = (
+        rows.join(shared, "shingle")
+        .groupBy("node")
+        .agg(F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+        .withColumn("alone", F.col("size") - F.size("s"))
+        .withColumn("longest", F.col("size") - F.ceil(F.col("size") * PART / WHOLE) + 1 - F.col("alone"))
+        .where("longest > 0")
+        .select("node", "size", "alone", F.posexplode(F.expr("slice(s, 1, cast(longest AS INT))")).alias("pos", "x"))
+        .select("node", "size", F.col("x.shingle").alias("shingle"), (F.col("pos") + F.col("alone")).alias("pos"))
+        .join(roots, "node")
+    )
+    ordered = stored(ordered, "mh-prefixes")
+    a, b = (ordered.select("shingle", *[F.col(c).alias(f"{c}_{n}") for c in ("node", "size", "pos", "root")]) for n in "ab")
+    need = f"ceil({PART} * (size_a + size_b) / {PART + WHOLE})"
+    can = f"""root_a <> root_b AND (size_a < size_b OR (size_a = size_b AND node_a < node_b))
+        AND {WHOLE} * size_a >= {PART} * size_b AND pos_a <= size_a - {need} AND pos_b <= size_b - {need}"""
+    return a.join(b, "shingle").where(can).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id, text_key, kept`` for every row (``text_key``: a hash of the text)."""
     rows = stored(described(docs), "mh-rows")
@@ -226,31 +269,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "mh-nodes",
     )
     members = bucket_rows(nodes)
-    hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    drawn = F.min(F.struct(F.xxhash64("key", "node"), "node"))["node"]
+    hubs = members.groupBy("key").agg(drawn.alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # Buckets of one node are gone after this; the rest is written once and read by both passes.
     busy = stored(members.join(hubs, "key").select("key", "hub", "node"), "mh-buckets")
 
-    def verified(pairs: DataFrame, tag: str) -> DataFrame:
-        likely = stored(bayes_filter(pairs, nodes), f"mh-likely-{tag}")
-        return stored(exact_links(likely, nodes, docs), f"mh-links-{tag}")
-
-    hub_pairs = busy.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = verified(hub_pairs, "1")
+    ends = (F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+    likely = stored(bayes_filter(busy.where("node <> hub").select(*ends).distinct(), nodes), "mh-likely-1")
+    both = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+    links = stored(exact_links(likely, full_sets(both, nodes, docs, "1")), "mh-links-1")
     root = stored(components(links.selectExpr("a AS u", "b AS v")), "mh-roots")
     # Second pass: buckets that still hold several components.  The hub was compared with everyone already.
-    labelled = (
-        busy.join(root, "node", "left")
-        .select("key", "node", F.coalesce("root", "node").alias("root"), (F.col("node") == F.col("hub")).alias("is_hub"))
-    )
-    open_keys = labelled.where("NOT is_hub").groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"))
-    open_rows = stored(
-        labelled.where("NOT is_hub").join(open_keys.where("x <> y").select("key"), "key").select("key", "node", "root"),
-        "mh-open",
-    )
-    left = open_rows.select("key", F.col("node").alias("a"), F.col("root").alias("ra"))
-    right = open_rows.select("key", F.col("node").alias("b"), F.col("root").alias("rb"))
-    cross = left.join(right, "key").where("ra < rb").select("a", "b").distinct()
-    links = links.unionByName(verified(cross, "2"))
+    labelled = busy.where("node <> hub").join(root, "node", "left")
+    labelled = labelled.select("key", "node", F.coalesce("root", "node").alias("root"))
+    open_keys = labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    open_nodes = stored(labelled.join(open_keys.select("key"), "key").select("node", "root").distinct(), "mh-open")
+    full = full_sets(open_nodes, nodes, docs, "2")
+    likely = stored(bayes_filter(prefix_pairs(full, open_nodes), nodes), "mh-likely-2")
+    links = links.unionByName(stored(exact_links(likely, full), "mh-links-2"))
 
     root = components(links.selectExpr("a AS u", "b AS v"))
     placed = nodes.select("node", "doc_id").join(root, "node", "left")
