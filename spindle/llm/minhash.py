@@ -39,6 +39,7 @@ from spindle.llm.graph import components
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BATCH = 16
+HUB_DRAWS = 4
 MISS = 1e-6  # chance at which a pair's reaching the threshold is given up
 PART, WHOLE = 75, 100  # linked: WHOLE * |A and B| >= PART * |A or B|
 BROADCAST_KEYS = 1_000_000  # 8-byte keys broadcast at most (8 MB); beyond, a shuffled join
@@ -269,7 +270,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "mh-nodes",
     )
     members = bucket_rows(nodes)
-    drawn = F.min(F.struct(F.xxhash64("key", "node"), "node"))["node"]
+    # A few drawings, not one per bucket: a group's buckets then share hubs, and fewer different pairs are compared.
+    drawn = F.min(F.struct(F.xxhash64(F.pmod("key", F.lit(HUB_DRAWS)), "node"), "node"))["node"]
     hubs = members.groupBy("key").agg(drawn.alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # Buckets of one node are gone after this; the rest is written once and read by both passes.
     busy = stored(members.join(hubs, "key").select("key", "hub", "node"), "mh-buckets")
