@@ -50,7 +50,7 @@ def timed(out: dict, name: str, fn):
 
 
 def fair_intervals(out: dict, tag: str, points) -> None:
-    p = spread(points).cache()
+    p = spread(points, points.sparkSession.sparkContext.defaultParallelism).cache()
     p.count()
     std = timed(out, f"{tag}_standard_centers", lambda: clu.kmeans(p, K, M))
     fc = timed(out, f"{tag}_fair_centers", lambda: fair.fair_lloyd(p, K, M))
@@ -64,14 +64,14 @@ def suite(spark, sf_dir: str) -> dict[str, float]:
     fair_intervals(q, "lineitem", lineitem_points(spark, sf_dir))
     fair_intervals(q, "embeddings", embeddings_points(spark, sf_dir))
 
-    timed(q, "fair_vs_standard_lineitem", lambda: fair.fair_vs_standard(lineitem_points(spark, sf_dir), K, M)[0].collect())
+    timed(q, "fair_vs_standard_lineitem", lambda: fair.fair_vs_standard(lineitem_points(spark, sf_dir), K, M, partitions=spark.sparkContext.defaultParallelism)[0].collect())
 
     li = lineitem_points(spark, sf_dir)
     init = clu.first_k_centers(li, K, ["id", "features"])
     timed(q, "objectives_lineitem", lambda: clu.objectives(li, init).collect())
     timed(q, "cluster_stats_lineitem", lambda: clu.cluster_stats(li, init).collect())
 
-    docs = documents(spark, sf_dir)
+    docs = spread(documents(spark, sf_dir), spark.sparkContext.defaultParallelism)
     timed(q, "word_count", lambda: run(wc.word_count(docs)))
     timed(q, "word_count_salted", lambda: run(wc.word_count_salted(docs, 8)))
     timed(q, "avg_word_length", lambda: wc.avg_word_length(wc.word_count(docs)).collect())

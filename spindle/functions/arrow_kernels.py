@@ -1,11 +1,11 @@
 """Arrow-batched numpy kernels for centre sets too large to be plan literals (large K * dim).
 
 Spark partitions the points and shuffles the partial results; inside each task a batch of points becomes one
-``(n, dim)`` matrix and its distances to all K centres come from one matrix product,
-‖x‖² - 2 x·c + ‖c‖².  The centre set travels as a broadcast variable whose size is checked by the caller.
-Ties go to the lowest index (``argmin`` returns the first minimum) and NaN distances never win.  The squared
-distance reported for the chosen centre is recomputed directly as Σ (x - c)², so it carries no cancellation
-error; only the choice between two centres closer than rounding error may differ from the JVM path.
+``(n, dim)`` matrix.  A matrix product over coordinates shifted to the centres' mean gives approximate distances to all
+K centres; it only makes a shortlist.  Centres within a proven rounding bound of the least approximate distance are
+compared by the direct Σ (x - c)², summed coordinate by coordinate as the JVM expression does, so index and distance are
+those of the exact path for every centre-set size.  Ties go to the lowest index and NaN distances never win.  The centre
+set travels as a broadcast variable whose size is checked by the caller.
 """
 
 from __future__ import annotations
@@ -24,24 +24,58 @@ def _matrix(batch: pa.RecordBatch, dim: int) -> np.ndarray:
     return flat.reshape(len(batch), dim)
 
 
-def nearest_block(x: np.ndarray, c: np.ndarray, c_norm: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def direct_sq(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Σ (x - c)² per row, added in coordinate order."""
+    total = np.zeros(len(x))
+    for j in range(x.shape[1]):
+        d = x[:, j] - c[:, j]
+        total += d * d
+    return total
+
+
+def nearest_block(x: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(ci, d2)`` for every row of ``x`` against the centres ``c``."""
     if len(x) == 0:
         return np.zeros(0, dtype=np.int32), np.zeros(0)
-    approx = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ c.T) + c_norm[None, :]
-    approx = np.where(np.isnan(approx), np.inf, approx)
-    ci = approx.argmin(axis=1).astype(np.int32)
-    diff = x - c[ci]
-    d2 = (diff * diff).sum(axis=1)
-    return ci, d2
+    with np.errstate(all="ignore"):
+        origin = c.mean(axis=0)
+        xs, cs = x - origin, c - origin
+        x2, c2 = (xs * xs).sum(axis=1), (cs * cs).sum(axis=1)
+        approx = x2[:, None] - 2.0 * (xs @ cs.T) + c2[None, :]
+        # A difference of doubles is off by half an ulp, a sum of products of dim terms by dim ulps of its absolute
+        # terms, which the squared sum of both lengths bounds; 8 (dim + 8) leaves room for every order of summation.
+        slack = 8 * (x.shape[1] + 8) * np.finfo(np.float64).eps * (np.sqrt(x2) + np.sqrt(c2.max())) ** 2
+        low = approx.min(axis=1)
+        # NaN and infinity compare false here, so such rows keep every centre.
+        short = ~(approx > (low + 2 * slack)[:, None])
+        row, ci = np.nonzero(short)
+        d2 = direct_sq(x[row], c[ci])
+    order = np.lexsort((ci, np.where(np.isnan(d2), np.inf, d2), row))
+    first = order[np.searchsorted(row[order], np.arange(len(x)))]
+    return ci[first].astype(np.int32), d2[first]
+
+
+def residual_batches(batches, centers: np.ndarray, offset: int):
+    """mapInArrow body: where ``ci`` lies in this block of centres, ``_rv`` becomes the residual to that centre."""
+    k, dim = centers.shape
+    for b in batches:
+        x = _matrix(b, dim)
+        i = b.schema.get_field_index("_rv")
+        ci = b.column(b.schema.get_field_index("ci")).to_numpy() - offset
+        rv = b.column(i).flatten().to_numpy(zero_copy_only=False).reshape(x.shape).copy()
+        mine = (ci >= 0) & (ci < k)
+        rv[mine] = x[mine] - centers[ci[mine]]
+        ends = pa.array(np.arange(0, (len(x) + 1) * dim, dim, dtype=np.int32))
+        columns = list(b.columns)
+        columns[i] = pa.ListArray.from_arrays(ends, pa.array(rv.ravel()))
+        yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
 
 def assign_batches(batches, centers: np.ndarray, names=("ci", "d2"), offset: int = 0):
     """mapInArrow body: append the nearest centre's index (plus ``offset``) and squared distance to every batch."""
-    c_norm = (centers * centers).sum(axis=1)
     dim = centers.shape[1]
     for b in batches:
-        ci, d2 = nearest_block(_matrix(b, dim), centers, c_norm)
+        ci, d2 = nearest_block(_matrix(b, dim), centers)
         yield pa.RecordBatch.from_arrays(
             [*b.columns, pa.array(ci + offset, pa.int32()), pa.array(d2, pa.float64())],
             names=[*b.schema.names, *names],
@@ -51,33 +85,31 @@ def assign_batches(batches, centers: np.ndarray, names=("ci", "d2"), offset: int
 def distance_batches(batches, center_sets: list[np.ndarray], names: list[str]):
     """mapInArrow body: append, for each centre set, the squared distance to its nearest centre (one pass over the
     points for several centre sets)."""
-    norms = [(c * c).sum(axis=1) for c in center_sets]
     dim = center_sets[0].shape[1]
     for b in batches:
         x = _matrix(b, dim)
-        extra = [pa.array(nearest_block(x, c, cn)[1], pa.float64()) for c, cn in zip(center_sets, norms)]
+        extra = [pa.array(nearest_block(x, c)[1], pa.float64()) for c in center_sets]
         yield pa.RecordBatch.from_arrays([*b.columns, *extra], names=[*b.schema.names, *names])
 
 
 def residual_partials(batches, centers: np.ndarray, by_group: bool):
     """mapInArrow body: per batch and (cluster[, group]) the count, Σr (as a list) and Σ‖r‖², r = x - c_ci."""
-    c_norm = (centers * centers).sum(axis=1)
-    k, dim = centers.shape
+    dim = centers.shape[1]
     for b in batches:
         x = _matrix(b, dim)
-        ci, _ = nearest_block(x, centers, c_norm)
+        ci, _ = nearest_block(x, centers)
         r = x - centers[ci]
         rsq = (r * r).sum(axis=1)
         if by_group:
-            g = np.asarray(b.column(b.schema.get_field_index("grp")).to_pylist(), dtype=object)
-            labels, gi = np.unique(g, return_inverse=True) if len(g) else (np.array([], dtype=object), g)
+            codes = b.column(b.schema.get_field_index("grp")).dictionary_encode(null_encoding="encode")
+            labels, gi = codes.dictionary.to_pylist(), codes.indices.to_numpy()
         else:
-            labels, gi = np.array([None], dtype=object), np.zeros(len(x), dtype=np.int64)
+            labels, gi = [None], np.zeros(len(x), dtype=np.int64)
         key = ci.astype(np.int64) * max(len(labels), 1) + gi
         uniq, inv = np.unique(key, return_inverse=True)
         n = np.bincount(inv, minlength=len(uniq))
-        s = np.zeros((len(uniq), dim))
-        np.add.at(s, inv, r)
+        order = np.argsort(inv, kind="stable")  # rows of a key together, summed by one reduction
+        s = np.add.reduceat(r[order], np.cumsum(n) - n, axis=0) if len(uniq) else np.zeros((0, dim))
         q = np.bincount(inv, weights=rsq, minlength=len(uniq))
         cols = {
             "ci": pa.array((uniq // max(len(labels), 1)).astype(np.int32), pa.int32()),

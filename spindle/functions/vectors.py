@@ -84,10 +84,6 @@ def centers_sql(centers: Centers) -> str:
     return "array(" + ", ".join(array_sql(c) for c in centers) + ")"
 
 
-def centers_literal(centers: Centers) -> Column:
-    return F.expr(centers_sql(centers))
-
-
 def sqdist_to_point_sql(v: str, c: Sequence[float]) -> str:
     """Squared Euclidean distance between array column ``v`` and a fixed point, one term per dimension."""
     terms = []
@@ -109,11 +105,13 @@ def sqdist(a: Column | str, b: Column | str) -> Column:
 
 
 def nearest_sql(v: str, centers: Centers, strategy: str = "auto") -> str:
-    k, _ = check_centers(centers)
+    k, dim = check_centers(centers)
     strategy = choose_strategy(centers, strategy)
     if strategy == "unrolled":
         cands = [f"named_struct('d2', {sqdist_to_point_sql(v, c)}, 'ci', {i})" for i, c in enumerate(centers)]
-        return cands[0] if k == 1 else "least(" + ", ".join(cands) + ")"
+        best = cands[0] if k == 1 else "least(" + ", ".join(cands) + ")"
+        wrong = f"raise_error(concat('every feature vector must have {dim} coordinates, got ', size({v})))"
+        return f"if(size({v}) = {dim}, {best}, {wrong})"
     if strategy == "lambda":
         return (
             f"array_min(transform({centers_sql(centers)}, (c, i) -> "
@@ -129,24 +127,3 @@ def nearest(v: str, centers: Centers, strategy: str = "auto") -> Column:
     and Spark orders NaN above every other double.
     """
     return F.expr(nearest_sql(v, centers, strategy))
-
-
-def vadd(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x + y)
-
-
-def vsub(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: x - y)
-
-
-def vscale(a: Column, s: Column | float) -> Column:
-    s = s if isinstance(s, Column) else F.lit(float(s))
-    return F.transform(a, lambda x: x * s)
-
-
-def zero_vector(dim: int) -> Column:
-    return F.array_repeat(F.lit(0.0), dim)
-
-
-def is_zero(a: Column) -> Column:
-    return F.forall(a, lambda x: x == F.lit(0.0))

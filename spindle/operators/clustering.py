@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from spindle.functions import vectors as V
-from spindle.functions.vectors import Centers, array_sql, centers_sql, check_centers, choose_strategy, nearest
+from spindle.functions.vectors import Centers, centers_sql, check_centers, choose_strategy, nearest
 from spindle.session import spread
 from spindle.sources.points import GROUP_A, GROUP_B
 
@@ -259,8 +259,7 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
 
     Residuals to the current centre keep the sums small, so the group means and scatters recovered from them are
     numerically stable; one pass replaces a second scan against the means.  For a centre set larger than one
-    broadcast the residuals are taken to the fixed vector ``c_0`` instead (no per-row centre lookup);
-    :func:`collect_residual_sums` turns them into residuals to each ``c_ci`` exactly.
+    broadcast each block's Arrow pass sets the residuals of the points whose centre it holds.
     """
     cs = as_centers(centers)
     _, dim = check_centers(cs)
@@ -278,10 +277,12 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
             F.sum("n").cast("bigint").alias("n"), F.sum("rsq").alias("rsq"), *vector_sum_aggs("rsum", dim)
         )
     if chosen == "chunked":
-        assigned = assign(points, cs, "chunked").select(*keys, "features")
-        proj = assigned.selectExpr(*keys, f"zip_with(features, {array_sql(cs[0])}, (a, b) -> a - b) AS _rv").selectExpr(
-            *keys, "_rv", "aggregate(_rv, 0D, (s, y) -> s + y * y) AS _rsq"
-        )
+        residual_batches = _kernels().residual_batches
+        proj = assign(points, cs, "chunked").select(*keys, "features", F.col("features").alias("_rv"))
+        for offset, block in _chunks(cs):
+            bc = _broadcast_centers(points.sparkSession, block)
+            proj = proj.mapInArrow(lambda it, bc=bc, offset=offset: residual_batches(it, bc.value, offset), proj.schema)
+        proj = proj.selectExpr(*keys, "_rv", "aggregate(_rv, 0D, (s, y) -> s + y * y) AS _rsq")
         return proj.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), F.sum("_rsq").alias("rsq"), *vector_sum_aggs("_rv", dim)
         )
@@ -304,17 +305,11 @@ def collect_residual_sums(points: DataFrame, centers: Centers, by_group: bool =
     """The at most 2K rows of :func:`residual_sums` as ``(ci, grp, n, Σr, Σ‖r‖²)`` with r = x - c_ci."""
     cs = as_centers(centers)
     dim = len(cs[0])
-    chunked = choose_strategy(cs) == "chunked"
     with _released_broadcasts():
         rows = residual_sums(points, cs, by_group).collect()
     out = []
     for r in rows:
         ci, n, s, q = r["ci"], int(r["n"]), vector_sum_value(r, dim), float(r["rsq"])
-        if chunked:
-            # Sums were taken to c_0: with u = x - c_0 and e = c_ci - c_0, r = u - e.
-            e = [a - b for a, b in zip(cs[ci], cs[0])]
-            q = q - 2 * sum(a * b for a, b in zip(e, s)) + n * sum(a * a for a in e)
-            s = [a - n * b for a, b in zip(s, e)]
         out.append((ci, r["grp"] if by_group else None, n, s, q))
     return out
 
@@ -394,8 +389,8 @@ def first_k_centers(points: DataFrame, k: int, order: Sequence[str | Column] = (
 class _Cached:
     """Persist a DataFrame for the duration of an iterative job unless the caller already did.
 
-    The points are spread over the default parallelism first (see :func:`spindle.session.spread`).  Lost cached
-    blocks are recomputed from the source; the lineage is one scan, since centres are driver values.
+    ``partitions`` spreads the points over so many partitions first; by default the scan's own layout stays.  Lost
+    cached blocks are recomputed from the source; the lineage is one scan, since centres are driver values.
     """
 
     def __init__(self, df: DataFrame, partitions: int | None = None):
@@ -403,7 +398,7 @@ class _Cached:
         if self.owned:
             # Only the columns the rounds read are cached; ``partitions`` is an explicit round-robin layout.
             cols = df.select("features", "grp")
-            self.df = cols.repartition(partitions) if partitions else spread(cols)
+            self.df = spread(cols, partitions)
         else:
             self.df = df
 

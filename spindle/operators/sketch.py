@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.functions.hashing import HashFamily, hash_col, sign_col
-from spindle.session import ensure_checkpoint_dir, spread
+from spindle.session import ensure_checkpoint_dir
 
 
 def valid(items: DataFrame) -> DataFrame:
@@ -236,7 +236,7 @@ def cell_state(items: DataFrame, fam: HashFamily, by: tuple[str, ...] = ()) -> D
     """``([by...,] tag, a, b, v)``: the summed cells (optionally per batch) -- in batch, the same relation the
     streaming query keeps as its state."""
     return (
-        tagged_cells(spread(items), fam, keep=by)
+        tagged_cells(items, fam, keep=by)
         .groupBy(*by, "tag", "a", "b")
         .agg(F.sum("v").cast("bigint").alias("v"))
     )
@@ -320,6 +320,6 @@ def batch_sizes(items: DataFrame, threshold: int) -> DataFrame:
 
 def bounded_items(items: DataFrame, threshold: int) -> DataFrame:
     """Items of the batches taken under the stop rule.  Taken batches form a prefix in batch order, so a scalar
-    bound replaces a join."""
+    bound replaces a join.  Items without a batch key are the first batch."""
     last = batch_sizes(items, threshold).agg(F.max("batch")).scalar()
-    return items.where(F.col("batch") <= last)
+    return items.where((F.col("batch") <= last) | (F.col("batch").isNull() & F.lit(threshold > 0)))

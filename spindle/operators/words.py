@@ -16,17 +16,13 @@ from spindle.functions.text import utf16_length, words
 from spindle.session import spread
 
 
-def _layout(docs: DataFrame, partitions: int | None) -> DataFrame:
-    return docs.repartition(partitions) if partitions else spread(docs)
-
-
 def tokens(docs: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``(doc_id, word)``, one row per token; ``partitions`` spreads the documents first (default: automatic)."""
-    return _layout(docs, partitions).select("doc_id", F.explode(words(F.col("text"))).alias("word"))
+    """``(doc_id, word)``, one row per token; ``partitions`` spreads the documents first (default: the scan's layout)."""
+    return spread(docs, partitions).select("doc_id", F.explode(words(F.col("text"))).alias("word"))
 
 
 def tokens_with_pos(docs: DataFrame, partitions: int | None = None) -> DataFrame:
-    return _layout(docs, partitions).select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
+    return spread(docs, partitions).select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "word"))
 
 
 def doc_count(docs: DataFrame) -> DataFrame:

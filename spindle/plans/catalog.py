@@ -18,6 +18,7 @@ from spindle.operators import fair
 from spindle.operators import sketch as sk
 from spindle.operators import words as wc
 from spindle.plans import oracle as orc
+from spindle.session import spread
 from spindle.sources.points import embeddings_points, lineitem_points, parse_point_lines, point_lines
 from spindle.sources.text import documents, event_items, lineitem_items, parse_items
 
@@ -53,6 +54,11 @@ def _points(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     return POINT_SETS[dataset](spark, sf_dir)
 
 
+def _cores(spark: SparkSession) -> int:
+    """The layout of the test tables, which are single-split files."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _init(p: DataFrame, k: int = K) -> list[list[float]]:
     return clu.first_k_centers(p, k, ["id", "features"])
 
@@ -119,7 +125,7 @@ def q_cluster_group_stats(dataset):
 def q_kmeans_lloyd(dataset):
     def q(spark, sf):
         p = _points(spark, sf, dataset)
-        return _long(spark, clu.lloyd(p, _init(p), M))
+        return _long(spark, clu.lloyd(p, _init(p), M, partitions=_cores(spark)))
 
     return q
 
@@ -127,7 +133,7 @@ def q_kmeans_lloyd(dataset):
 def q_clustering_report(dataset):
     def q(spark, sf):
         p = _points(spark, sf, dataset)
-        rep = clu.clustering_report(p, K, M, init=_init(p))
+        rep = clu.clustering_report(p, K, M, init=_init(p), partitions=_cores(spark))
         return rep.summary.select("n", "n_a", "n_b", rnd("delta"), rnd("phi"))
 
     return q
@@ -196,7 +202,7 @@ def q_fair_step(dataset):
 def q_fair_lloyd(dataset):
     def q(spark, sf):
         p = _points(spark, sf, dataset)
-        return _long(spark, fair.fair_lloyd(p, K, M, init=_init(p)))
+        return _long(spark, fair.fair_lloyd(p, K, M, init=_init(p), partitions=_cores(spark)))
 
     return q
 
@@ -204,7 +210,7 @@ def q_fair_lloyd(dataset):
 def q_fair_vs_standard(dataset):
     def q(spark, sf):
         p = _points(spark, sf, dataset)
-        summary, _, _ = fair.fair_vs_standard(p, K, M, init=_init(p))
+        summary, _, _ = fair.fair_vs_standard(p, K, M, init=_init(p), partitions=_cores(spark))
         return summary.select("n", "n_a", "n_b", rnd("phi_standard"), rnd("phi_fair"))
 
     return q
@@ -225,7 +231,7 @@ def q_kmeans_init(spark, sf):
 
 def q_words(kind):
     def q(spark, sf):
-        d = documents(spark, sf)
+        d = spread(documents(spark, sf), _cores(spark))
         if kind == "doc_count":
             return wc.doc_count(d)
         if kind == "word_count":

@@ -65,14 +65,11 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "spindle", *parts, uuid.uuid4().hex])
 
 
-def spread(df):
-    """Repartition ``df`` round-robin to the default parallelism when it has fewer partitions than that.
+def spread(df, partitions: int | None):
+    """``df`` dealt round-robin over ``partitions``; unchanged without a number.
 
     Iterative jobs scan their cached input once per round, so an input read as a handful of splits (a file with a
-    single row group) would keep most cores idle in every round.  On a cluster reading many file splits the
-    condition is false and nothing is shuffled.
+    single row group) would keep most cores idle.  The number is the caller's: asking the plan for its own would run
+    its shuffles under adaptive execution.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return df.repartition(partitions) if partitions else df

@@ -17,59 +17,59 @@ GROUP_B = "B"
 POINTS_SCHEMA = "id BIGINT, features ARRAY<DOUBLE>, grp STRING"
 
 
-def checked_group(grp: Column) -> Column:
-    """The group label, failing the job on anything but 'A' or 'B'."""
-    return F.when(grp.isin(GROUP_A, GROUP_B), grp).otherwise(
-        F.raise_error(F.concat(F.lit("group label must be A or B, got: "), F.coalesce(grp, F.lit("NULL"))))
-    )
+def _finite(x: Column) -> Column:
+    return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
+
+
+def _required(ok: Column, message: Column) -> Column:
+    """A filter condition that fails the job where ``ok`` is not true.  Checks in a projected column would be pruned
+    away with the column; a filter is evaluated whatever the consumer reads."""
+    return F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
 
 
 def points_from_table(df: DataFrame, features: Column, group: Column, id_col: Column | None = None) -> DataFrame:
     """Points from any table: a features array expression and a group expression."""
     pid = id_col if id_col is not None else F.lit(None).cast("bigint")
-    return df.select(
-        pid.cast("bigint").alias("id"),
-        features.cast("array<double>").alias("features"),
-        checked_group(group).alias("grp"),
-    )
+    out = df.select(pid.cast("bigint").alias("id"), features.cast("array<double>").alias("features"), group.alias("grp"))
+    label = F.coalesce(F.col("grp").isin(GROUP_A, GROUP_B), F.lit(False))
+    finite = F.coalesce((F.size("features") > 0) & F.forall("features", _finite), F.lit(False))
+    return out.where(
+        _required(label, F.concat(F.lit("group label must be A or B, got: "), F.coalesce("grp", F.lit("NULL"))))
+    ).where(_required(finite, F.lit("a feature vector must hold finite numbers")))
 
 
-def parse_point_lines(lines: DataFrame, mode: str = "failfast", value: str = "value") -> DataFrame:
+def parse_point_lines(lines: DataFrame, mode: str = "failfast", value: str = "value", dim: int | None = None) -> DataFrame:
     """Parse ``x1,...,xd,label`` text lines.  The last comma token is the group, the rest are coordinates.
 
-    ``mode="failfast"`` fails the job on a malformed number or an empty last field; ``mode="drop"`` skips such
-    lines.  Lines get a position-derived id.
+    A line is bad if a coordinate is not a finite number, there is none, the label is not a group, or, with ``dim``,
+    if it has another number of coordinates.  ``mode="failfast"`` fails the job on a bad line, whatever columns are
+    read; ``mode="drop"`` skips bad lines.  Lines get a position-derived id.
     """
+    if mode not in ("failfast", "drop"):
+        raise ValueError(f"unknown mode {mode!r}")
     tok = F.split(F.col(value), ",")
     n = F.size(tok)
     label = F.element_at(tok, -1)
-    raw = F.slice(tok, 1, n - 1)
+    coords = F.transform(F.slice(tok, 1, F.greatest(n - 1, F.lit(0))), lambda t: t.try_cast("double"))
+    ok = (n >= 2) & label.isin(GROUP_A, GROUP_B) & F.forall(coords, _finite)
+    if dim is not None:
+        ok = ok & (n == dim + 1)
+    ok = F.coalesce(ok, F.lit(False))
     if mode == "failfast":
-        # Explicit check, so a malformed number fails the job whether or not the session uses ANSI casts.
-        def coord(t: Column) -> Column:
-            bad = F.raise_error(F.concat(F.lit("malformed coordinate: "), F.coalesce(t, F.lit(""))))
-            return F.coalesce(t.try_cast("double"), bad)
-
-        coords = F.transform(raw, coord)
-        grp = F.when((n >= 2) & (label != F.lit("")), label).otherwise(
-            F.raise_error(F.concat(F.lit("malformed point line: "), F.col(value)))
-        )
-        out = lines.select(
-            F.monotonically_increasing_id().alias("id"), coords.alias("features"), checked_group(grp).alias("grp")
-        )
-        return out
-    if mode == "drop":
-        coords = F.transform(raw, lambda t: t.try_cast("double"))
-        ok = (n >= 2) & (label != F.lit("")) & F.forall(coords, lambda x: x.isNotNull()) & label.isin(GROUP_A, GROUP_B)
-        return lines.where(ok).select(
-            F.monotonically_increasing_id().alias("id"), coords.alias("features"), label.alias("grp")
-        )
-    raise ValueError(f"unknown mode {mode!r}")
-
-
-def read_points(spark: SparkSession, path: str, mode: str = "failfast") -> DataFrame:
+        bad = F.filter(F.slice(tok, 1, F.greatest(n - 1, F.lit(0))), lambda t: ~F.coalesce(_finite(t.try_cast("double")), F.lit(False)))
+        shape = F.concat(F.lit("malformed point line: "), F.coalesce(F.col(value), F.lit("NULL")))
+        why = F.when((n < 2) | (label == F.lit("")), shape)
+        why = why.when(~label.isin(GROUP_A, GROUP_B), F.concat(F.lit("group label must be A or B, got: "), label))
+        why = why.when(F.size(bad) > 0, F.concat(F.lit("malformed coordinate: "), F.get(bad, F.lit(0)))).otherwise(shape)
+        ok = _required(ok, why)
+    return lines.where(ok).select(
+        F.monotonically_increasing_id().alias("id"), coords.alias("features"), label.alias("grp")
+    )
+
+
+def read_points(spark: SparkSession, path: str, mode: str = "failfast", dim: int | None = None) -> DataFrame:
     """Labelled-point text scan (one point per line, no header)."""
-    return parse_point_lines(spark.read.text(path), mode=mode)
+    return parse_point_lines(spark.read.text(path), mode=mode, dim=dim)
 
 
 def point_lines(points: DataFrame, decimals: int = 5) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from spindle.functions.text import parse_item
 
@@ -30,6 +31,8 @@ def items_from_column(df: DataFrame, col: Column | str, batch: Column | None = N
     cols = [c.cast("string").alias("value")]
     if batch is not None:
         cols.append(batch.alias("batch"))
+    if isinstance(df.select(c).schema[0].dataType, (ByteType, ShortType, IntegerType, LongType)):
+        return df.select(*cols, c.cast("bigint").alias("item"))  # already a 64-bit integer: nothing to parse
     return parse_items(df.select(*cols))
 
 

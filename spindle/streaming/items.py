@@ -22,6 +22,7 @@ the running total from the log.
 
 from __future__ import annotations
 
+import threading
 import time
 from dataclasses import dataclass
 
@@ -97,20 +98,39 @@ def _partition_ids(spark: SparkSession, path: str, key: str) -> list[int]:
     return sorted(out)
 
 
+def _complete(spark: SparkSession, path: str, key: str) -> list[int]:
+    """Values of the ``key=<n>`` folders that their writer finished: Spark's own marker is written after the commit, so
+    a folder left by a crash, or one still being written, does not count."""
+    return [i for i in _partition_ids(spark, path, key) if _exists(spark, f"{path}/{key}={i}/_SUCCESS")]
+
+
+def _write(df: DataFrame, path: str) -> None:
+    marked = df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    marked.parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def _read(spark: SparkSession, base: str, key: str, ids: list[int], schema: str) -> DataFrame | None:
+    """Exactly these folders, by explicit path: nothing else under ``base`` is listed or read."""
+    if not ids:
+        return None
+    reader = spark.read.schema(f"{schema}, {key} BIGINT").option("basePath", base)
+    return reader.parquet(*[f"{base}/{key}={i}" for i in ids])
+
+
 def _latest(spark: SparkSession, out_dir: str, upto: int | None = None) -> DataFrame:
-    """Latest value per state key: the newest snapshot plus only the update folders written after it."""
-    snaps = [i for i in _partition_ids(spark, f"{out_dir}/snapshots", "snap_id") if upto is None or i <= upto]
-    base = snaps[-1] if snaps else -1
-    parts = []
-    if snaps:
-        snap = spark.read.schema(CELL_SCHEMA).parquet(f"{out_dir}/snapshots/snap_id={base}")
-        parts.append(snap.withColumn("batch_id", F.lit(base).cast("bigint")))
-    if _exists(spark, f"{out_dir}/updates"):
-        upd = spark.read.schema(f"{CELL_SCHEMA}, batch_id BIGINT").parquet(f"{out_dir}/updates")
-        cond = F.col("batch_id") > F.lit(base)  # partition pruning: older folders are not read
-        if upto is not None:
-            cond = cond & (F.col("batch_id") <= F.lit(upto))
-        parts.append(upd.where(cond))
+    """Latest value per state key: the newest complete snapshot plus only the complete updates written after it."""
+    within = lambda i: upto is None or i <= upto
+    snaps = [i for i in _complete(spark, f"{out_dir}/snapshots", "snap_id") if within(i)][-1:]
+    base = snaps[0] if snaps else -1
+    updates = [i for i in _complete(spark, f"{out_dir}/updates", "batch_id") if within(i) and i > base]
+    snap = _read(spark, f"{out_dir}/snapshots", "snap_id", snaps, CELL_SCHEMA)
+    upd = _read(spark, f"{out_dir}/updates", "batch_id", updates, CELL_SCHEMA)
+    parts = [p for p in (snap and snap.withColumnRenamed("snap_id", "batch_id"), upd) if p is not None]
     if not parts:
         return spark.createDataFrame([], CELL_SCHEMA)
     df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -120,19 +140,34 @@ def _latest(spark: SparkSession, out_dir: str, upto: int | None = None) -> DataF
 class _UpsertSink:
     """foreachBatch: write the batch's updated keys under ``updates/batch_id=<id>`` (overwrite: idempotent on
     replay); every ``compact_every`` batches also write the full latest state as ``snapshots/snap_id=<id>``, so
-    readers never scan more than ``compact_every`` update folders."""
+    readers never scan more than ``compact_every`` update folders.  What the snapshot *before* a complete one already
+    covers is deleted then: a reader that started on the older snapshot still finds its files."""
 
     def __init__(self, out_dir: str, compact_every: int = 50):
         self.out_dir = out_dir
         self.compact_every = compact_every
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        batch_df.write.mode("overwrite").parquet(f"{self.out_dir}/updates/batch_id={batch_id}")
+        _write(batch_df, f"{self.out_dir}/updates/batch_id={batch_id}")
         if self.compact_every and (batch_id + 1) % self.compact_every == 0:
             spark = batch_df.sparkSession
-            _latest(spark, self.out_dir, upto=batch_id).write.mode("overwrite").parquet(
-                f"{self.out_dir}/snapshots/snap_id={batch_id}"
-            )
+            _write(_latest(spark, self.out_dir, upto=batch_id), f"{self.out_dir}/snapshots/snap_id={batch_id}")
+            older = [i for i in _complete(spark, f"{self.out_dir}/snapshots", "snap_id") if i < batch_id]
+            if older:
+                for kind, key in (("updates", "batch_id"), ("snapshots", "snap_id")):
+                    for i in _partition_ids(spark, f"{self.out_dir}/{kind}", key):
+                        if i < older[-1] or (kind == "updates" and i == older[-1]):
+                            _delete(spark, f"{self.out_dir}/{kind}/{key}={i}")
+
+
+def _folders(spark: SparkSession, kind: str, out_dir: str | None, checkpoint: str | None) -> tuple[str, str]:
+    """Output and checkpoint folder.  Each, where it is not given, follows from the other, so a restart with either
+    finds both; with neither, both are new."""
+    if out_dir is None and checkpoint is None:
+        out_dir = work_path(spark, kind)
+    if out_dir is None:
+        out_dir = checkpoint.rstrip("/") + "-out"
+    return out_dir, checkpoint or out_dir.rstrip("/") + "-ckpt"
 
 
 @dataclass
@@ -149,8 +184,10 @@ class RunningState:
         return tables_from_cells(self.state())
 
     def report(self, fam: HashFamily, k: int) -> HeavyHitters:
-        processed, freq, cm, cs = self.tables()
-        return hh_from_tables(processed, freq, cm, cs, fam, k)
+        state = self.state()
+        hh = hh_from_tables(*tables_from_cells(state), fam, k)
+        hh.state = state  # for release()
+        return hh
 
 
 def start_running_state(
@@ -165,8 +202,7 @@ def start_running_state(
     """Start the stateful query; ``trigger`` defaults to ``{"availableNow": True}``, use
     ``{"processingTime": "100 milliseconds"}`` for an unbounded source."""
     spark = lines.sparkSession
-    out_dir = out_dir or work_path(spark, "stream-state")
-    checkpoint = checkpoint or work_path(spark, "stream-ckpt")
+    out_dir, checkpoint = _folders(spark, "stream-state", out_dir, checkpoint)
     agg = cells(lines, fam).groupBy("tag", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
     writer = agg.writeStream.outputMode("update").foreachBatch(_UpsertSink(out_dir, compact_every)).option(
         "checkpointLocation", checkpoint
@@ -190,62 +226,73 @@ def run_running_state(lines: DataFrame, fam: HashFamily, **kw) -> RunningState:
 
 
 class BoundedSink:
-    """foreachBatch sink applying the stop rule; writes partial cells and a batch log under ``out_dir``."""
+    """foreachBatch sink applying the stop rule; writes partial cells and a batch log under ``out_dir``.
+
+    A batch counts once its log row is complete, which is written after its cells; :meth:`state` reads no other.
+    """
 
     def __init__(self, spark: SparkSession, out_dir: str, fam: HashFamily, threshold: int):
         self.out_dir = out_dir
         self.fam = fam
         self.threshold = threshold
-        self.sizes: dict[int, int] = {}
-        log = f"{out_dir}/log"
-        if _exists(spark, log):  # restarted driver: recover the running total
-            for r in spark.read.schema("size BIGINT, before BIGINT, batch_id BIGINT").parquet(log).collect():
-                self.sizes[int(r["batch_id"])] = int(r["size"])
+        self.begun = threading.Event()  # the query called the sink for the first time
+        self._lock = threading.Lock()
+        self._closed = False
+        # Lines of all taken batches, and the last one (the only one that can come again).
+        self.total, self._last, self._last_before = 0, -1, 0
+        ids = self._taken(spark)
+        if ids:  # restarted driver: recover the running total
+            log = self.log(spark)
+            self.total = log.agg(F.sum("size")).first()[0]
+            self._last = ids[-1]
+            self._last_before = log.where(F.col("batch_id") == self._last).first()["before"]
+
+    def _taken(self, spark: SparkSession) -> list[int]:
+        return _complete(spark, f"{self.out_dir}/log", "batch_id")
 
     def before(self, batch_id: int) -> int:
-        return sum(s for b, s in self.sizes.items() if b < batch_id)
+        """Lines taken by the batches before this one, which is a new batch or the last one again."""
+        return self._last_before if batch_id <= self._last else self.total
 
-    @property
-    def total(self) -> int:
-        return sum(self.sizes.values())
+    def close(self) -> None:
+        """Refuse further batches; returns when the one being written is done."""
+        with self._lock:
+            self._closed = True
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        self.begun.set()
+        with self._lock:
+            if self._closed:  # the batch stays uncommitted, so a restart takes it
+                raise RuntimeError("the bounded run was closed")
+            self._write(batch_df, batch_id)
+
+    def _write(self, batch_df: DataFrame, batch_id: int) -> None:
         before = self.before(batch_id)
         if before >= self.threshold:
             return
         # One pass over the batch: its partial cells (at most distinct items + 2*D*W rows) carry the batch size in
         # the processed tag, so no separate count is needed.
-        part = (
-            cells(batch_df, self.fam)
-            .groupBy("tag", "a", "b")
-            .agg(F.sum("v").cast("bigint").alias("v"))
-            .persist(StorageLevel.MEMORY_AND_DISK)
-        )
-        try:
-            part.write.mode("overwrite").parquet(f"{self.out_dir}/cells/batch_id={batch_id}")
-            size = part.where(F.col("tag") == TAG_P).agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0]
-            spark = batch_df.sparkSession
-            spark.createDataFrame([(int(size), before)], "size BIGINT, before BIGINT").write.mode("overwrite").parquet(
-                f"{self.out_dir}/log/batch_id={batch_id}"
-            )
-            self.sizes[batch_id] = int(size)
-        finally:
-            part.unpersist()
+        part = cells(batch_df, self.fam).groupBy("tag", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
+        path = f"{self.out_dir}/cells/batch_id={batch_id}"
+        _write(part, path)
+        spark = batch_df.sparkSession
+        written = spark.read.schema(CELL_SCHEMA).parquet(path)
+        size = int(written.where(F.col("tag") == TAG_P).agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0])
+        row = spark.range(1).select(F.lit(size).cast("bigint").alias("size"), F.lit(before).cast("bigint").alias("before"))
+        _write(row, f"{self.out_dir}/log/batch_id={batch_id}")
+        self.total, self._last, self._last_before = before + size, batch_id, before
 
     def state(self, spark: SparkSession) -> DataFrame:
-        path = f"{self.out_dir}/cells"
-        if not _exists(spark, path):
+        df = _read(spark, f"{self.out_dir}/cells", "batch_id", self._taken(spark), CELL_SCHEMA)
+        if df is None:
             return spark.createDataFrame([], CELL_SCHEMA)
-        df = spark.read.schema(f"{CELL_SCHEMA}, batch_id BIGINT").parquet(path)
         return df.groupBy("tag", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
 
     def log(self, spark: SparkSession) -> DataFrame:
-        path = f"{self.out_dir}/log"
-        if not _exists(spark, path):
+        df = _read(spark, f"{self.out_dir}/log", "batch_id", self._taken(spark), "size BIGINT, before BIGINT")
+        if df is None:
             return spark.createDataFrame([], "batch_id BIGINT, size BIGINT, before BIGINT")
-        return spark.read.schema("size BIGINT, before BIGINT, batch_id BIGINT").parquet(path).select(
-            "batch_id", "size", "before"
-        )
+        return df.select("batch_id", "size", "before")
 
 
 @dataclass
@@ -258,8 +305,9 @@ class BoundedRun:
 
     def report(self, fam: HashFamily, k: int) -> HeavyHitters:
         state = self.sink.state(self.spark).persist(StorageLevel.MEMORY_AND_DISK)
-        processed, freq, cm, cs = tables_from_cells(state)
-        return hh_from_tables(processed, freq, cm, cs, fam, k)
+        hh = hh_from_tables(*tables_from_cells(state), fam, k)
+        hh.state = state  # for release()
+        return hh
 
 
 def run_bounded(
@@ -272,10 +320,13 @@ def run_bounded(
     trigger: dict | None = None,
     poll_s: float = 0.1,
 ) -> BoundedRun:
-    """Consume ``lines`` until T lines were taken (at a batch boundary), the input ends, or the timeout passes."""
+    """Consume ``lines`` until T lines were taken (at a batch boundary), the input ends, or the timeout passes.
+
+    The clock starts once the query is initialised (its first batch reaches the sink, or it waits for data).  At the
+    deadline a batch that is being written is finished, and no other is taken.
+    """
     spark = lines.sparkSession
-    out_dir = out_dir or work_path(spark, "bounded")
-    checkpoint = checkpoint or work_path(spark, "bounded-ckpt")
+    out_dir, checkpoint = _folders(spark, "bounded", out_dir, checkpoint)
     sink = BoundedSink(spark, out_dir, fam, threshold)
     q = (
         lines.writeStream.foreachBatch(sink)
@@ -283,14 +334,16 @@ def run_bounded(
         .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
         .start()
     )
-    start = time.monotonic()
+    start = None
     timed_out = False
-    while q.isActive:
-        if sink.total >= threshold:
-            break
-        if time.monotonic() - start > timeout_s:
+    while q.isActive and sink.total < threshold:
+        if start is None and (sink.begun.is_set() or "Waiting" in q.status["message"]):
+            start = time.monotonic()
+        if start is not None and time.monotonic() - start > timeout_s:
             timed_out = True
             break
         q.awaitTermination(poll_s)
+    sink.close()
+    timed_out = timed_out and sink.total < threshold
     q.stop()
     return BoundedRun(q, sink, spark, sink.total >= threshold, timed_out)

@@ -6,6 +6,7 @@ import os
 import numpy as np
 import pytest
 from conftest import SF001, points_df
+from pyspark.sql import functions as F
 
 from spindle.functions import vectors as V
 from spindle.operators import clustering as clu
@@ -296,3 +297,74 @@ def test_failfast_without_ansi(spark, tmpdir_fresh):
             read_points(spark, path).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+# ---------------------------------------------------------------------------------------------------------------
+# One answer for every centre-set size, and checks that cannot be pruned away
+# ---------------------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("offset", [0.0, 1e6, 1.7e9])
+def test_every_strategy_gives_the_same_assignment(spark, monkeypatch, offset):
+    import numpy as np
+
+    rng = np.random.default_rng(int(offset) % 97)
+    grid = rng.integers(-3, 4, (60, 2)).astype(float) + offset  # many exact ties
+    centers = [list(map(float, c)) for c in rng.integers(-3, 4, (12, 2)).astype(float) + offset]
+    centers += [centers[3], [offset, offset], [offset + 1e5, offset]]  # duplicates, and one far away
+    rows = [(i, list(map(float, x)), "AB"[i % 2]) for i, x in enumerate(grid)]
+    df = spark.createDataFrame(rows, "id BIGINT, features ARRAY<DOUBLE>, grp STRING")
+    want = []
+    for i, x, _ in rows:
+        d = [sum((a - b) * (a - b) for a, b in zip(x, c)) for c in centers]
+        want.append((i, d.index(min(d)), min(d)))
+    monkeypatch.setattr(clu.V, "MAX_BROADCAST_CELLS", 8)
+    for strategy in ("unrolled", "lambda", "arrow", "chunked"):
+        got = sorted((r["id"], r["ci"], r["d2"]) for r in clu.assign(df, centers, strategy).collect())
+        assert got == want, strategy
+
+
+def test_blockwise_sums_do_not_cancel(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.standard_normal(2) + (i % 2) * 1e7], "AB"[i % 3 % 2]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id BIGINT, features ARRAY<DOUBLE>, grp STRING")
+    centers = [[0.5, 0.5], [1e7, 1e7]]
+    want = sorted(clu.collect_residual_sums(df, centers))
+    monkeypatch.setattr(clu.V, "UNROLL_CELLS", 1)
+    monkeypatch.setattr(clu.V, "MAX_BROADCAST_CELLS", 2)
+    got = sorted(clu.collect_residual_sums(df, centers))
+    for (ci, g, n, s, q), (ci2, g2, n2, s2, q2) in zip(got, want, strict=True):
+        assert (ci, g, n) == (ci2, g2, n2)
+        assert q == pytest.approx(q2, rel=1e-9) and s == pytest.approx(s2, rel=1e-6, abs=1e-6)
+
+
+def test_a_vector_of_another_length_fails_on_every_path(spark):
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0], "A")], "id BIGINT, features ARRAY<DOUBLE>, grp STRING")
+    for strategy in ("unrolled", "arrow"):
+        with pytest.raises(Exception, match="coordinates"):
+            clu.assign(df, [[1.0, 2.0]], strategy).select("ci").collect()
+
+
+@pytest.mark.parametrize("line", ["1.0,x,A", "1.0,2.0,C", "1.0,NaN,A", "Infinity,2.0,B", "A", "1.0,2.0,", "1.0,2.0,3.0,A"])
+def test_bad_point_lines_fail_or_drop_whatever_is_read(spark, line):
+    from spindle.sources.points import parse_point_lines
+
+    lines = spark.createDataFrame([("1.0,2.0,A",), (line,), ("3.0,4.0,B",)], "value STRING")
+    for columns in (["features"], ["grp"], ["id"]):
+        with pytest.raises(Exception, match="malformed|must be A or B"):
+            parse_point_lines(lines, dim=2).select(*columns).collect()
+        assert parse_point_lines(lines, mode="drop", dim=2).select(*columns).count() == 2
+    with pytest.raises(Exception, match="malformed|must be A or B"):
+        clu.group_counts(parse_point_lines(lines, dim=2)).collect()
+
+
+@pytest.mark.parametrize("row", [([1.0, float("nan")], "A"), ([1.0, None], "A"), (None, "A"), ([], "B"), ([1.0], "C"), ([1.0], None)])
+def test_bad_table_points_fail_whatever_is_read(spark, row):
+    from spindle.sources.points import points_from_table
+
+    df = spark.createDataFrame([([1.0], "A"), row], "x ARRAY<DOUBLE>, g STRING")
+    for columns in (["features"], ["grp"]):
+        with pytest.raises(Exception, match="finite numbers|must be A or B"):
+            points_from_table(df, F.col("x"), F.col("g")).select(*columns).collect()

@@ -1,4 +1,4 @@
-"""Session helpers: the adaptive spread and the shared checkpoint folder rule."""
+"""Session helpers: the explicit spread and the shared checkpoint folder rule."""
 
 from __future__ import annotations
 
@@ -8,12 +8,30 @@ from conftest import SF001
 from spindle.session import ensure_checkpoint_dir, spread
 
 
-def test_spread_only_when_thin(spark):
-    thin = spark.read.parquet(f"{SF001}/lineitem.parquet")  # one row group: one split
-    wide = thin.repartition(spark.sparkContext.defaultParallelism)
-    assert thin.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
-    assert spread(thin).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(wide) is wide  # enough partitions: nothing is shuffled
+def test_spread_is_explicit(spark):
+    df = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    assert spread(df, None) is df
+    assert spread(df, 3).rdd.getNumPartitions() == 3
+
+
+def test_building_operators_starts_no_job(spark):
+    from spindle.operators import clustering as clu
+    from spindle.operators import sketch as sk
+    from spindle.operators import words as wc
+    from spindle.functions.hashing import hash_family
+    from spindle.sources.points import lineitem_points
+    from spindle.sources.text import documents, lineitem_items
+
+    docs = documents(spark, SF001).groupBy("doc_id").agg({"text": "max"}).toDF("doc_id", "text")
+    points, items, fam = lineitem_points(spark, SF001), lineitem_items(spark, SF001), hash_family(3, 10, seed=1)
+    spark.sparkContext.setJobGroup("building", "")
+    counts = wc.word_count(docs)
+    for _ in (wc.distinct_words(counts), wc.avg_word_length(counts), wc.word_count_partition(docs), clu.group_counts(points),
+              clu.assign(points, [[1.0, 2.0]]), clu.objectives(points, [[float(i), 0.0] for i in range(40)]),
+              sk.item_frequency(items), sk.cell_state(items, fam), sk.count_min_cells(items, fam)):
+        pass
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == 0
+    spark.sparkContext.setJobGroup("", "")
 
 
 class _Conf:

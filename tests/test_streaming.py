@@ -118,3 +118,98 @@ def parse_lines(spark, values):
     from spindle.sources.text import parse_items
 
     return parse_items(spark.createDataFrame([(v,) for v in values], "value STRING"))
+
+
+def _cells(spark, *rows):
+    return spark.createDataFrame(list(rows), "tag INT, a BIGINT, b BIGINT, v BIGINT").select(
+        *[F.col(f.name).cast(f.dataType) for f in _cell_schema()]
+    )
+
+
+def _cell_schema():
+    from pyspark.sql.types import StructType
+
+    from spindle.operators.sketch import CELL_SCHEMA
+
+    return StructType.fromDDL(CELL_SCHEMA)
+
+
+def test_unfinished_snapshot_and_update_are_passed_over(spark, tmpdir_fresh):
+    from spindle.streaming.items import _latest, _UpsertSink
+
+    sink = _UpsertSink(tmpdir_fresh, compact_every=0)
+    sink(_cells(spark, (1, 5, 0, 3)), 0)
+    sink(_cells(spark, (1, 6, 0, 1)), 1)
+    os.makedirs(f"{tmpdir_fresh}/snapshots/snap_id=1")  # begun, never completed
+    os.makedirs(f"{tmpdir_fresh}/updates/batch_id=2")
+    assert sorted(r["a"] for r in _latest(spark, tmpdir_fresh).collect()) == [5, 6]
+
+
+def test_snapshots_replace_what_they_cover(spark, tmpdir_fresh):
+    from spindle.streaming.items import _latest, _UpsertSink
+
+    sink = _UpsertSink(tmpdir_fresh, compact_every=2)
+    for i in range(9):
+        sink(_cells(spark, (1, i % 4, 0, 10 + i)), i)
+    assert sorted((r["a"], r["v"]) for r in _latest(spark, tmpdir_fresh).collect()) == [(0, 18), (1, 15), (2, 16), (3, 17)]
+    assert sorted(os.listdir(f"{tmpdir_fresh}/snapshots")) == ["snap_id=5", "snap_id=7"]
+    assert sorted(os.listdir(f"{tmpdir_fresh}/updates")) == ["batch_id=6", "batch_id=7", "batch_id=8"]
+
+
+def _lines(spark, directory, name, text):
+    os.makedirs(directory, exist_ok=True)
+    with open(os.path.join(directory, name), "w") as f:
+        f.write(text)
+    return item_stream(spark, directory, "value", fmt="text")
+
+
+def test_restart_with_the_same_checkpoint_keeps_its_state(spark, tmpdir_fresh):
+    src, ckpt = f"{tmpdir_fresh}/in", f"{tmpdir_fresh}/ckpt"
+    run_running_state(_lines(spark, src, "a.txt", "1\n2\nx\n"), FAM, checkpoint=ckpt)
+    again = run_running_state(_lines(spark, src, "b.txt", "7\n"), FAM, checkpoint=ckpt)
+    processed, freq, _, _ = again.tables()
+    assert processed.first().processed == 4
+    assert _rows(freq) == [(1, 1), (2, 1), (7, 1)]
+
+
+def test_a_batch_without_log_row_is_not_counted(spark, tmpdir_fresh):
+    from spindle.streaming.items import tables_from_cells
+
+    sink = BoundedSink(spark, tmpdir_fresh, FAM, threshold=100)
+    sink(spark.createDataFrame([("1",), ("2",)], "value STRING"), 0)
+    cells = f"{tmpdir_fresh}/cells/batch_id="
+    spark.read.parquet(cells + "0").write.parquet(cells + "1")  # died between cells and log
+    again = BoundedSink(spark, tmpdir_fresh, FAM, threshold=100)
+    assert again.total == 2
+    assert tables_from_cells(again.state(spark))[0].first().processed == 2
+
+
+def test_deadline_lets_the_running_batch_finish_and_takes_no_other(spark, tmpdir_fresh):
+    src = f"{tmpdir_fresh}/in"
+    for i in range(6):
+        lines = _lines(spark, src, f"{i}.txt", "1\n2\n")
+    lines = item_stream(spark, src, "value", fmt="text", max_files_per_trigger=1)
+    run = run_bounded(lines, FAM, threshold=1000, timeout_s=0.0, out_dir=f"{tmpdir_fresh}/out")
+    assert run.timed_out and run.sink.total in (2, 4)
+    assert run.report(FAM, 5).summary.first().processed == run.sink.total
+    end = run_bounded(lines, FAM, threshold=1000, timeout_s=60, out_dir=f"{tmpdir_fresh}/out", trigger={"availableNow": True})
+    assert not end.timed_out and end.sink.total == 12
+    assert end.report(FAM, 5).summary.first().processed == 12
+
+
+def test_reports_release_what_they_persist(spark):
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    rs = run_running_state(item_stream(spark, SF001, "user_id", glob="events.parquet"), FAM)
+    for _ in range(2):
+        hh = rs.report(FAM, 5)
+        hh.summary.collect()
+        hh.release()
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == before
+
+
+def test_items_without_batch_key_are_the_first_batch(spark):
+    rows = [(None, "1"), (1, "2"), (2, "3"), (None, "4")]
+    items = spark.createDataFrame(rows, "batch INT, value STRING").withColumn("item", F.col("value").cast("bigint"))
+    for threshold, n in ((1, 2), (3, 3), (4, 4), (0, 0)):
+        assert sk.bounded_items(items, threshold).count() == n
+        assert sum(r["size"] for r in sk.batch_sizes(items, threshold).collect()) == n
