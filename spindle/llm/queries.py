@@ -85,9 +85,9 @@ def op8_sql() -> str:
 WITH RECURSIVE v AS (
     SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
 ), good AS (
-    SELECT vec_id, e, sqrt(list_sum(list_transform(e, x -> x * x))) AS norm FROM v
-    WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-      AND len(list_filter(e, x -> x <> 0)) > 0
+    SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+    WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), links AS (
     SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
     WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9
