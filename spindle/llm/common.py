@@ -51,8 +51,8 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that one slice holds at most ``SLICE_BYTES`` of ``column`` (one row at least)."""
+def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that one slice holds at most ``limit`` bytes of ``column`` (one row at least)."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -61,17 +61,24 @@ def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.Record
         start = 0
         while start < batch.num_rows:
             before = total[start - 1] if start else 0
-            end = max(start + 1, int(np.searchsorted(total, before + SLICE_BYTES, "right")))
+            end = max(start + 1, int(np.searchsorted(total, before + limit, "right")))
             yield batch.slice(start, end - start)
             start = end
 
 
-def process_cache(name: str, make: Callable[[], object]) -> object:
-    """An object made once per Python worker process; it outlives a task, as workers are reused."""
+def process_cache(name: str, make: Callable[[], object], version: object = None) -> object:
+    """An object made once per Python worker process; it outlives a task, as workers are reused.
+
+    A worker holds one object only: another name or version takes its place, so that a worker that has served several
+    operators, or several fitted models, holds no more than the largest of them.
+    """
     home = sys.modules.setdefault("_spindle_llm_cache", types.ModuleType("_spindle_llm_cache")).__dict__
-    if name not in home:
-        home[name] = make()
-    return home[name]
+    if home.get("key") != (name, version):
+        home["key"] = home["value"] = None
+        pa.default_memory_pool().release_unused()
+        home["value"] = make()
+        home["key"] = name, version
+    return home["value"]
 
 
 # ------------------------------------------------------------------------------------------------------------------
@@ -79,7 +86,7 @@ def process_cache(name: str, make: Callable[[], object]) -> object:
 # ------------------------------------------------------------------------------------------------------------------
 
 SHINGLE_WORDS = 5
-MEMO_WORDS = 400_000  # entries of a worker's word memo before it is emptied
+MEMO_WORDS = 100_000  # entries of a worker's word memo before it is emptied
 
 
 def words_of(text: bytes) -> list[bytes]:

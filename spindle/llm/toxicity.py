@@ -40,8 +40,9 @@ DECAY = 1e-4
 RATE = 0.01
 THRESHOLD = 0.7
 SEED = 11
-MEMO_WORDS = 500_000  # words whose inputs a worker remembers
+MEMO_WORDS = 100_000  # words whose inputs a worker remembers
 SCORE_BATCH = 1024  # windows scored at once
+SCORE_BYTES = 1 << 20  # text whose words a worker holds at once; a longer text is scored by itself
 
 
 def window_starts(n: int) -> np.ndarray:
@@ -246,8 +247,8 @@ def score_documents(docs: DataFrame, model: dict | None) -> DataFrame:
     mark = zlib.crc32(raw)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = process_cache(f"toxic:{mark}", lambda: Scorer(pickle.loads(shared.value)))
-        for s in slices(batches, "text"):
+        scorer = process_cache("toxic", lambda: Scorer(pickle.loads(shared.value)), mark)
+        for s in slices(batches, "text", SCORE_BYTES):
             scores = scorer.scores([t or b"" for t in utf8(s, "text")])
             yield pa.RecordBatch.from_arrays([*s.columns, pa.array(scores, pa.float64())], [*s.schema.names, name])
 

@@ -14,6 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from spindle.llm import bpe, fingerprint, mixing, secret_scan, sharding, token_files, token_rollup
+from spindle.llm.common import process_cache
 
 
 def sha(s: str) -> str:
@@ -392,3 +393,18 @@ def test_fingerprint_estimates():
     assert abs(fingerprint.likeness(a, b) - 0.2) < 0.03
     assert (fingerprint.from_text(fingerprint.to_text(a)) == a).all()
     assert fingerprint.merge(fingerprint.to_text(a), fingerprint.to_text(b)) == fingerprint.to_text(a)
+
+
+# Per-process cache --------------------------------------------------------------------------------------------
+
+
+def test_process_cache_holds_one_object():
+    made = []
+
+    def get(name, version=None):
+        return process_cache(name, lambda: made.append((name, version)) or object(), version)
+
+    first = get("a", 1)
+    assert get("a", 1) is first and made == [("a", 1)]
+    assert get("a", 2) is not first and get("b") is get("b")
+    assert get("a", 1) is not first and made == [("a", 1), ("a", 2), ("b", None), ("a", 1)]
