@@ -472,6 +472,8 @@ def clustering_report(
     with _Cached(points, partitions) as p:
         cs = kmeans(p, k, rounds, seed=seed) if isinstance(init, str) else lloyd(p, init, rounds)
         summary = objectives(p, cs).collect()
+        stats = cluster_stats(p, cs)
+        rows = stats.collect()  # at most K rows, read while the points are cached
     spark = points.sparkSession
     summary_df = spark.createDataFrame(summary, "n BIGINT, n_a BIGINT, n_b BIGINT, delta DOUBLE, phi DOUBLE")
-    return ClusteringReport(cs, summary_df, cluster_stats(points, cs))
+    return ClusteringReport(cs, summary_df, spark.createDataFrame(rows, stats.schema))
