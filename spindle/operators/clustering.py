@@ -361,7 +361,8 @@ def kmeans(
     tol: float = 1e-4,
     init_steps: int = 2,
 ) -> list[list[float]]:
-    """Spark ML k-means; returns the centres (possibly fewer than k when there are fewer distinct points).
+    """Spark ML k-means; returns the centres (possibly fewer than k when there are fewer distinct points).  Its draws
+    depend on the partitioning; ``lloyd(p, kmeans_init(p, k), m, tol=1e-4)`` is the same algorithm without that.
 
     ``max_iter=0`` gives the k-means|| seeding alone.
     """
@@ -375,9 +376,72 @@ def kmeans(
     return [[float(x) for x in c] for c in model.clusterCenters()]
 
 
-def kmeans_init(points: DataFrame, k: int, seed: int = 48) -> list[list[float]]:
-    """k-means|| seeding only."""
-    return kmeans(points, k, 0, seed=seed)
+def draw(head: Column | str, round_: int, seed: int) -> Column:
+    """A uniform number in [0, 1): the first 52 bits of ``md5("<head>:<round>:<seed>")``.  It depends on nothing else,
+    so every layout of the points and every retried task draws the same."""
+    text = F.concat(F.lit(head) if isinstance(head, str) else head, F.lit(f":{round_}:{seed}"))
+    digits = F.substring(F.md5(text.cast("binary")), 1, 13)
+    return F.conv(digits, 16, 10).cast("double") / F.lit(2.0**52)
+
+
+def _reduce_candidates(candidates: list[list[float]], weights: list[int], k: int, draws: list[float]) -> list[list[float]]:
+    """Weighted k-means++ over the few candidates: each pick is the first whose running mass exceeds draw * total."""
+    import numpy as np
+
+    c, w = np.asarray(candidates), np.asarray(weights, dtype=float)
+    mass, near, out = w, np.full(len(c), np.inf), []
+    for u in draws[:k]:
+        run = np.cumsum(mass)
+        if not run[-1] > 0:
+            break  # every candidate with weight is picked
+        pick = int(np.argmax(run > u * run[-1]))
+        out.append(candidates[pick])
+        near = np.minimum(near, ((c - c[pick]) ** 2).sum(axis=1))
+        mass = w * near
+    return out
+
+
+def kmeans_init(points: DataFrame, k: int, seed: int = 48, init_steps: int = 2) -> list[list[float]]:
+    """k-means|| seeding whose draws are a hash of (id, round, seed), so it is the same under every partitioning.
+
+    The point with the least draw of round 0 is the first candidate (ties: least id, then features).  In each of
+    ``init_steps`` rounds a point becomes a candidate if draw * cost < 2k * (its squared distance to the candidates),
+    cost being the sum of those distances: 2k candidates a round on average, equal ones once.  Candidates weighted by
+    the points nearest to them are reduced to k by k-means++.  Fewer than k centres come back when there are fewer
+    distinct candidates; no points, no centres.  Ids should be unique: points of one id share their draws.  A point
+    without an id draws by the hash of its features.
+    """
+    pid = F.col("id") if "id" in points.columns else F.lit(None).cast("bigint")
+    key = F.coalesce(pid.cast("string"), F.concat(F.lit("x"), F.xxhash64("features").cast("string")))
+    with _Cached(points.select(pid.alias("id"), "features", "grp")) as p, _released_broadcasts():
+        keyed = p.withColumn("_key", key)
+        first = keyed.orderBy(draw(F.col("_key"), 0, seed), "id", "features").select("features").limit(1).collect()
+        candidates = [list(r["features"]) for r in first]
+        if not candidates:
+            return []
+        for r in range(1, init_steps + 1):
+            near = assign(keyed, candidates)
+            cost = near.agg(F.sum("d2")).first()[0]
+            hit = draw(F.col("_key"), r, seed) * F.lit(cost) < F.lit(2.0 * k) * F.col("d2")
+            new = near.where(hit).groupBy("features").agg(F.min("id").alias("id")).collect()  # 2k rows on average
+            new.sort(key=lambda row: (row["id"] is not None, row["id"] or 0, row["features"]))
+            candidates += [list(row["features"]) for row in new]
+        counts = dict(assign(keyed, candidates).groupBy("ci").count().collect())
+    draws = points.sparkSession.range(1).select(*[draw("pick", i, seed) for i in range(k)]).first()
+    return _reduce_candidates(candidates, [counts.get(i, 0) for i in range(len(candidates))], k, list(draws))
+
+
+#: Named starts: the hash-drawn seeding above, and Spark ML's own, whose draws depend on the partitioning.
+INITS = {"k-means||": kmeans_init, "spark-ml": lambda points, k, seed=48: kmeans(points, k, 0, seed=seed)}
+
+
+def initial_centers(points: DataFrame, k: int, init: Centers | str, seed: int = 48) -> list[list[float]]:
+    """The given centres, or those of a named start."""
+    if not isinstance(init, str):
+        return as_centers(init)
+    if init not in INITS:
+        raise ValueError(f"unknown init {init!r}")
+    return INITS[init](points, k, seed=seed)
 
 
 def first_k_centers(points: DataFrame, k: int, order: Sequence[str | Column] = ("id",)) -> list[list[float]]:
@@ -397,7 +461,7 @@ class _Cached:
         self.owned = not df.storageLevel.useMemory and not df.storageLevel.useDisk
         if self.owned:
             # Only the columns the rounds read are cached; ``partitions`` is an explicit round-robin layout.
-            cols = df.select("features", "grp")
+            cols = df.select(*[c for c in ("id", "features", "grp") if c in df.columns])
             self.df = spread(cols, partitions)
         else:
             self.df = df
@@ -431,7 +495,7 @@ def lloyd(
     """k-means by Lloyd steps from the given centres (one Spark job per round).
 
     Without ``tol`` exactly ``rounds`` steps run; with it the loop also stops once no centre moved more than
-    ``tol`` (Spark ML's convergence rule), so ``lloyd(p, kmeans_init(p, k), m, tol=1e-4)`` is Spark ML k-means
+    ``tol`` (Spark ML's convergence rule), so a start by ``kmeans(p, k, 0)`` gives Spark ML k-means
     with the seeding computed once and reusable."""
     cs = as_centers(init)
     with _Cached(points, partitions) as p:
@@ -467,10 +531,11 @@ def clustering_report(
     seed: int = 48,
     partitions: int | None = None,
 ):
-    """k-means (Spark ML with k-means|| seeding, or deterministic Lloyd from given centres), then its report.
+    """k-means from a named start (Lloyd steps with Spark ML's stopping rule) or from given centres (exactly ``rounds``
+    steps), then its report.
     ``partitions`` is the number of partitions the points are spread over while the job runs."""
     with _Cached(points, partitions) as p:
-        cs = kmeans(p, k, rounds, seed=seed) if isinstance(init, str) else lloyd(p, init, rounds)
+        cs = lloyd(p, initial_centers(p, k, init, seed), rounds, tol=1e-4 if isinstance(init, str) else None)
         summary = objectives(p, cs).collect()
         stats = cluster_stats(p, cs)
         rows = stats.collect()  # at most K rows, read while the points are cached

@@ -19,12 +19,20 @@ from spindle.operators import sketch as sk
 from spindle.operators import words as wc
 from spindle.plans import oracle as orc
 from spindle.session import spread
-from spindle.sources.points import embeddings_points, lineitem_points, parse_point_lines, point_lines
-from spindle.sources.text import documents, event_items, lineitem_items, parse_items
+from spindle.sources.points import (
+    embeddings_points,
+    lineitem_points,
+    parse_point_lines,
+    point_lines,
+    read_points,
+    write_points,
+)
+from spindle.sources.text import documents, event_items, lineitem_items, parse_items, read_docs
 
 R = orc.R
 # Fixed parameters of the registered queries.
 K = 4  # clusters
+LARGE_K, OFFSET = 40, 1.7e9  # the far large-K assignment
 M = 2  # rounds
 HH_DEPTH = 7
 HH_WIDTH = 100
@@ -216,14 +224,72 @@ def q_fair_vs_standard(dataset):
     return q
 
 
+def q_fair_vs_standard_seeded(dataset):
+    """The flagship from its own start: hash-drawn k-means|| seeding, then standard and fair centres."""
+
+    def q(spark, sf):
+        summary, _, _ = fair.fair_vs_standard(_points(spark, sf, dataset), K, M, partitions=_cores(spark))
+        return summary.select("n", "n_a", "n_b", rnd("phi_standard"), rnd("phi_fair"))
+
+    return q
+
+
 def q_kmeans_parallel(spark, sf):
-    return _long(spark, clu.kmeans(embeddings_points(spark, sf), K, M))
+    p = embeddings_points(spark, sf)
+    return _long(spark, clu.lloyd(p, clu.kmeans_init(p, K), M, partitions=_cores(spark), tol=1e-4))
 
 
 def q_kmeans_init(spark, sf):
     return _long(spark, clu.kmeans_init(embeddings_points(spark, sf), K))
 
 
+def q_assign_nearest_large_k(dataset):
+    """More centres than the unrolled expression takes, and points far from the origin."""
+
+    def q(spark, sf):
+        moved = F.transform("features", lambda x: x + F.lit(OFFSET)).alias("features")
+        p = _points(spark, sf, dataset).select("id", moved, "grp")
+        return clu.assign(p, _init(p, LARGE_K)).select("id", "grp", "ci", rnd("d2"))
+
+    return q
+
+
+def q_clustering_report_stats(dataset):
+    """The report's per-centre group counts, one row per centre and coordinate."""
+
+    def q(spark, sf):
+        p = _points(spark, sf, dataset)
+        rep = clu.clustering_report(p, K, M, init=_init(p), partitions=_cores(spark))
+        z = rep.stats.select("ci", "n_a", "n_b", F.posexplode("center").alias("j", "v"))
+        return z.select("ci", F.col("j").cast("int").alias("j"), rnd("v", "value"), "n_a", "n_b")
+
+    return q
+
+
+def q_points_from_files(spark, sf):
+    """Points written as text part files by the writer and scanned back."""
+    from spindle.session import work_path
+
+    path = work_path(spark, "points")
+    write_points(lineitem_points(spark, sf), path)
+    p = read_points(spark, path, dim=2)
+    return p.groupBy("grp").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.round(F.sum(F.col("features")[0]), 4).alias("sum_x0"),
+        F.round(F.sum(F.col("features")[1]), 4).alias("sum_x1"),
+    )
+
+
+def q_words_from_files(spark, sf):
+    """Documents written as text files, one line per document, and scanned back."""
+    from spindle.session import work_path
+
+    path = work_path(spark, "docs")
+    line = F.regexp_replace(F.coalesce("text", F.lit("")), "[\\r\\n]", " ")
+    documents(spark, sf).select(line.alias("value")).write.text(path)
+    return wc.word_count(read_docs(spark, path))
+
+
 # ---------------------------------------------------------------------------------------------------------------
 # Word count
 # ---------------------------------------------------------------------------------------------------------------
@@ -321,6 +387,7 @@ def registry() -> dict[str, Entry]:
         # sources
         "points_from_table": Entry(q_points_from_table(e), orc.points_from_table(e)),
         "points_from_lines": Entry(q_points_from_lines, orc.points_from_lines(li)),
+        "points_from_files": Entry(q_points_from_files, orc.points_from_lines(li)),
         # clustering quality
         "group_counts": Entry(q_group_counts(e), orc.group_counts(e)),
         "assign_nearest": Entry(q_assign_nearest(e), orc.assign_nearest(e, K)),
@@ -332,8 +399,13 @@ def registry() -> dict[str, Entry]:
         "clustering_report": Entry(q_clustering_report(e), orc.clustering_report(e, K, M)),
         "cluster_ab_outer_join": Entry(q_cluster_ab_outer_join(e), orc.cluster_ab_outer_join(e, K)),
         "kmeans_lloyd": Entry(q_kmeans_lloyd(li), orc.kmeans_lloyd(li, K, M)),
-        "kmeans_parallel": Entry(q_kmeans_parallel, None),
-        "kmeans_init": Entry(q_kmeans_init, None),
+        "kmeans_parallel": Entry(q_kmeans_parallel, orc.kmeans_parallel(e, K, M)),
+        "kmeans_init": Entry(q_kmeans_init, orc.kmeans_init(e, K)),
+        "assign_nearest_large_k": Entry(
+            q_assign_nearest_large_k(li), orc.assign_nearest_large_k(li, LARGE_K, OFFSET)
+        ),
+        "clustering_report_stats": Entry(q_clustering_report_stats(e), orc.clustering_report_stats(e, K, M)),
+        "fair_vs_standard_seeded": Entry(q_fair_vs_standard_seeded(e), orc.fair_vs_standard(e, K, M, seeded=True)),
         # fair clustering
         "fair_cluster_stats": Entry(q_fair_cluster_stats(e), orc.fair_cluster_stats(e, K)),
         "fair_scatter": Entry(q_fair_scatter(e), orc.fair_scatter(e, K)),
@@ -346,6 +418,7 @@ def registry() -> dict[str, Entry]:
         # word count
         "doc_count": Entry(q_words("doc_count"), orc.doc_count()),
         "word_count": Entry(q_words("word_count"), orc.word_count()),
+        "word_count_files": Entry(q_words_from_files, orc.word_count_files()),
         "word_count_per_doc": Entry(q_words("per_doc"), orc.word_count_per_doc()),
         "word_count_salted": Entry(q_words("salted"), orc.word_count()),
         "word_count_salted_pairs": Entry(q_words("salted_pairs"), orc.word_count()),

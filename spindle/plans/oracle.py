@@ -185,6 +185,15 @@ def assign_nearest(dataset: str, k: int) -> str:
     )
 
 
+def assign_nearest_large_k(dataset: str, k: int, offset: float) -> str:
+    moved = f"SELECT id, grp, list_transform(f, lambda x: x + CAST({offset!r} AS DOUBLE)) AS f FROM ({POINTS[dataset]}) o"
+    pts = f"pts AS MATERIALIZED (SELECT row_number() OVER () AS rid, id, grp, f FROM ({moved}) s)"
+    return _with(
+        [pts] + _base(dataset, k)[1:] + [_assign("a", "c0")],
+        f"SELECT p.id, a.grp, a.ci, round(a.d2, {R}) AS d2 FROM a JOIN pts p USING (rid)",
+    )
+
+
 def objectives_at_init(dataset: str, k: int, what: str) -> str:
     """``what`` in {'delta', 'phi', 'all'}: objectives of the first-k centres."""
     ctes = _base(dataset, k) + [_assign("a", "c0"), _objectives("o", "a")]
@@ -219,6 +228,63 @@ def clustering_report(dataset: str, k: int, rounds: int) -> str:
     )
 
 
+def clustering_report_stats(dataset: str, k: int, rounds: int) -> str:
+    ctes, fin = _chain("lloyd", "s", rounds)
+    return _with(
+        _base(dataset, k) + ctes + [_assign("fa", fin)],
+        f"SELECT CAST(c.ci AS INTEGER) AS ci, CAST(c.j AS INTEGER) AS j, round(c.c, {R}) AS value, "
+        "coalesce(s.n_a, 0) AS n_a, coalesce(s.n_b, 0) AS n_b "
+        f"FROM {fin} c LEFT JOIN (SELECT ci, count(*) FILTER (WHERE grp = 'A') AS n_a, "
+        "count(*) FILTER (WHERE grp = 'B') AS n_b FROM fa GROUP BY ci) s USING (ci)",
+    )
+
+
+def _draw(head: str, round_: int, seed: int) -> str:
+    text = f"md5(CAST({head} AS VARCHAR) || ':{round_}:{seed}')"
+    return f"(CAST(CAST('0x' || substr({text}, 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0)"
+
+
+def _seeding(dataset: str, k: int, seed: int, steps: int) -> list[str]:
+    """CTEs of :func:`_base`, with c0 the hash-drawn k-means|| seeding: every round and every pick unrolled."""
+    one = f"SELECT rid FROM pts ORDER BY {_draw('id', 0, seed)}, id, f LIMIT 1"
+    out = _base(dataset, k)[:2] + [f"q0 AS MATERIALIZED (SELECT 0 AS ci, j, x AS c FROM lf WHERE rid IN ({one}))"]
+    for r in range(1, steps + 1):
+        hit = f"{_draw('p.id', r, seed)} * (SELECT sum(d2) FROM qa{r}) < {2.0 * k!r} * a.d2"
+        out += [
+            _assign(f"qa{r}", f"q{r - 1}"),
+            f"qn{r} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY id, f) + (SELECT max(ci) FROM q{r - 1}) AS ci, f "
+            f"FROM (SELECT p.f, min(p.id) AS id FROM pts p JOIN qa{r} a USING (rid) WHERE {hit} GROUP BY p.f) t)",
+            f"q{r} AS MATERIALIZED (SELECT ci, j, c FROM q{r - 1} UNION ALL "
+            f"SELECT ci, unnest(range(len(f))) AS j, unnest(f) AS c FROM qn{r})",
+        ]
+    out += [
+        _assign("qz", f"q{steps}"),
+        f"qw AS MATERIALIZED (SELECT c.ci, count(z.rid) AS w FROM (SELECT DISTINCT ci FROM q{steps}) c "
+        "LEFT JOIN qz z USING (ci) GROUP BY c.ci)",
+        f"qd AS MATERIALIZED (SELECT a.ci AS a, b.ci AS b, sum((a.c - b.c) * (a.c - b.c)) AS d2 FROM q{steps} a "
+        f"JOIN q{steps} b USING (j) GROUP BY a.ci, b.ci)",
+    ]
+    for i in range(k):
+        mass = f"w * (SELECT min(d2) FROM qd WHERE a = qw.ci AND b IN (SELECT ci FROM h{i - 1}))" if i else "w"
+        earlier = f"SELECT i, ci FROM h{i - 1} UNION ALL " if i else ""
+        pick = _draw("'pick'", i, seed)
+        out += [
+            f"m{i} AS MATERIALIZED (SELECT ci, {mass} AS mass FROM qw)",
+            f"h{i} AS MATERIALIZED ({earlier}SELECT {i} AS i, min(ci) AS ci FROM (SELECT ci, sum(mass) OVER (ORDER BY ci) "
+            f"AS run, sum(mass) OVER () AS total FROM m{i}) t WHERE run > {pick} * total HAVING count(*) > 0)",
+        ]
+    return out + [f"c0 AS MATERIALIZED (SELECT h.i AS ci, q.j, q.c FROM h{k - 1} h JOIN q{steps} q USING (ci))"]
+
+
+def kmeans_init(dataset: str, k: int, seed: int = 48, steps: int = 2) -> str:
+    return _with(_seeding(dataset, k, seed, steps), _long_centers("c0"))
+
+
+def kmeans_parallel(dataset: str, k: int, rounds: int, seed: int = 48, steps: int = 2) -> str:
+    ctes, fin = _chain("lloyd", "s", rounds)
+    return _with(_seeding(dataset, k, seed, steps) + ctes, _long_centers(fin))
+
+
 def cluster_ab_outer_join(dataset: str, k: int) -> str:
     return _with(
         _base(dataset, k)
@@ -270,11 +336,11 @@ def fair_lloyd(dataset: str, k: int, rounds: int) -> str:
     return _with(_base(dataset, k) + ctes, _long_centers(fin))
 
 
-def fair_vs_standard(dataset: str, k: int, rounds: int) -> str:
+def fair_vs_standard(dataset: str, k: int, rounds: int, seeded: bool = False) -> str:
     s_ctes, s_fin = _chain("lloyd", "s", rounds)
     f_ctes, f_fin = _chain("fair", "f", rounds)
     ctes = (
-        _base(dataset, k)
+        (_seeding(dataset, k, 48, 2) if seeded else _base(dataset, k))
         + s_ctes
         + f_ctes
         + [_assign("sfa", s_fin), _objectives("so", "sfa"), _assign("ffa", f_fin), _objectives("fo", "ffa")]
@@ -304,6 +370,12 @@ def word_count() -> str:
     return _with([WORDS], "SELECT word, count(*) AS n FROM words GROUP BY word")
 
 
+def word_count_files() -> str:
+    line = "translate(coalesce(text, ''), chr(13) || chr(10), '  ')"
+    words = WORDS.replace("FROM documents", f"FROM (SELECT doc_id, {line} AS text FROM documents) d")
+    return _with([words], "SELECT word, count(*) AS n FROM words GROUP BY word")
+
+
 def word_count_per_doc() -> str:
     return _with([WORDS], "SELECT doc_id, word, count(*) AS n FROM words GROUP BY doc_id, word")
 

@@ -181,6 +181,26 @@ def test_fair_vs_standard_kmeans_init(spark):
     assert r.phi_standard > 0 and r.phi_fair > 0
 
 
+def test_seeding_does_not_depend_on_the_layout(spark):
+    p = embeddings_points(spark, SF001)
+    one = clu.kmeans_init(p, 4)
+    assert one == clu.kmeans_init(p.repartition(7), 4) and len(one) == 4
+    assert one != clu.kmeans_init(p, 4, seed=7)
+    assert clu.initial_centers(p, 4, one) == one
+    with pytest.raises(ValueError, match="unknown init"):
+        clu.initial_centers(p, 4, "other")
+
+
+def test_seeding_edge_cases(spark):
+    schema = "id BIGINT, features ARRAY<DOUBLE>, grp STRING"
+    same = spark.createDataFrame([(i, [1.0, 2.0], "A") for i in range(6)], schema)
+    assert clu.kmeans_init(same, 3) == [[1.0, 2.0]]
+    assert clu.kmeans_init(same.limit(0), 3) == []
+    no_id = spark.createDataFrame([(None, [float(i)], "B") for i in range(20)], schema)
+    cs = clu.kmeans_init(no_id, 3)
+    assert cs == clu.kmeans_init(no_id.drop("id"), 3) and len({c[0] for c in cs}) == len(cs) == 3
+
+
 def test_centre_size_bounds(monkeypatch):
     assert V.choose_strategy([[0.0] * 2] * 4) == "unrolled"
     assert V.choose_strategy([[0.0] * 64] * 4) == "arrow"
@@ -241,7 +261,7 @@ def test_objectives_many_equals_one_by_one(spark):
 def test_seeded_lloyd_with_tol_is_spark_ml_kmeans(spark):
     p = embeddings_points(spark, SF001).repartition(4).cache()
     ml = clu.kmeans(p, 4, 3)
-    ours = clu.lloyd(p, clu.kmeans_init(p, 4), 3, tol=1e-4)
+    ours = clu.lloyd(p, clu.kmeans(p, 4, 0), 3, tol=1e-4)
     assert len(ml) == len(ours)
     assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-12) for c1, c2 in zip(sorted(ml), sorted(ours)) for a, b in zip(c1, c2))
     p.unpersist()
