@@ -27,6 +27,13 @@ def item_frequency(items: DataFrame) -> DataFrame:
     return valid(items).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stored_frequency(items: DataFrame) -> DataFrame:
+    """The histogram checkpointed into the shared folder, for uses that read it more than once: the input is then scanned
+    once, and a lost executor costs a re-read of the histogram."""
+    ensure_checkpoint_dir(items.sparkSession)
+    return item_frequency(items).checkpoint(eager=True)
+
+
 def kth_frequency(freq: DataFrame, k: int) -> Column:
     """Scalar subquery: the k-th largest frequency (the smallest one when there are fewer than k items).
 
@@ -132,27 +139,71 @@ def _est_cs(fam: HashFamily) -> Column:
     return F.sort_array(F.collect_list(signed)).getItem(fam.depth // 2).cast("bigint").alias("est_cs")
 
 
+# Largest sketch looked up as one array held by every task (8 bytes a cell).
+ARRAY_SKETCH_CELLS = 1_000_000
+
+
+def _cell_array(table: DataFrame, fam: HashFamily) -> Column:
+    """Scalar subquery: all D*W cells as one array, cell (row, col) at row * W + col, a missing one 0.  Its size is
+    fixed by the parameters."""
+    slot = (F.col("row") * F.lit(fam.width) + F.col("col")).cast("bigint").alias("i")
+    blank = table.sparkSession.range(fam.depth * fam.width).select(F.col("id").alias("i"), F.lit(0).cast("bigint").alias("v"))
+    full = table.select(slot, F.col("v").cast("bigint").alias("v")).unionAll(blank).groupBy("i").agg(F.sum("v").alias("v"))
+    cells = full.agg(F.sort_array(F.collect_list(F.struct("i", "v"))).alias("c"))
+    return cells.select(F.col("c.v").alias("v")).scalar()
+
+
+def _map_side(k: DataFrame, cm: DataFrame | None, cs: DataFrame | None, fam: HashFamily) -> DataFrame:
+    """Estimates by array lookup in the task that holds the key: no explode, join or shuffle of the keys."""
+    item = F.col("item")
+
+    def cell(table: Column, row: int, col: Column) -> Column:
+        return F.get(table, F.lit(row * fam.width) + col)
+
+    cols = list(k.columns)
+    if cm is not None:
+        table = _cell_array(cm, fam)
+        read = [cell(table, h.row, hash_col(item, h.a_cm, h.b_cm, fam.width, fam.prime)) for h in fam.rows]
+        cols.append(F.array_min(F.array(*read)).alias("est_cm"))
+    if cs is not None:
+        table = _cell_array(cs, fam)
+        read = [
+            cell(table, h.row, hash_col(item, h.a_cs, h.b_cs, fam.width, fam.prime))
+            * sign_col(item, h.a_sg, h.b_sg, fam.prime)
+            for h in fam.rows
+        ]
+        cols.append(F.sort_array(F.array(*read)).getItem(fam.depth // 2).cast("bigint").alias("est_cs"))
+    return k.select(*cols)
+
+
+def _estimated(keys: DataFrame, cm: DataFrame | None, cs: DataFrame | None, fam: HashFamily, unique: bool) -> DataFrame:
+    k = _unique_keys(keys, unique)
+    if fam.depth * fam.width <= ARRAY_SKETCH_CELLS:
+        return _map_side(k, cm, cs, fam)
+    probe, aggs = _probe(k, fam), []
+    if cm is not None:
+        probe, aggs = probe.join(_cm_cells(cm, fam), ["row", "col_cm"], "left"), [*aggs, _est_cm()]
+    if cs is not None:
+        probe, aggs = probe.join(_cs_cells(cs, fam), ["row", "col_cs"], "left"), [*aggs, _est_cs(fam)]
+    return probe.groupBy(*k.columns).agg(*aggs)
+
+
 def estimates(keys: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily, unique: bool = False) -> DataFrame:
     """Key columns plus ``(est_cm, est_cs)``: Count-Min = min over rows, Count-Sketch = upper median of the D
     signed cells (the element at index D div 2 of the sorted values).  A missing cell reads as 0.  With
-    ``unique=True`` the keys are taken as distinct items and every key column is carried through."""
-    k = _unique_keys(keys, unique)
-    joined = (
-        _probe(k, fam)
-        .join(_cm_cells(cm, fam), ["row", "col_cm"], "left")
-        .join(_cs_cells(cs, fam), ["row", "col_cs"], "left")
-    )
-    return joined.groupBy(*k.columns).agg(_est_cm(), _est_cs(fam))
+    ``unique=True`` the keys are taken as distinct items and every key column is carried through.
+
+    Up to ``ARRAY_SKETCH_CELLS`` cells the sketch is an array in the plan, looked up map-side; beyond, it is joined on
+    (row, col).  Both give the same rows."""
+    return _estimated(keys, cm, cs, fam, unique)
 
 
 def count_min_estimate(keys: DataFrame, cm: DataFrame, fam: HashFamily, unique: bool = False) -> DataFrame:
-    k = _unique_keys(keys, unique)
-    return _probe(k, fam).join(_cm_cells(cm, fam), ["row", "col_cm"], "left").groupBy(*k.columns).agg(_est_cm())
+    return _estimated(keys, cm, None, fam, unique)
 
 
 def count_sketch_estimate(keys: DataFrame, cs: DataFrame, fam: HashFamily, unique: bool = False) -> DataFrame:
-    k = _unique_keys(keys, unique)
-    return _probe(k, fam).join(_cs_cells(cs, fam), ["row", "col_cs"], "left").groupBy(*k.columns).agg(_est_cs(fam))
+    return _estimated(keys, None, cs, fam, unique)
 
 
 @dataclass
@@ -194,7 +245,7 @@ def error_report(top: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily)
 # ---------------------------------------------------------------------------------------------------------------
 
 CELL_SCHEMA = "tag INT, a BIGINT, b BIGINT, v BIGINT"
-TAG_P, TAG_F, TAG_CM, TAG_CS = 0, 1, 2, 3
+TAG_P, TAG_F, TAG_CM, TAG_CS, TAG_N = 0, 1, 2, 3, 4
 
 
 def tagged_cells(items: DataFrame, fam: HashFamily, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -242,6 +293,26 @@ def cell_state(items: DataFrame, fam: HashFamily, by: tuple[str, ...] = ()) -> D
     )
 
 
+def _small_state(counts: DataFrame, fam: HashFamily) -> DataFrame:
+    """``(tag, a, b, v)`` of the processed lines, the distinct items and both sketches, from the histogram
+    ``(item, n)`` whose NULL group holds the unparsed lines."""
+    item, n = F.col("item"), F.col("n")
+    zero = F.lit(0).cast("bigint")
+
+    def cell(tag: int, a: Column, b: Column, v: Column) -> Column:
+        return F.struct(F.lit(tag).alias("tag"), a.alias("a"), b.alias("b"), v.cast("bigint").alias("v"))
+
+    parsed = [cell(TAG_N, zero, zero, F.lit(1))]
+    for h in fam.rows:
+        row = F.lit(h.row).cast("bigint")
+        sign = sign_col(item, h.a_sg, h.b_sg, fam.prime)
+        parsed.append(cell(TAG_CM, row, hash_col(item, h.a_cm, h.b_cm, fam.width, fam.prime), n))
+        parsed.append(cell(TAG_CS, row, hash_col(item, h.a_cs, h.b_cs, fam.width, fam.prime), n * sign))
+    processed = F.array(cell(TAG_P, zero, zero, n))
+    cells = F.when(item.isNotNull(), F.concat(processed, F.array(*parsed))).otherwise(processed)
+    return counts.select(F.inline(cells)).groupBy("tag", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
+
+
 def tables_from_cells(state: DataFrame):
     """``(processed, freq, cm, cs)`` relations from a ``(tag, a, b, v)`` state table."""
     processed = state.where(F.col("tag") == TAG_P).agg(
@@ -258,27 +329,35 @@ def heavy_hitters(items: DataFrame, fam: HashFamily, k: int, threshold: int | No
 
     One scan and one shuffle build the exact histogram, with unparsed lines kept as the NULL group.  Every relation
     of the report reads it, so it is checkpointed into the shared ``spark.checkpoint.dir``: a lost executor then
-    costs a re-read of the histogram, not a rescan of the input.  Both sketches are derived from its distinct
-    items.  With ``threshold`` the items carry a ``batch`` column and only the batches taken under the stop rule
+    costs a re-read of the histogram, not a rescan of the input.  One pass over its distinct items gives both sketches
+    and both counts, at most 2*D*W + 2 rows, kept the same way; all relations of the report come from that small table
+    and the top-K items.  With ``threshold`` the items carry a ``batch`` column and only the batches taken under the stop rule
     count (see :func:`bounded_items`).
     """
     if threshold is not None:
         items = bounded_items(items, threshold)
     ensure_checkpoint_dir(items.sparkSession)
     counts = items.groupBy("item").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    processed = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("processed"))
     freq = counts.where(F.col("item").isNotNull())
-    cm = sketch_from_freq(freq, fam, "cm")
-    cs = sketch_from_freq(freq, fam, "cs")
-    hh = hh_from_tables(processed, freq, cm, cs, fam, k)
+    cells = _small_state(counts, fam).checkpoint(eager=True)
+    processed, _, cm, cs = tables_from_cells(cells)
+    distinct = cells.where(F.col("tag") == TAG_N).agg(F.coalesce(F.sum("v"), F.lit(0)).cast("bigint")).scalar()
+    hh = hh_from_tables(processed, freq, cm, cs, fam, k, distinct)
     hh.state = counts
     return hh
 
 
 def hh_from_tables(
-    processed: DataFrame, freq: DataFrame, cm: DataFrame, cs: DataFrame, fam: HashFamily, k: int
+    processed: DataFrame,
+    freq: DataFrame,
+    cm: DataFrame,
+    cs: DataFrame,
+    fam: HashFamily,
+    k: int,
+    distinct: Column | None = None,
 ) -> HeavyHitters:
-    """Report from already-built tables (used by the batch and the streaming paths)."""
+    """Report from already-built tables (used by the batch and the streaming paths); ``distinct`` is the number of
+    distinct items as a scalar, where it is known."""
     top = top_k(freq, k)
     rep = error_report(top, cm, cs, fam)
     stats = rep.agg(
@@ -286,7 +365,8 @@ def hh_from_tables(
             F.count(F.lit(1)).alias("n_top"), F.avg("err_cm").alias("avg_err_cm"), F.avg("err_cs").alias("avg_err_cs")
         ).alias("s")
     ).scalar()
-    distinct = freq.agg(F.count(F.lit(1))).scalar()
+    if distinct is None:
+        distinct = freq.agg(F.count(F.lit(1))).scalar()
     # One-row relation; the report is evaluated once, as a single scalar subquery returning a struct.
     summary = processed.select(
         F.col("processed").cast("bigint").alias("processed"),

@@ -349,9 +349,11 @@ def q_hh(source, what):
         if what == "cs":
             return sk.count_sketch_cells(items, FAM)
         if what == "cm_est":
-            return sk.count_min_estimate(sk.valid(items), sk.count_min_cells(items, FAM), FAM)
+            freq = sk.stored_frequency(items)
+            return sk.count_min_estimate(freq.select("item"), sk.sketch_from_freq(freq, FAM, "cm"), FAM, unique=True)
         if what == "cs_est":
-            return sk.count_sketch_estimate(sk.valid(items), sk.count_sketch_cells(items, FAM), FAM)
+            freq = sk.stored_frequency(items)
+            return sk.count_sketch_estimate(freq.select("item"), sk.sketch_from_freq(freq, FAM, "cs"), FAM, unique=True)
         hh = sk.heavy_hitters(items, FAM, HH_K)
         if what == "report":
             return hh.report.select("item", "n", "est_cm", "est_cs", rnd("err_cm"), rnd("err_cs"))

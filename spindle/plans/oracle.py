@@ -554,3 +554,12 @@ def bounded_stream(source: str, threshold: int) -> str:
         f"SELECT CAST(batch AS VARCHAR) AS batch, size, CAST(before AS BIGINT) AS before FROM bw "
         f"WHERE before < {threshold}",
     )
+
+
+def bounded_stream_run(source: str, threshold: int) -> str:
+    """The batches in order, numbered from 0."""
+    return _with(
+        _bounded(source, threshold),
+        "SELECT batch_id, size, CAST(before AS BIGINT) AS before FROM (SELECT *, row_number() OVER (ORDER BY batch) - 1 "
+        f"AS batch_id FROM bw) t WHERE before < {threshold}",
+    )

@@ -72,10 +72,26 @@ def test_scans_read_only_needed_columns(plans):
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plans["batch_sizes"]
 
 
-def test_only_bounded_sides_are_broadcast(plans):
-    assert "SortMergeJoin" not in plans["estimates"]
+def test_estimates_are_looked_up_without_join(plans):
+    main = plans["estimates"].split("===== Subqueries =====")[0]
+    assert "Join" not in plans["estimates"]
+    assert "Generate" not in main  # the keys are not exploded
+
+
+def test_larger_sketches_broadcast_only_their_tables(spark, monkeypatch):
+    monkeypatch.setattr(sk, "ARRAY_SKETCH_CELLS", 10)
+    p = plan(cases(spark)["estimates"])
+    assert "SortMergeJoin" not in p
     # the two broadcast sides are the sketch tables (aggregations keyed by row, col)
-    assert len(re.findall(r"^\(\d+\) BroadcastExchange", plans["estimates"], re.M)) == 2
+    assert len(re.findall(r"^\(\d+\) BroadcastExchange", p, re.M)) == 2
+
+
+def test_estimates_of_all_items_scan_the_input_once(spark):
+    from spindle.plans.catalog import q_hh
+
+    df = q_hh("lineitem_partkey", "cm_est")(spark, SF001)
+    p = plan(df)
+    assert "lineitem" not in p and "Scan parquet" not in p  # both the keys and the sketch read the stored histogram
 
 
 def test_assignment_needs_no_join(plans):

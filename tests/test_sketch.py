@@ -123,6 +123,7 @@ def test_large_sketches_are_joined_without_broadcast(spark, monkeypatch):
     fam = hash_family(3, 50, seed=5)
     hh = sk.heavy_hitters(items, fam, 5)
     expect = sorted(tuple(r) for r in hh.report.collect())
-    monkeypatch.setattr(sk, "BROADCAST_SKETCH_CELLS", 10)
-    hh2 = sk.heavy_hitters(items, fam, 5)
-    assert sorted(tuple(r) for r in hh2.report.collect()) == expect
+    for limit in ("ARRAY_SKETCH_CELLS", "BROADCAST_SKETCH_CELLS"):  # array, then broadcast join, then shuffle join
+        monkeypatch.setattr(sk, limit, 10)
+        hh2 = sk.heavy_hitters(items, fam, 5)
+        assert sorted(tuple(r) for r in hh2.report.collect()) == expect
