@@ -36,11 +36,13 @@ Span = tuple[int, int, str]  # start, end, kind
 
 # Lexer ---------------------------------------------------------------------------------------------------------
 MARK = re.compile(r"=>|:=|(?<![=!<>:])=(?!=)|:(?![:/])")
-NAME_BEFORE = re.compile(r"""([A-Za-z_][A-Za-z0-9_.\-]{0,63})["'\]]{0,2}\x20{0,8}$""")
-QUOTED = re.compile(r"""[\x20\t]{0,8}[rbuf]?("(?:[^"\\\n]|\\.){1,4096}"|'(?:[^'\\\n]|\\.){1,4096}')""")
-BARE = re.compile(r"""[\x20\t]{0,8}([^\s"'`,;(){}\[\]<>|]+)""")
-REFERENCE = re.compile(r"""[\x20\t]{0,8}(?:\$\{?|%\()?([A-Za-z_][A-Za-z0-9_.\-]{0,63})\}?(?=[\s,;)}\]]|$)""")
-TAG = re.compile(r"<([A-Za-z_][\w.\-]{0,63})>([^<>\n]{1,512})</\1>")
+NAME_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-"
+# No bound on any length: every repetition is possessive and ends at a character the next part needs, so the scans of
+# all marks together are linear in the text.
+QUOTED = re.compile(r"""[\x20\t]*+[rbuf]?("(?:[^"\\\n]++|\\.)++"|'(?:[^'\\\n]++|\\.)++')""")
+BARE = re.compile(r"""[\x20\t]*+([^\s"'`,;(){}\[\]<>|]++)""")
+REFERENCE = re.compile(r"""[\x20\t]*+(?:\$\{?|%\()?([A-Za-z_][A-Za-z0-9_.\-]*+)\}?(?=[\s,;)}\]]|$)""")
+TAG = re.compile(r"<([A-Za-z_][\w.\-]*+)>([^<>\n]++)</\1>")
 
 SENSITIVE = {  # part of a target name -> weight
     "password": 3.0, "passwd": 3.0, "pwd": 3.0, "passphrase": 3.0, "secret": 3.0, "token": 2.5, "apikey": 3.0,
@@ -74,15 +76,24 @@ def literal_weight(value: str) -> float:
     return min(len(value), 32) / 32 + entropy / 4 + (classes >= 2) - 0.5 * spaces
 
 
+def name_before(left: str) -> str:
+    """The name that ends ``left``, before closing quotes or a bracket and any run of blanks; empty if there is none."""
+    left = left.removesuffix("\n").rstrip(" \t")
+    for _ in range(2):
+        left = left[:-1] if left.endswith(('"', "'", "]")) else left
+    return left[len(left.rstrip(NAME_CHARS)) :].lstrip("0123456789.-")
+
+
 def lex(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, str]]]:
     """``(name, start, end)`` of literals bound to names, and ``(target, source)`` references between names."""
     literals: list[tuple[str, int, int]] = []
     refs: list[tuple[str, str]] = []
+    at = 0
     for mark in MARK.finditer(text):
-        left = NAME_BEFORE.search(text, max(0, mark.start() - 75), mark.start())
-        if not left:
+        name = name_before(text[at : mark.start()])  # a name holds no mark, so it begins after the one before
+        at = mark.end()
+        if not name:
             continue
-        name = left.group(1)
         if m := QUOTED.match(text, mark.end()):
             literals.append((name, m.start(1) + 1, m.end(1) - 1))
             continue

@@ -77,6 +77,32 @@ def test_secret_constants_propagate():
     assert secret_scan.literal_spans('password = "changeme"\npassword = "${PASSWORD}"\nkeyword = "house"') == []
 
 
+@pytest.mark.parametrize("gap", [" " * 9, "\t", " \t" * 5000])
+def test_secret_any_run_of_blanks_around_the_mark(gap):
+    value = "x9Kq7-Zz81hh"
+    for text in (f'db_pwd{gap}= "{value}"', f'db_pwd ={gap}"{value}"', f"db_pwd{gap}={gap}{value}"):
+        start = text.index(value)
+        assert secret_scan.literal_spans(text) == [(start, start + len(value), "literal")]
+        assert value not in secret_scan.redact(text)
+    text = f'k = "{value}"\ndb_pwd{gap}={gap}k\n'
+    assert secret_scan.literal_spans(text) == [(5, 17, "literal")]
+
+
+@pytest.mark.parametrize("size", [512, 513, 4096, 4097, 100_000])
+def test_secret_literals_of_any_length(size):
+    value = ("x9Kq7Zz81hhW" * size)[:size]
+    for text in (f'private_key: "{value}"', f"private_key = '{value}' # end", f"<private_key>{value}</private_key>"):
+        start = text.index(value)
+        assert secret_scan.literal_spans(text) == [(start, start + size, "literal")]
+        assert value[:20] not in secret_scan.redact(text)
+
+
+def test_secret_names_of_any_length():
+    name = "db_pwd_" + "x" * 5000
+    assert secret_scan.literal_spans(f'{name} = "x9Kq7-Zz81hh"') == [(5011, 5023, "literal")]
+    assert secret_scan.literal_spans(f'{"y" * 70} = "x9Kq7-Zz81hh"\npwd = ${{{"y" * 70}}}') == [(74, 86, "literal")]
+
+
 def test_secret_base_rule_drops_failing_matches_after_matching():
     # the failing match takes "pass" with it, so what follows is not read anew
     assert secret_scan.base_spans("token = pass\nword=abcdefgh") == []
