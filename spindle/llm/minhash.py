@@ -256,8 +256,8 @@ def prefix_pairs(full: DataFrame, roots: DataFrame) -> DataFrame:
     return a.join(b, "shingle").where(can).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, text_key, kept`` for every row (``text_key``: a hash of the text)."""
+def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``described``, and ``node, doc_id, root`` of every node: its least doc_id and its component's root."""
     rows = stored(described(docs), "mh-rows")
     nodes = stored(
         rows.where("node IS NOT NULL")
@@ -292,7 +292,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     root = components(links.selectExpr("a AS u", "b AS v"))
     placed = nodes.select("node", "doc_id").join(root, "node", "left")
-    placed = stored(placed.select("node", "doc_id", F.coalesce("root", "node").alias("root")), "mh-placed")
+    return rows, stored(placed.select("node", "doc_id", F.coalesce("root", "node").alias("root")), "mh-placed")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id, text_key, kept`` for every row (``text_key``: a hash of the text)."""
+    rows, placed = placed_rows(docs)
     least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     classes = placed.join(least, "root").select("node", "component_id")
     columns = ["doc_id", "n_shingles", "component_id", "text_key"]
@@ -304,19 +309,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The documents that stay: one row of every component, with all its columns.
 
-    The row with the component's least doc_id stays; of several rows with that doc_id, one.  What goes is found by
-    ``(doc_id, hash of the text)``: broadcast where these pairs are few enough, joined by a shuffle otherwise.
+    The row with the component's least doc_id stays, of several texts under it the one with the least hash, of repeated
+    rows one; a row with a null doc_id stays where its component has no other.  Rows without words all stay.  What goes
+    is found by ``(doc_id, hash of the text)``: broadcast where these pairs are few enough, joined by a shuffle otherwise.
     """
     docs, names = sheltered(docs, "doc_id", "text")
-    marked = stored(near_duplicates(docs), "mh-marked")
-    gone = marked.where("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
-    again = marked.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("again_id")).count().where("count > 1")
-    few = gone.count() <= BROADCAST_KEYS
-    same = F.col("doc_id").eqNullSafe(F.col("gone_id")) & F.xxhash64("text").eqNullSafe(F.col("gone_key"))
-    stay = docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
-    again = stored(again.select("again_id"), "mh-again")
-    if again.isEmpty():
+    rows, placed = placed_rows(docs)
+    marked = rows.where("node IS NOT NULL").join(placed.select("node", "root"), "node")
+    marked = marked.groupBy("doc_id", "text_key").agg(F.first("root").alias("root"), F.count(F.lit(1)).alias("n"))
+    marked = stored(marked, "mh-marked")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "n")).alias("x")
+    stay_keys = stored(
+        marked.groupBy("root").agg(least).select(F.col("x.doc_id").alias("id"), F.col("x.text_key").alias("key"), "x.n"), "mh-stay"
+    )
+    listed = F.col("doc_id").eqNullSafe(F.col("id")) & F.col("text_key").eqNullSafe(F.col("key"))
+    gone = marked.join(stay_keys, listed, "left_anti").select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    gone = stored(gone, "mh-gone")
+    again = stay_keys.where("n > 1").select("id", "key")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & F.xxhash64("text").eqNullSafe(F.col("key"))
+    stay = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone, same, "left_anti")
+    n_again = again.count()
+    if not n_again:
         return stay.toDF(*names)
-    repeated = F.col("doc_id") == F.col("again_id")
-    one = stay.join(again, repeated, "left_semi").dropDuplicates(["doc_id"])
-    return stay.join(again, repeated, "left_anti").unionByName(one).toDF(*names)
+    again = F.broadcast(again) if n_again <= BROADCAST_KEYS else again
+    one = stay.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return stay.join(again, same, "left_anti").unionByName(one).toDF(*names)

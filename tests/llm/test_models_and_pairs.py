@@ -119,6 +119,23 @@ def test_drop_near_duplicates_keeps_one_row_per_group(docs, odd, rows):
     assert set(got) - {None} == want - {None} and got[9] == 1
 
 
+def test_drop_near_duplicates_counts_rows_per_text(spark, odd):
+    clean, other = ("one text of its own with words enough to compare", "quite another text that shares nothing with it at all")
+    base = [f"w{i}" for i in range(60)]
+    near, edited = " ".join(base), " ".join(base[:-1])
+    pairs = [(1, clean), (1, other), (None, near), (None, near), (None, edited), (2, "a b c d e f"), (2, "a b c d e f")]
+    pairs += [(3, "A B c d e f"), (None, "a b C d e f"), (4, ""), (4, ""), (None, None), (None, None), (None, "x y z")]
+    df = spark.createDataFrame(pairs, "doc_id BIGINT, text STRING")
+    got = Counter((r[0], r[1]) for r in minhash.drop_near_duplicates(df).collect())
+    group = [k for k in ((None, near), (None, edited)) if k in got]
+    assert len(group) == 1 and got.pop(group[0]) == 1
+    assert got == Counter({
+        (1, clean): 1, (1, other): 1, (2, "a b c d e f"): 1, (4, ""): 2, (None, None): 2, (None, "x y z"): 1,
+    })
+    got = Counter(r[0] for r in minhash.drop_near_duplicates(odd).collect())
+    assert got[10] == 2 and got[9] == 1 and got[None] == 1
+
+
 def test_operators_pass_clashing_columns_through(spark, odd):
     from spindle.llm import mixing, secret_scan
 
