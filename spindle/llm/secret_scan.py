@@ -42,6 +42,13 @@ NAME_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-"
 QUOTED = re.compile(r"""[\x20\t]*+[rbuf]?("(?:[^"\\\n]++|\\.)++"|'(?:[^'\\\n]++|\\.)++')""")
 BARE = re.compile(r"""[\x20\t]*+([^\s"'`,;(){}\[\]<>|]++)""")
 REFERENCE = re.compile(r"""[\x20\t]*+(?:\$\{?|%\()?([A-Za-z_][A-Za-z0-9_.\-]*+)\}?(?=[\s,;)}\]]|$)""")
+# An authentication scheme word with its token behind it.
+SCHEME = re.compile(r"""[\x20\t]*+(?:Bearer|Basic|Token|Digest|Negotiate|ApiKey)[\x20\t]++(?=[^\s"'`,;(){}\[\]<>|])""", re.IGNORECASE)
+PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]++ )*?PRIVATE KEY(?: BLOCK)?-----")
+#: A whole PEM block as a value, over as many lines as it has; the next head ends the search for its end.
+PEM_VALUE = re.compile(
+    r"""[\x20\t]*+["']?(-----BEGIN ((?:[A-Z0-9]++ )*?PRIVATE KEY(?: BLOCK)?)-----(?:(?!-----(?:BEGIN|END) )[\s\S])*+-----END \2-----)"""
+)
 TAG = re.compile(r"<([A-Za-z_][\w.\-]*+)>([^<>\n]++)</\1>")
 
 SENSITIVE = {  # part of a target name -> weight
@@ -66,14 +73,20 @@ def name_weight(name: str) -> float:
 
 
 def literal_weight(value: str) -> float:
-    """How far a literal looks like a generated credential: length, character classes, entropy; negative if plain."""
+    """How far a literal looks like a generated credential: length, character classes, entropy; negative if plain.
+
+    White space counts against it by its share, so a passphrase or a key of many lines is not ruled out by its length.
+    A private key's PEM head is a credential under any name.
+    """
+    if PEM.match(value):
+        return MIN_SCORE
     if len(value) < MIN_LITERAL or value.lower() in PLAIN or PLACEHOLDER.match(value):
         return -10.0
     counts = Counter(value)
     entropy = -sum(c / len(value) * math.log2(c / len(value)) for c in counts.values())
     classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^A-Za-z0-9\s]"))
-    spaces = sum(c.isspace() for c in value)
-    return min(len(value), 32) / 32 + entropy / 4 + (classes >= 2) - 0.5 * spaces
+    spaces = sum(c.isspace() for c in value) / len(value)
+    return min(len(value), 32) / 32 + entropy / 4 + (classes >= 2) - spaces
 
 
 def name_before(left: str) -> str:
@@ -84,6 +97,14 @@ def name_before(left: str) -> str:
     return left[len(left.rstrip(NAME_CHARS)) :].lstrip("0123456789.-")
 
 
+def under_scheme(name: str, refs: list[tuple[str, str]]) -> str:
+    """The name a token after a scheme word is bound to: under an authorization it weighs as a bearer token."""
+    if not name_parts(name) & {"auth", "authorization"}:
+        return name
+    refs.append((name, f"{name}.bearer"))
+    return f"{name}.bearer"
+
+
 def lex(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, str]]]:
     """``(name, start, end)`` of literals bound to names, and ``(target, source)`` references between names."""
     literals: list[tuple[str, int, int]] = []
@@ -95,12 +116,24 @@ def lex(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, str]]]:
         if not name:
             continue
         if m := QUOTED.match(text, mark.end()):
-            literals.append((name, m.start(1) + 1, m.end(1) - 1))
+            start, end = m.start(1) + 1, m.end(1) - 1
+            bound = under_scheme(name, refs) if SCHEME.match(text, start, end) else name
+            literals.append((bound, start, end))
+            continue
+        if m := PEM_VALUE.match(text, mark.end()):
+            literals.append((name, m.start(1), m.end(1)))
             continue
         if m := REFERENCE.match(text, mark.end()):
             refs.append((name, m.group(1)))
-        if m := BARE.match(text, mark.end()):
-            literals.append((name, m.start(1), m.end(1)))
+        start = mark.end()
+        if m := SCHEME.match(text, start):  # the value is the token after the scheme word
+            start, bound = m.end(), under_scheme(name, refs)
+            if m := REFERENCE.match(text, start):
+                refs.append((name, m.group(1)))
+        else:
+            bound = name
+        if m := BARE.match(text, start):
+            literals.append((bound, m.start(1), m.end(1)))
     literals += [(m.group(1), m.start(2), m.end(2)) for m in TAG.finditer(text)]
     return literals, refs
 
@@ -130,7 +163,7 @@ def literal_spans(text: str) -> list[Span]:
     found = {
         (start, end, "literal")
         for name, start, end in literals
-        if reach[name] > 0 and reach[name] + literal_weight(text[start:end]) >= MIN_SCORE
+        if (reach[name] > 0 or PEM.match(text, start, end)) and reach[name] + literal_weight(text[start:end]) >= MIN_SCORE
     }
     return sorted(found)
 
