@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from spindle.llm.common import WordHashes, pick, process_cache, shingle_hashes, slices
 
-FRACTION = 1 / 8
+FRACTION = 1 / 2  # of short texts, a smaller one keeps too few hashes to estimate from
 HASH_BITS = 48
 RANGE_ROWS = 64  # documents of a doc_id range, about, until there are MOST_RANGES ranges; then ranges grow
 MOST_RANGES = 1 << 16

@@ -453,6 +453,20 @@ def test_fingerprint_estimates():
     assert fingerprint.merge(fingerprint.to_text(a), fingerprint.to_text(b)) == fingerprint.to_text(a)
 
 
+def test_fingerprint_estimates_of_short_texts():
+    from spindle.llm.common import WordHashes
+
+    memo, errors, zeros = WordHashes(), [], 0
+    for k in range(300):
+        words = [f"w{k}x{i}" for i in range(24)]
+        a, b = (" ".join(w).encode() for w in (words, [*words[:20], *(f"new{k}x{i}" for i in range(4))]))
+        full = fingerprint.likeness(*(fingerprint.sketch(t, memo, 1.0) for t in (a, b)))
+        found = fingerprint.likeness(*(fingerprint.sketch(t, memo) for t in (a, b)))
+        errors.append(abs(found - full))
+        zeros += found == 0
+    assert np.mean(errors) < 0.12 and zeros == 0
+
+
 # Per-process cache --------------------------------------------------------------------------------------------
 
 
