@@ -8,11 +8,11 @@ hundreds of terms through the Python Column API would cost one Py4J round trip p
 Shapes:
 
 * ``unrolled``: one arithmetic term per (centre, dimension); stays inside whole-stage codegen.  Best while
-  ``K * dim`` is small (the default up to 64 cells).
+  ``K * dim`` is small (the default up to 24 cells).
 * ``lambda``: higher-order functions (``transform``/``zip_with``/``aggregate``) over one array literal; compact,
   but evaluated without codegen.  Available on request.
 * ``arrow``: not an expression -- an Arrow-batched numpy kernel (:mod:`spindle.functions.arrow_kernels`); the
-  default above 64 cells.
+  default above 24 cells.
 """
 
 from __future__ import annotations
@@ -24,13 +24,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Largest K * dim for which distances are written out term by term.  Larger unrolled expressions compile into
-# methods too big for the JIT; measured at 64 dimensions x 4 centres the lambda form ran twice as fast.
-UNROLL_CELLS = 64
-# Largest K * dim that ``auto`` evaluates with JVM expressions; above it assignment runs as an Arrow-batched numpy
-# kernel with the centres in a broadcast variable (see spindle.functions.arrow_kernels).  Measured on 1M 64-d
-# points: K=4 took 5.8 s with the lambda form and 1.9 s with the kernel, K=64 took 66 s and 2.1 s (the
-# higher-order functions are interpreted, the kernel is one matrix product per batch).
-LITERAL_CELLS = 64
+# methods too big for the JIT: measured on 600k points, 24 cells took 1.1 s and 32 cells 6.0 s, the Arrow kernel
+# 1.2 s and 0.8 s.  Above it assignment runs as that kernel, with the centres in a broadcast variable (see
+# spindle.functions.arrow_kernels).
+UNROLL_CELLS = 24
 # Largest K * dim the explicit ``lambda`` strategy accepts as a plan literal.
 MAX_LITERAL_CELLS = 100_000
 # Largest K * dim shipped in one broadcast (256 MiB of doubles per executor).  A bigger centre set is split into
@@ -52,7 +49,7 @@ def check_centers(centers: Centers) -> tuple[int, int]:
 def choose_strategy(centers: Centers, strategy: str = "auto") -> str:
     k, dim = check_centers(centers)
     if strategy == "auto":
-        if k * dim <= min(UNROLL_CELLS, LITERAL_CELLS):
+        if k * dim <= UNROLL_CELLS:
             return "unrolled"
         return "arrow" if k * dim <= MAX_BROADCAST_CELLS else "chunked"
     if strategy in ("unrolled", "lambda") and k * dim > MAX_LITERAL_CELLS:

@@ -8,9 +8,6 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -42,10 +39,3 @@ def spark():
 @pytest.fixture()
 def tmpdir_fresh():
     return tempfile.mkdtemp(prefix="spindle-test-")
-
-
-def points_df(spark, rows):
-    """rows: (id, [coords], grp)."""
-    return spark.createDataFrame(
-        [(i, [float(x) for x in f], g) for i, f, g in rows], "id BIGINT, features ARRAY<DOUBLE>, grp STRING"
-    )

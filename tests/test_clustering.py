@@ -5,7 +5,7 @@ import os
 
 import numpy as np
 import pytest
-from conftest import SF001, points_df
+from support import SF001, points_df
 from pyspark.sql import functions as F
 
 from spindle.functions import vectors as V
@@ -219,12 +219,10 @@ def test_arrow_path_agrees(spark, monkeypatch):
     b = clu.assign(p, cs, "arrow").orderBy("id").collect()
     assert [r.ci for r in a] == [r.ci for r in b]
     assert all(math.isclose(x.d2, y.d2, rel_tol=1e-9) for x, y in zip(a, b))
-    monkeypatch.setattr(V, "LITERAL_CELLS", 10**6)
     monkeypatch.setattr(V, "UNROLL_CELLS", 10**6)
     o1 = clu.objectives(p, cs).first()
     s1 = fair.fair_step(p, cs)
     monkeypatch.setattr(V, "UNROLL_CELLS", 0)
-    monkeypatch.setattr(V, "LITERAL_CELLS", 0)
     o2 = clu.objectives(p, cs).first()
     s2 = fair.fair_step(p, cs)
     assert (o1.n, o1.n_a, o1.n_b) == (o2.n, o2.n_a, o2.n_b)

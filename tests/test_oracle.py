@@ -8,7 +8,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import SF001
+from support import SF001
 
 from spindle.plans.catalog import registry
 from spindle.plans.verify import compare, duckdb_con

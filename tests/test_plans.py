@@ -7,7 +7,7 @@ import re
 from contextlib import redirect_stdout
 
 import pytest
-from conftest import SF001
+from support import SF001
 
 from spindle.functions.hashing import hash_family
 from spindle.operators import clustering as clu
@@ -97,3 +97,10 @@ def test_estimates_of_all_items_scan_the_input_once(spark):
 def test_assignment_needs_no_join(plans):
     for name in ("residual_sums_2d", "residual_sums_64d", "objectives"):
         assert "Join" not in plans[name], name
+
+
+@pytest.mark.parametrize("k, kernel", [(12, False), (13, True)])
+def test_assignment_leaves_the_expression_before_its_size_slows_it(spark, k, kernel):
+    """24 cells are written out in whole-stage codegen, 26 go to the Arrow kernel."""
+    p = plan(clu.assign(lineitem_points(spark, SF001), [[float(i), float(i)] for i in range(k)]))
+    assert ("MapInArrow" in p) is kernel

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF001
+from support import SF001
 
 from spindle.session import ensure_checkpoint_dir, spread
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import SF001, SF01
+from support import SF001, SF01
 from pyspark.sql import functions as F
 
 from spindle.functions.hashing import HashFamily, HashRow, hash_col, hash_family

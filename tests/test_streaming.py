@@ -4,7 +4,7 @@ import os
 import time
 
 import pytest
-from conftest import SF001
+from support import SF001
 from pyspark.sql import functions as F
 
 from spindle.functions.hashing import hash_family

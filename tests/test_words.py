@@ -3,7 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
-from conftest import SF001
+from support import SF001
 
 from spindle.operators import words as wc
 from spindle.sources.text import documents, read_docs
