@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import odd_rows, same_rows
+from llm_support import odd_rows, same_rows
 
 from spindle.llm import embed_dedup, minhash, rnn, toxicity
 from spindle.llm.graph import components

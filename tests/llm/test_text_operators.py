@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import same_rows
+from llm_support import same_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -265,7 +265,7 @@ def test_rollup(request, which, library):
     df = request.getfixturevalue(which)
     full = [{c: r[c] for c in ("doc_id", "text", "source", "lang")} for r in df.select("doc_id", df["text"] if which != "odd" else df.columns[1], "source", "lang").collect()] if which != "odd" else None
     if full is None:
-        from conftest import odd_rows
+        from llm_support import odd_rows
 
         full = [{"doc_id": i, "text": t, "lang": lang, "source": s} for i, t, lang, s, _ in odd_rows()]
     same_rows(token_rollup.corpus_rollup(df), brute_rollup(full, library), [*token_rollup.KEYS, *token_rollup.SUMS])
@@ -376,7 +376,7 @@ def check_mix(got, triples):
 def test_mix(docs, odd, empty):
     triples = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
     check_mix(mixing.mix_plan(docs).collect(), triples)
-    from conftest import odd_rows
+    from llm_support import odd_rows
 
     check_mix(mixing.mix_plan(odd).collect(), [(i, t, s) for i, t, _, s, _ in odd_rows()])
     assert mixing.mix_plan(empty).count() == 0
