@@ -70,11 +70,17 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindle.llm.merkle import verified_manifest
+
+    return verified_manifest(table(spark, sf_dir, "documents"))
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_sharding, op3_bpe, op4_toxicity, op5_minhash_dedup, op6_token_files, op7_token_rollup,
-        op8_embedding_dedup, op9_mixing, op10_fingerprints,
+        op8_embedding_dedup, op9_mixing, op10_fingerprints, op11_merkle_manifest,
     )
 }
 
@@ -128,8 +134,56 @@ SELECT r.doc_id, r.size, s4.source_size, s4.target,
 FROM r JOIN s4 ON r.source IS NOT DISTINCT FROM s4.source"""
 
 
+def crc32_sql(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, bit by bit."""
+    step = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    byte = f"list_reduce(list_prepend(xor(a, b), range(8)), lambda c, bit: {step})"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda a, b: {byte}), 4294967295::BIGINT)"
+
+
+def op11_sql() -> str:
+    """Levels from leaves to root, then every leaf's path up, one level a step."""
+
+    def leaf(n_chars: str) -> str:
+        fields = ("doc_id", "source", "lang", n_chars, "text")
+        return "sha256(" + " || ".join(f"coalesce(strlen(({f})::VARCHAR) || ':' || ({f})::VARCHAR, '-')" for f in fields) + ")"
+
+    return f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce('1' || lang, '0') AS g, {leaf("n_chars")} AS leaf,
+           CASE WHEN {crc32_sql("doc_id::VARCHAR")} % 7 = 0 AND n_chars IS NOT NULL THEN {leaf("n_chars + 1")} END AS changed
+    FROM documents
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM d
+), up(g, k, i, n, h) AS (
+    SELECT g, 0, i, n, leaf FROM leaves
+    UNION ALL SELECT g, k + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY g, k, i // 2, n
+), sub AS (
+    SELECT g, k AS height, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM up WHERE n = 1
+), top(k, i, n, h) AS (
+    SELECT 0, i, n, subroot FROM sub
+    UNION ALL SELECT k + 1, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY k, i // 2, n
+), nodes AS (
+    SELECT g, k, i, n, h FROM up UNION ALL SELECT '', k, i, n, h FROM top
+), fold(g, tree, p, k, i, n, h, proof) AS (
+    SELECT g, g, i, 0, i, n, coalesce(changed, leaf), '' FROM leaves
+    UNION ALL
+    SELECT f.g, CASE WHEN f.n = 1 THEN '' ELSE f.tree END, f.p, CASE WHEN f.n = 1 THEN 0 ELSE f.k + 1 END,
+           CASE WHEN f.n = 1 THEN s.i ELSE f.i // 2 END, CASE WHEN f.n = 1 THEN s.n ELSE (f.n + 1) // 2 END,
+           CASE WHEN f.n = 1 THEN f.h WHEN f.i % 2 = 1 THEN sha256(x.h || f.h) ELSE sha256(f.h || coalesce(x.h, '')) END,
+           CASE WHEN f.n = 1 THEN f.proof ELSE f.proof || coalesce(x.h, '') END
+    FROM fold f JOIN sub s ON s.g = f.g
+    LEFT JOIN nodes x ON x.g = f.tree AND x.k = f.k AND x.i = xor(f.i, 1) AND f.n > 1
+    WHERE f.n > 1 OR f.tree <> ''
+)
+SELECT l.doc_id, l.leaf, sub.subroot, r.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM leaves l JOIN sub ON sub.g = l.g JOIN fold f ON f.g = l.g AND f.p = l.i AND f.tree = '' AND f.n = 1
+JOIN top r ON r.n = 1"""
+
+
 def sql() -> dict[str, str]:
-    return {"op8_embedding_dedup": op8_sql(), "op9_mixing": op9_sql()}
+    return {"op8_embedding_dedup": op8_sql(), "op9_mixing": op9_sql(), "op11_merkle_manifest": op11_sql()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

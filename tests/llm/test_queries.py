@@ -10,7 +10,7 @@ from spindle.llm import queries
 
 def test_registered():
     found = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert [int(n[2:].split("_")[0]) for n in found if n != "pipeline"] == list(range(1, 11)) and "pipeline" in found
+    assert [int(n[2:].split("_")[0]) for n in found if n != "pipeline"] == list(range(1, 14)) and "pipeline" in found
     assert set(queries.sql()) <= set(entry.oracle_sql())
 
 
@@ -19,7 +19,7 @@ def test_oracle(spark, sf, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     got = queries.OPERATORS[name](spark, sf)
     columns = sorted(got.columns)
