@@ -76,11 +76,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified_manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindle.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_sharding, op3_bpe, op4_toxicity, op5_minhash_dedup, op6_token_files, op7_token_rollup,
-        op8_embedding_dedup, op9_mixing, op10_fingerprints, op11_merkle_manifest,
+        op8_embedding_dedup, op9_mixing, op10_fingerprints, op11_merkle_manifest, op12_prefix_trie,
     )
 }
 
@@ -182,8 +188,43 @@ FROM leaves l JOIN sub ON sub.g = l.g JOIN fold f ON f.g = l.g AND f.p = l.i AND
 JOIN top r ON r.n = 1"""
 
 
+def op12_sql() -> str:
+    """Every conversation's prefixes as joined turn digests; subtrees from pairs of prefixes of one conversation."""
+    return f"""
+WITH raw AS (
+    SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL
+), t AS (
+    SELECT conv_id, md5(strlen(r) || ':' || r || x) AS id, length(x) AS chars,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(r) || ':' || r || x)) AS p FROM raw
+), c AS (
+    SELECT conv_id, {crc32_sql("conv_id::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)
+), parts AS (
+    SELECT c.conv_id, 0 AS part, p, id, chars FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 WHERE p <= h
+    UNION ALL SELECT c.conv_id, 1, p, id, chars FROM c JOIN t ON t.conv_id = c.conv_id WHERE p > h
+), steps AS (
+    SELECT conv_id, row_number() OVER w AS d, string_agg(id, '') OVER w AS k, chars,
+           count(*) OVER (PARTITION BY conv_id) AS size
+    FROM parts WINDOW w AS (PARTITION BY conv_id ORDER BY part, p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), pre AS (
+    SELECT conv_id, d, k, chars, d = size AS ends FROM steps
+    UNION ALL SELECT conv_id, 0, '', 0, NOT EXISTS (SELECT 1 FROM parts WHERE parts.conv_id = c.conv_id) FROM c
+), nodes AS (
+    SELECT k, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * any_value(chars) AS saved,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends FROM pre GROUP BY k
+), links AS (
+    SELECT DISTINCT a.k AS top, b.k AS sub, b.d - a.d AS step FROM pre a JOIN pre b ON a.conv_id = b.conv_id AND a.d <= b.d
+), childless AS (
+    SELECT k FROM nodes WHERE k NOT IN (SELECT top FROM links WHERE step = 1)
+)
+SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n AS n_convs, count(*) FILTER (WHERE l.step = 1) AS n_children,
+       count(z.k) AS n_leaves, sum(s.saved)::BIGINT AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN links l ON l.top = n.k JOIN nodes s ON s.k = l.sub LEFT JOIN childless z ON z.k = l.sub
+LEFT JOIN links u ON u.sub = n.k AND u.step = 1 LEFT JOIN nodes up ON up.k = u.top
+GROUP BY n.k, n.conv_id, n.depth, up.conv_id, n.n, n.ends"""
+
+
 def sql() -> dict[str, str]:
-    return {"op8_embedding_dedup": op8_sql(), "op9_mixing": op9_sql(), "op11_merkle_manifest": op11_sql()}
+    return {"op8_embedding_dedup": op8_sql(), "op9_mixing": op9_sql(), "op11_merkle_manifest": op11_sql(), "op12_prefix_trie": op12_sql()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
