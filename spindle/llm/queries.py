@@ -82,11 +82,18 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindle.llm.quality import quality
+
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_sharding, op3_bpe, op4_toxicity, op5_minhash_dedup, op6_token_files, op7_token_rollup,
         op8_embedding_dedup, op9_mixing, op10_fingerprints, op11_merkle_manifest, op12_prefix_trie,
+        op13_quality,
     )
 }
 
