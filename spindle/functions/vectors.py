@@ -7,12 +7,13 @@ hundreds of terms through the Python Column API would cost one Py4J round trip p
 
 Shapes:
 
-* ``unrolled``: one arithmetic term per (centre, dimension); stays inside whole-stage codegen.  Best while
-  ``K * dim`` is small (the default up to 24 cells).
+* ``unrolled``: one arithmetic term per (centre, dimension); stays inside whole-stage codegen.  The terms read the
+  centres from one array, so the generated code depends on K and dim only: every round of an iterative job, and every
+  other centre set of that shape, runs code that is compiled already.  The default up to 48 cells.
 * ``lambda``: higher-order functions (``transform``/``zip_with``/``aggregate``) over one array literal; compact,
   but evaluated without codegen.  Available on request.
 * ``arrow``: not an expression -- an Arrow-batched numpy kernel (:mod:`spindle.functions.arrow_kernels`); the
-  default above 24 cells.
+  default above 48 cells.
 """
 
 from __future__ import annotations
@@ -20,14 +21,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest K * dim for which distances are written out term by term.  Larger unrolled expressions compile into
-# methods too big for the JIT: measured on 600k points, 24 cells took 1.1 s and 32 cells 6.0 s, the Arrow kernel
-# 1.2 s and 0.8 s.  Above it assignment runs as that kernel, with the centres in a broadcast variable (see
-# spindle.functions.arrow_kernels).
-UNROLL_CELLS = 24
+# Largest K * dim for which distances are written out term by term; above it assignment runs as an Arrow-batched numpy
+# kernel with the centres in a broadcast variable (see spindle.functions.arrow_kernels).  Measured on 600k 2-d points
+# with a new centre set each time: 0.35 s up to 32 cells, 0.45 s at 48, 0.65 s at 64, the kernel 0.55 s at any of
+# them.  (With the centres as constants in the code: 0.7 s up to 24 cells, 4 to 7 s from 32 cells on.)
+UNROLL_CELLS = 48
 # Largest K * dim the explicit ``lambda`` strategy accepts as a plan literal.
 MAX_LITERAL_CELLS = 100_000
 # Largest K * dim shipped in one broadcast (256 MiB of doubles per executor).  A bigger centre set is split into
@@ -81,46 +82,38 @@ def centers_sql(centers: Centers) -> str:
     return "array(" + ", ".join(array_sql(c) for c in centers) + ")"
 
 
-def sqdist_to_point_sql(v: str, c: Sequence[float]) -> str:
-    """Squared Euclidean distance between array column ``v`` and a fixed point, one term per dimension."""
-    terms = []
-    for j, cj in enumerate(c):
-        d = f"({v}[{j}] - {dlit(cj)})"
-        terms.append(f"{d} * {d}")
-    return " + ".join(terms)
-
-
 def sqdist_sql(a: str, b: str) -> str:
     return f"aggregate(zip_with({a}, {b}, (x, y) -> (x - y) * (x - y)), 0D, (s, y) -> s + y)"
 
 
-def sqdist(a: Column | str, b: Column | str) -> Column:
-    """Squared Euclidean distance between two array columns of equal length."""
-    if isinstance(a, str) and isinstance(b, str):
-        return F.expr(sqdist_sql(a, b))
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, y: s + y)
+def _unrolled_sql(v: str, cells: str, k: int, dim: int) -> str:
+    """The nearest of ``k`` centres whose coordinates stand one after the other in the array column ``cells``."""
 
+    def centre(i: int, ci: str) -> str:
+        d = [f"({v}[{j}] - {cells}[{i * dim + j}])" for j in range(dim)]
+        return f"named_struct('d2', {' + '.join(f'{x} * {x}' for x in d)}, 'ci', {ci})"
 
-def nearest_sql(v: str, centers: Centers, strategy: str = "auto") -> str:
-    k, dim = check_centers(centers)
-    strategy = choose_strategy(centers, strategy)
-    if strategy == "unrolled":
-        cands = [f"named_struct('d2', {sqdist_to_point_sql(v, c)}, 'ci', {i})" for i, c in enumerate(centers)]
-        best = cands[0] if k == 1 else "least(" + ", ".join(cands) + ")"
-        wrong = f"raise_error(concat('every feature vector must have {dim} coordinates, got ', size({v})))"
-        return f"if(size({v}) = {dim}, {best}, {wrong})"
-    if strategy == "lambda":
-        return (
-            f"array_min(transform({centers_sql(centers)}, (c, i) -> "
-            f"named_struct('d2', {sqdist_sql(v, 'c')}, 'ci', i)))"
-        )
-    raise ValueError(f"strategy {strategy!r} is not a column expression")
+    if k == 1:  # the index reads the distance too, so that a vector of another length fails whatever is selected
+        return centre(0, f"if({cells}[0] = {cells}[0], 0, 1)")
+    return f"least({', '.join(centre(i, str(i)) for i in range(k))})"
 
 
-def nearest(v: str, centers: Centers, strategy: str = "auto") -> Column:
-    """``STRUCT<d2 DOUBLE, ci INT>`` of the nearest centre to array column ``v`` and its squared distance.
+def with_nearest(df: DataFrame, v: str, centers: Centers, name: str, strategy: str = "auto") -> DataFrame:
+    """``df`` plus the column ``name``: ``STRUCT<d2 DOUBLE, ci INT>`` of the nearest centre to array column ``v`` and its
+    squared distance.
 
     Ties go to the lowest index and a NaN distance never beats a number, because structs compare field by field
     and Spark orders NaN above every other double.
     """
-    return F.expr(nearest_sql(v, centers, strategy))
+    k, dim = check_centers(centers)
+    strategy = choose_strategy(centers, strategy)
+    if strategy == "lambda":
+        best = f"array_min(transform({centers_sql(centers)}, (c, i) -> named_struct('d2', {sqdist_sql(v, 'c')}, 'ci', i)))"
+        return df.withColumn(name, F.expr(best))
+    if strategy != "unrolled":
+        raise ValueError(f"strategy {strategy!r} is not a column expression")
+    cells = f"_cells{name}"
+    wrong = f"raise_error(concat('every feature vector must have {dim} coordinates, got ', size({v})))"
+    # The condition reads the row, so the array is not folded into the terms as constants.
+    flat = f"if(size({v}) = {dim}, {array_sql([x for c in centers for x in c])}, CAST({wrong} AS ARRAY<DOUBLE>))"
+    return df.withColumn(cells, F.expr(flat)).withColumn(name, F.expr(_unrolled_sql(v, cells, k, dim))).drop(cells)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from spindle.functions import vectors as V
-from spindle.functions.vectors import Centers, centers_sql, check_centers, choose_strategy, nearest
+from spindle.functions.vectors import Centers, centers_sql, check_centers, choose_strategy, with_nearest
 from spindle.session import spread
 from spindle.sources.points import GROUP_A, GROUP_B
 
@@ -33,12 +33,26 @@ def _kernels():
     """The Arrow kernel module, pickled by value so that executors need only numpy and pyarrow."""
     from pyspark import cloudpickle
 
-    from spindle.functions import arrow_kernels
+    from spindle.functions import arrow_kernels, center_tree
 
+    cloudpickle.register_pickle_by_value(center_tree)
     cloudpickle.register_pickle_by_value(arrow_kernels)
     return arrow_kernels
 
 
+# Centre sets of this size come with a search tree.
+TREE_CENTERS = 512
+
+
+def _center_set(cs: list[list[float]]):
+    """What the kernels take: a matrix of the centres, or the parts of a tree over them."""
+    import numpy as np
+
+    c = np.asarray(cs, dtype=np.float64)
+    kernels = _kernels()
+    return vars(kernels.CenterTree(c)) if len(c) >= TREE_CENTERS and np.isfinite(c).all() else c
+
+
 # Centre broadcasts created inside open _released_broadcasts scopes (one list per scope).
 _BROADCAST_SCOPES: list[list] = []
 
@@ -51,9 +65,7 @@ def _broadcast(spark, value):
 
 
 def _broadcast_centers(spark, cs: list[list[float]]):
-    import numpy as np
-
-    return _broadcast(spark, np.asarray(cs, dtype=np.float64))
+    return _broadcast(spark, _center_set(cs))
 
 
 @contextmanager
@@ -103,8 +115,7 @@ def assign(points: DataFrame, centers: Centers, strategy: str = "auto") -> DataF
     chosen = choose_strategy(cs, strategy)
     if chosen in ("arrow", "chunked"):
         return _arrow_assign(points, cs, chunked=chosen == "chunked")
-    nn = nearest("features", cs, strategy)
-    return points.withColumn("_nn", nn).select(
+    return with_nearest(points, "features", cs, "_nn", strategy).select(
         *[F.col(c) for c in points.columns], F.col("_nn.ci").alias("ci"), F.col("_nn.d2").alias("d2")
     )
 
@@ -158,13 +169,12 @@ def _objectives_many(points: DataFrame, center_sets: Sequence[Centers]) -> list:
         if kinds[i] == "chunked":
             df = assign(df, cs, "chunked").withColumnRenamed("d2", f"_d2_{i}").drop("ci")
         elif kinds[i] != "arrow":
-            df = df.withColumn(f"_d2_{i}", nearest("features", cs).getField("d2"))
+            df = with_nearest(df, "features", cs, f"_nn{i}").withColumn(f"_d2_{i}", F.col(f"_nn{i}.d2")).drop(f"_nn{i}")
     if arrow:
-        import numpy as np
         from pyspark.sql.types import DoubleType, StructField, StructType
 
         distance_batches = _kernels().distance_batches
-        bc = _broadcast(points.sparkSession, [np.asarray(sets[i], dtype=np.float64) for i in arrow])
+        bc = _broadcast(points.sparkSession, [_center_set(sets[i]) for i in arrow])
         names = [f"_d2_{i}" for i in arrow]
         schema = StructType([*df.schema.fields, *[StructField(n, DoubleType(), False) for n in names]])
         df = df.mapInArrow(lambda it: distance_batches(it, bc.value, names), schema)
@@ -254,6 +264,9 @@ def vector_sum_column(dim: int) -> Column:
     return vector_to_array(F.col("_vsum"))
 
 
+PARTIAL_SUMS = "ci INT, grp STRING, n BIGINT, rsq DOUBLE, rsum ARRAY<DOUBLE>, searched BIGINT"
+
+
 def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) -> DataFrame:
     """Per (cluster[, group]): ``n``, the summed residual ``x - c_ci`` (vector sum columns) and ``rsq`` = Σ‖x - c_ci‖².
 
@@ -268,19 +281,18 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
     if chosen == "arrow":
         residual_partials = _kernels().residual_partials
         bc = _broadcast_centers(points.sparkSession, cs)
-        schema = "ci INT, grp STRING, n BIGINT, rsq DOUBLE, rsum ARRAY<DOUBLE>"
+        schema = PARTIAL_SUMS
         parts = points.select("features", *(["grp"] if by_group else [])).mapInArrow(
             lambda it: residual_partials(it, bc.value, by_group), schema
         )
-        # Each batch emits at most K (x 2) partial rows; the shuffle carries only those.
-        return parts.groupBy(*keys).agg(
-            F.sum("n").cast("bigint").alias("n"), F.sum("rsq").alias("rsq"), *vector_sum_aggs("rsum", dim)
-        )
+        return _sum_partials(parts, keys, dim)
     if chosen == "chunked":
+        import numpy as np
+
         residual_batches = _kernels().residual_batches
         proj = assign(points, cs, "chunked").select(*keys, "features", F.col("features").alias("_rv"))
         for offset, block in _chunks(cs):
-            bc = _broadcast_centers(points.sparkSession, block)
+            bc = _broadcast(points.sparkSession, np.asarray(block, dtype=np.float64))
             proj = proj.mapInArrow(lambda it, bc=bc, offset=offset: residual_batches(it, bc.value, offset), proj.schema)
         proj = proj.selectExpr(*keys, "_rv", "aggregate(_rv, 0D, (s, y) -> s + y * y) AS _rsq")
         return proj.groupBy(*keys).agg(
@@ -301,17 +313,23 @@ def residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) ->
     return proj.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("_rsq").alias("rsq"), *sums)
 
 
+def _sum_partials(parts: DataFrame, keys: list[str], dim: int, *more: Column) -> DataFrame:
+    """The kernels' rows summed by key: each batch emits at most K (x 2), the shuffle carries only those."""
+    return parts.groupBy(*keys).agg(
+        F.sum("n").cast("bigint").alias("n"), F.sum("rsq").alias("rsq"), *vector_sum_aggs("rsum", dim), *more
+    )
+
+
 def collect_residual_sums(points: DataFrame, centers: Centers, by_group: bool = True) -> list[tuple]:
     """The at most 2K rows of :func:`residual_sums` as ``(ci, grp, n, Σr, Σ‖r‖²)`` with r = x - c_ci."""
     cs = as_centers(centers)
-    dim = len(cs[0])
     with _released_broadcasts():
         rows = residual_sums(points, cs, by_group).collect()
-    out = []
-    for r in rows:
-        ci, n, s, q = r["ci"], int(r["n"]), vector_sum_value(r, dim), float(r["rsq"])
-        out.append((ci, r["grp"] if by_group else None, n, s, q))
-    return out
+    return _sum_rows(rows, len(cs[0]), by_group)
+
+
+def _sum_rows(rows: list[Row], dim: int, by_group: bool) -> list[tuple]:
+    return [(r["ci"], r["grp"] if by_group else None, int(r["n"]), vector_sum_value(r, dim), float(r["rsq"])) for r in rows]
 
 
 def cluster_ab_outer_join(points: DataFrame, centers: Centers) -> DataFrame:
@@ -376,12 +394,23 @@ def kmeans(
     return [[float(x) for x in c] for c in model.clusterCenters()]
 
 
+def _digits(head: Column | str, round_: int, seed: int) -> Column:
+    """13 hex digits of ``md5("<head>:<round>:<seed>")``: their text order is the order of the draws."""
+    text = F.concat(F.lit(head) if isinstance(head, str) else head, F.lit(f":{round_}:{seed}"))
+    return F.substring(F.md5(text.cast("binary")), 1, 13)
+
+
 def draw(head: Column | str, round_: int, seed: int) -> Column:
     """A uniform number in [0, 1): the first 52 bits of ``md5("<head>:<round>:<seed>")``.  It depends on nothing else,
     so every layout of the points and every retried task draws the same."""
-    text = F.concat(F.lit(head) if isinstance(head, str) else head, F.lit(f":{round_}:{seed}"))
-    digits = F.substring(F.md5(text.cast("binary")), 1, 13)
-    return F.conv(digits, 16, 10).cast("double") / F.lit(2.0**52)
+    return F.conv(_digits(head, round_, seed), 16, 10).cast("double") / F.lit(2.0**52)
+
+
+def _drawn(head: Column, round_: int, seed: int, share: Column) -> Column:
+    """``draw < share``.  Below a share of 1/16 the first digit must be 0: that is asked first, and only the few rows
+    that pass have their digits turned into a number."""
+    likely = (share >= F.lit(0.0624)) | _digits(head, round_, seed).startswith("0")
+    return likely & (draw(head, round_, seed) < share)
 
 
 def _reduce_candidates(candidates: list[list[float]], weights: list[int], k: int, draws: list[float]) -> list[list[float]]:
@@ -405,32 +434,58 @@ def kmeans_init(points: DataFrame, k: int, seed: int = 48, init_steps: int = 2)
     """k-means|| seeding whose draws are a hash of (id, round, seed), so it is the same under every partitioning.
 
     The point with the least draw of round 0 is the first candidate (ties: least id, then features).  In each of
-    ``init_steps`` rounds a point becomes a candidate if draw * cost < 2k * (its squared distance to the candidates),
-    cost being the sum of those distances: 2k candidates a round on average, equal ones once.  Candidates weighted by
+    ``init_steps`` rounds a point becomes a candidate if its draw is below 2k * (its squared distance to the candidates) /
+    cost, the sum of those distances: 2k candidates a round on average, equal ones once.  Each point keeps its nearest
+    candidate so far and is compared with a round's new ones only.  Candidates weighted by
     the points nearest to them are reduced to k by k-means++.  Fewer than k centres come back when there are fewer
     distinct candidates; no points, no centres.  Ids should be unique: points of one id share their draws.  A point
     without an id draws by the hash of its features.
     """
     pid = F.col("id") if "id" in points.columns else F.lit(None).cast("bigint")
     key = F.coalesce(pid.cast("string"), F.concat(F.lit("x"), F.xxhash64("features").cast("string")))
-    with _Cached(points.select(pid.alias("id"), "features", "grp")) as p, _released_broadcasts():
-        keyed = p.withColumn("_key", key)
-        first = keyed.orderBy(draw(F.col("_key"), 0, seed), "id", "features").select("features").limit(1).collect()
-        candidates = [list(r["features"]) for r in first]
-        if not candidates:
-            return []
-        for r in range(1, init_steps + 1):
-            near = assign(keyed, candidates)
-            cost = near.agg(F.sum("d2")).first()[0]
-            hit = draw(F.col("_key"), r, seed) * F.lit(cost) < F.lit(2.0 * k) * F.col("d2")
-            new = near.where(hit).groupBy("features").agg(F.min("id").alias("id")).collect()  # 2k rows on average
-            new.sort(key=lambda row: (row["id"] is not None, row["id"] or 0, row["features"]))
-            candidates += [list(row["features"]) for row in new]
-        counts = dict(assign(keyed, candidates).groupBy("ci").count().collect())
+    held: list[DataFrame] = []  # each round's nearest-so-far, persisted until the next round's stands
+    try:
+        with _Cached(points.select(pid.alias("id"), "features", "grp")) as p, _released_broadcasts():
+            keyed = p.select("id", "features", key.alias("_key"))
+            first = keyed.orderBy(_digits(F.col("_key"), 0, seed), "id", "features").select("features").limit(1).collect()
+            candidates = [list(r["features"]) for r in first]
+            if not candidates:
+                return []
+            near, new = keyed, candidates
+            for r in range(1, init_steps + 2):
+                near = _nearer(near, new, len(candidates) - len(new)) if new else near
+                held.append(near.persist(StorageLevel.MEMORY_AND_DISK))
+                if r > init_steps:
+                    break
+                cost = near.agg(F.sum("d2")).first()[0]
+                for old in held[:-1]:
+                    old.unpersist()
+                share = F.lit(2.0 * k) * F.col("d2") / F.lit(cost)
+                hit = _drawn(F.col("_key"), r, seed, share) if cost else F.lit(False)
+                rows = near.where(hit).groupBy("features").agg(F.min("id").alias("id")).collect()  # 2k rows on average
+                rows.sort(key=lambda row: (row["id"] is not None, row["id"] or 0, row["features"]))
+                new = [list(row["features"]) for row in rows]
+                candidates += new
+            counts = dict(near.groupBy("ci").count().collect())
+    finally:
+        for df in held:
+            df.unpersist()
     draws = points.sparkSession.range(1).select(*[draw("pick", i, seed) for i in range(k)]).first()
     return _reduce_candidates(candidates, [counts.get(i, 0) for i in range(len(candidates))], k, list(draws))
 
 
+def _nearer(state: DataFrame, new: list[list[float]], offset: int) -> DataFrame:
+    """Points with the nearest centre so far (``ci``, ``d2``) after ``new`` ones, numbered from ``offset``, were added: every
+    point is compared with the new ones only.  On ties the earlier centre stays."""
+    if not offset:
+        return assign(state, new)
+    before = state.withColumnsRenamed({"ci": "_ci", "d2": "_d2"})
+    both = F.least(F.struct(F.col("_d2").alias("d2"), F.col("_ci").alias("ci")), F.struct("d2", (F.col("ci") + F.lit(offset)).alias("ci")))
+    merged = assign(before, new).withColumn("_best", both)
+    names = [c for c in state.columns if c not in ("ci", "d2")]
+    return merged.select(*names, F.col("_best.ci").alias("ci"), F.col("_best.d2").alias("d2"))
+
+
 #: Named starts: the hash-drawn seeding above, and Spark ML's own, whose draws depend on the partitioning.
 INITS = {"k-means||": kmeans_init, "spark-ml": lambda points, k, seed=48: kmeans(points, k, 0, seed=seed)}
 
@@ -476,35 +531,132 @@ class _Cached:
             self.df.unpersist()
 
 
-def lloyd_step(points: DataFrame, centers: Centers) -> list[list[float]]:
-    """One Lloyd round: each centre moves to the mean of its points; a centre with no point stays put."""
-    cs = as_centers(centers)
+# Centre sets of at least this many cells keep distance bounds from round to round.
+BOUND_CELLS = 2048
+# Share of points to be searched anew beyond which a round's centres become the next reference.
+RENEW = 0.25
+
+
+class RoundSums:
+    """The residual sums of the successive centre sets of one iterative job over cached points.
+
+    For a large centre set the points are cached once more with their nearest centre in a *reference* set, the distance
+    to it and a lower bound of the distance to any other.  In a later round a centre that has moved by m since the
+    reference is at most m nearer or farther, so most points keep their centre by the triangle inequality and only the
+    others are compared with all centres: same centres as without bounds, bit for bit.  After a round that had to search
+    more than ``RENEW`` of the points, the next round's centres become the reference.  Bounds are columns of a cached DataFrame:
+    a lost executor's are recomputed from the points and the reference centres.
+
+    ``trace`` has an entry per round: ``(points, distances computed, distances skipped)``.
+    """
+
+    def __init__(self, points: DataFrame, by_group: bool, bounds: bool | None = None):
+        self.points, self.by_group, self.bounds = points, by_group, bounds
+        self.trace: list[tuple[int, int, int]] = []
+        self._cached: DataFrame | None = None
+        self._before: list[list[float]] | None = None
+        self._sent = None
+
+    def __enter__(self) -> RoundSums:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self._drop()
+
+    def _drop(self) -> None:
+        if self._cached is not None:
+            self._cached.unpersist()
+            self._sent.unpersist(blocking=False)
+        self._cached = self._before = self._sent = None
+
+    def _wanted(self, cs: list[list[float]]) -> bool:
+        import numpy as np
+
+        if choose_strategy(cs) not in ("arrow", "unrolled") or not np.isfinite(np.asarray(cs)).all():
+            return False
+        return len(cs) * len(cs[0]) >= BOUND_CELLS if self.bounds is None else self.bounds
+
+    def _refer(self, cs: list[list[float]]) -> None:
+        import numpy as np
+        from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+
+        self._drop()
+        reference_batches = _kernels().reference_batches
+        bc = self.points.sparkSession.sparkContext.broadcast(np.asarray(cs, dtype=np.float64))
+        df = self.points.select("features", *(["grp"] if self.by_group else []))
+        more = [("ci", IntegerType()), ("near", DoubleType()), ("far", DoubleType())]
+        schema = StructType([*df.schema.fields, *[StructField(n, t, False) for n, t in more]])
+        self._cached = df.mapInArrow(lambda it: reference_batches(it, bc.value), schema).persist(StorageLevel.MEMORY_AND_DISK)
+        self._before, self._sent = cs, bc
+
+    def __call__(self, centers: Centers) -> list[tuple]:
+        """The at most 2K rows ``(ci, grp, n, Σr, Σ‖r‖²)`` of these centres."""
+        cs = as_centers(centers)
+        if not self._wanted(cs):
+            rows = collect_residual_sums(self.points, cs, self.by_group)
+            n = sum(r[2] for r in rows)
+            self.trace.append((n, n * len(cs), 0))
+            return rows
+        import numpy as np
+
+        fresh = self._before is None or len(self._before) != len(cs)
+        if fresh:
+            self._refer(cs)
+        with _released_broadcasts():
+            now, before = np.asarray(cs, dtype=np.float64), np.asarray(self._before, dtype=np.float64)
+            bc = _broadcast(self.points.sparkSession, (now, before))
+            bounded_partials, by_group = _kernels().bounded_partials, self.by_group
+            parts = self._cached.mapInArrow(lambda it: bounded_partials(it, *bc.value, by_group), PARTIAL_SUMS)
+            keys = ["ci", "grp"] if by_group else ["ci"]
+            sums = _sum_partials(parts, keys, len(cs[0]), F.sum("searched").alias("searched")).collect()
+        rows = _sum_rows(sums, len(cs[0]), by_group)
+        n, searched = sum(r[2] for r in rows), int(sum(r["searched"] for r in sums))
+        computed = (searched + n * fresh) * len(cs)
+        self.trace.append((n, computed, n * len(cs) - computed))
+        if searched > RENEW * n and not fresh:
+            self._drop()
+        return rows
+
+
+def _moved(cs: list[list[float]], rows: list[tuple]) -> list[list[float]]:
+    """Every centre at the mean of its points; a centre with no point stays put."""
     out = [list(c) for c in cs]
-    for ci, _, n, s, _ in collect_residual_sums(points, cs, by_group=False):  # at most K rows
+    for ci, _, n, s, _ in rows:  # at most K rows
         out[ci] = [c + v / n for c, v in zip(cs[ci], s)]
     return out
 
 
+def lloyd_step(points: DataFrame, centers: Centers) -> list[list[float]]:
+    """One Lloyd round: each centre moves to the mean of its points; a centre with no point stays put."""
+    cs = as_centers(centers)
+    return _moved(cs, collect_residual_sums(points, cs, by_group=False))
+
+
 def lloyd(
     points: DataFrame,
     init: Centers,
     rounds: int,
     partitions: int | None = None,
     tol: float | None = None,
+    bounds: bool | None = None,
+    trace: list | None = None,
 ) -> list[list[float]]:
     """k-means by Lloyd steps from the given centres (one Spark job per round).
 
     Without ``tol`` exactly ``rounds`` steps run; with it the loop also stops once no centre moved more than
     ``tol`` (Spark ML's convergence rule), so a start by ``kmeans(p, k, 0)`` gives Spark ML k-means
-    with the seeding computed once and reusable."""
+    with the seeding computed once and reusable.  ``bounds`` keeps distance bounds between rounds (see
+    :class:`RoundSums`; by default where the centre set is large); ``trace`` is given what each round skipped."""
     cs = as_centers(init)
-    with _Cached(points, partitions) as p:
+    with _Cached(points, partitions) as p, RoundSums(p, by_group=False, bounds=bounds) as sums:
         for _ in range(rounds):
-            new = lloyd_step(p, cs)
+            new = _moved(cs, sums(cs))
             moved = max(sum((a - b) * (a - b) for a, b in zip(c0, c1)) for c0, c1 in zip(cs, new))
             cs = new
             if tol is not None and moved <= tol * tol:
                 break
+        if trace is not None:
+            trace += sums.trace
     return cs
 
 

@@ -249,7 +249,7 @@ def _seeding(dataset: str, k: int, seed: int, steps: int) -> list[str]:
     one = f"SELECT rid FROM pts ORDER BY {_draw('id', 0, seed)}, id, f LIMIT 1"
     out = _base(dataset, k)[:2] + [f"q0 AS MATERIALIZED (SELECT 0 AS ci, j, x AS c FROM lf WHERE rid IN ({one}))"]
     for r in range(1, steps + 1):
-        hit = f"{_draw('p.id', r, seed)} * (SELECT sum(d2) FROM qa{r}) < {2.0 * k!r} * a.d2"
+        hit = f"{_draw('p.id', r, seed)} < {2.0 * k!r} * a.d2 / (SELECT sum(d2) FROM qa{r})"
         out += [
             _assign(f"qa{r}", f"q{r - 1}"),
             f"qn{r} AS MATERIALIZED (SELECT row_number() OVER (ORDER BY id, f) + (SELECT max(ci) FROM q{r - 1}) AS ci, f "

@@ -386,3 +386,95 @@ def test_bad_table_points_fail_whatever_is_read(spark, row):
     for columns in (["features"], ["grp"]):
         with pytest.raises(Exception, match="finite numbers|must be A or B"):
             points_from_table(df, F.col("x"), F.col("g")).select(*columns).collect()
+
+
+# Large centre sets -------------------------------------------------------------------------------------------------
+
+
+def _brute(x, c):
+    """Every direct distance, the lowest index on ties."""
+    import numpy as np
+
+    d2 = np.zeros((len(x), len(c)))
+    for j in range(x.shape[1]):
+        d2 += (x[:, None, j] - c[None, :, j]) ** 2
+    return d2.argmin(axis=1), d2.min(axis=1)
+
+
+@pytest.mark.parametrize("kind", ["mixture", "uniform", "grid", "far", "copies", "line"])
+def test_centre_tree_equals_brute_force(kind):
+    """Structured, structureless, tied, shifted, duplicate and degenerate centre sets; the answer is the same bit for bit."""
+    import numpy as np
+
+    from spindle.functions import arrow_kernels as ak
+
+    rng = np.random.default_rng(5)
+    c = rng.standard_normal((900, 5)) * 4
+    x = c[rng.integers(0, 900, 3000)] + rng.standard_normal((3000, 5)) * 0.3
+    if kind == "uniform":
+        x = rng.standard_normal((3000, 5)) * 6
+    elif kind == "grid":
+        c, x = rng.integers(-2, 3, (900, 5)).astype(float), rng.integers(-3, 4, (3000, 5)) / 2
+    elif kind == "far":
+        c, x = c + 1.7e9, x + 1.7e9
+    elif kind == "copies":
+        c[450:] = c[:450]
+        x[:5] = [np.nan, np.inf, -np.inf, 0, 1]
+    elif kind == "line":
+        c[:, 1:] = 0.0
+    want = _brute(x[5:], c)
+    tree = ak.CenterTree(c)
+    assert sorted(np.concatenate(tree.leaves)) == list(range(900)) and max(map(len, tree.leaves)) <= 64
+    got, plain = ak.nearest_block(x, tree), ak.nearest_block(x, c)
+    assert (got[0] == plain[0]).all() and ((got[1] == plain[1]) | np.isnan(got[1])).all()
+    assert (got[0][5:] == want[0]).all() and (got[1][5:] == want[1]).all()
+
+
+def test_centre_tree_rules_out_most_distances():
+    """Points near their centres settle within their leaf, whatever the dimension."""
+    import numpy as np
+
+    from spindle.functions.arrow_kernels import CenterTree
+
+    rng = np.random.default_rng(6)
+    c = rng.standard_normal((2000, 32))
+    tree = CenterTree(c)
+    row, _, whole = tree.shortlist(c[rng.integers(0, 2000, 1000)] + rng.standard_normal((1000, 32)) * 0.02)
+    assert len(whole) < 100 and len(row) < 1300
+
+
+@pytest.mark.parametrize("by_group", [False, True])
+def test_bounds_between_rounds_change_nothing(spark, monkeypatch, by_group):
+    """Same centres after every number of rounds, with ties, duplicates and an empty cluster; most distances are skipped."""
+    import numpy as np
+
+    from spindle.operators import fair
+
+    rng = np.random.default_rng(7)
+    mids = rng.standard_normal((40, 3)) * 8
+    x = np.concatenate([mids[rng.integers(0, 40, 2400)] + rng.standard_normal((2400, 3)) * 0.4, np.repeat(mids[:4], 50, axis=0)])
+    rows = [(i, list(map(float, v)), "AB"[int(g)]) for i, (v, g) in enumerate(zip(x, rng.random(len(x)) < 0.4))]
+    df = spark.createDataFrame(rows, "id BIGINT, features ARRAY<DOUBLE>, grp STRING").repartition(3).cache()
+    start = [list(map(float, v)) for v in [*(mids + 0.6), mids[3] + 0.6, np.full(3, 1e6)]]
+    run = (lambda **o: fair.fair_lloyd(df, 0, 6, init=start, **o)) if by_group else (lambda **o: clu.lloyd(df, start, 6, **o))
+    trace: list = []
+    with_bounds, plain = run(bounds=True, trace=trace), run(bounds=False)
+    assert with_bounds == plain
+    assert len(trace) == 6 and all(n == 2600 and a + b == 2600 * 42 for n, a, b in trace)
+    assert sum(skipped for _, _, skipped in trace[2:]) > 0.6 * 4 * 2600 * 42
+    monkeypatch.setattr(clu, "RENEW", 0.0)  # a new reference every other round
+    assert run(bounds=True) == plain
+    df.unpersist()
+
+
+def test_seeding_does_not_depend_on_the_layout(spark):
+    """Each point keeps its nearest candidate so far; the seeds are those of all candidates at once, in any layout."""
+    rows = [(i, [float(i * i % 101), float(i % 17)], "AB"[i % 2]) for i in range(500)]
+    df = spark.createDataFrame(rows, "id BIGINT, features ARRAY<DOUBLE>, grp STRING")
+    seeds = clu.kmeans_init(df.repartition(1), 5, init_steps=4)
+    assert len(seeds) == 5
+    assert clu.kmeans_init(df.repartition(7), 5, init_steps=4) == seeds
+    assert clu.kmeans_init(df.orderBy(F.desc("id")), 5, init_steps=4) == seeds
+    assert clu.kmeans_init(df.where("id < 1"), 5) == [[0.0, 0.0]]
+    assert clu.kmeans_init(df.withColumn("features", F.array(F.lit(1.0), F.lit(2.0))), 3) == [[1.0, 2.0]]
+    assert clu.kmeans_init(df.limit(0), 3) == []

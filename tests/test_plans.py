@@ -99,8 +99,8 @@ def test_assignment_needs_no_join(plans):
         assert "Join" not in plans[name], name
 
 
-@pytest.mark.parametrize("k, kernel", [(12, False), (13, True)])
+@pytest.mark.parametrize("k, kernel", [(24, False), (25, True)])
 def test_assignment_leaves_the_expression_before_its_size_slows_it(spark, k, kernel):
-    """24 cells are written out in whole-stage codegen, 26 go to the Arrow kernel."""
+    """48 cells are written out in whole-stage codegen, 50 go to the Arrow kernel."""
     p = plan(clu.assign(lineitem_points(spark, SF001), [[float(i), float(i)] for i in range(k)]))
     assert ("MapInArrow" in p) is kernel
