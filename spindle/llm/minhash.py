@@ -4,8 +4,9 @@
    Documents with equal sets are one *node* from here on (a 128-bit digest of the set), so copies cost nothing.
 2. Signatures are cut into ``BANDS`` bands of ``ROWS`` values; nodes that agree in a band meet in its bucket.
    A pair at the threshold meets in no bucket with a chance of (1 - 0.75**4)**32 = 5e-6.
-3. Candidates.  First every node of a bucket with the bucket's hub, a node drawn by a hash (as many pairs as rows).
-   The links found merge nodes into components.  In a second pass only nodes of buckets that still hold several
+3. Candidates.  First in ``HUB_ROUNDS`` rounds: every node is paired with one hub only, the node drawn by a hash among all
+   that share an open bucket with it, so a round lists at most one pair a node, however many buckets two nodes share.
+   The links found merge nodes into components, and buckets within one component are closed.  Then only nodes of buckets that still hold several
    components are compared, and of their pairs only those that can reach the threshold: with every set in one order,
    rarest shingle first, a pair that reaches it must share a shingle among the first ``|A| - need + 1`` of A and the
    first ``|B| - need + 1`` of B, where ``need`` is the overlap it needs.  This loses no pair and lists few: what a
@@ -39,7 +40,7 @@ from spindle.llm.graph import components
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BATCH = 16
-HUB_DRAWS = 4
+HUB_ROUNDS = 3
 MISS = 1e-6  # chance at which a pair's reaching the threshold is given up
 PART, WHOLE = 75, 100  # linked: WHOLE * |A and B| >= PART * |A or B|
 BROADCAST_KEYS = 1_000_000  # 8-byte keys broadcast at most (8 MB); beyond, a shuffled join
@@ -256,6 +257,27 @@ def prefix_pairs(full: DataFrame, roots: DataFrame) -> DataFrame:
     return a.join(b, "shingle").where(can).select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
 
 
+def open_buckets(busy: DataFrame, root: DataFrame) -> DataFrame:
+    """``key, node, root`` of the buckets that hold several components; a node in none yet is its own."""
+    labelled = busy.join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    return labelled.join(several.select("key"), "key")
+
+
+def hub_pairs(busy: DataFrame, root: DataFrame, draw: int) -> DataFrame:
+    """One pair ``a, b`` for every node of an open bucket: the node and its hub.
+
+    A bucket's hub is its node of least hash, a node's hub the one of least hash among its buckets' and not of its own
+    component.  The same hash in all buckets lets a group of copies agree on a few hubs.
+    """
+    rows = open_buckets(busy, root)
+    rank = F.xxhash64(F.lit(draw), "node")
+    hubs = rows.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "node", "root")).alias("hub"))
+    near = rows.join(hubs, "key").where("root <> hub.root")
+    chosen = near.groupBy("node").agg(F.min(F.struct("hub.rank", "hub.node"))["node"].alias("hub"))
+    return chosen.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+
+
 def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows of ``described``, and ``node, doc_id, root`` of every node: its least doc_id and its component's root."""
     rows = stored(described(docs), "mh-rows")
@@ -270,25 +292,23 @@ def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "mh-nodes",
     )
     members = bucket_rows(nodes)
-    # A few drawings, not one per bucket: a group's buckets then share hubs, and fewer different pairs are compared.
-    drawn = F.min(F.struct(F.xxhash64(F.pmod("key", F.lit(HUB_DRAWS)), "node"), "node"))["node"]
-    hubs = members.groupBy("key").agg(drawn.alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # Buckets of one node are gone after this; the rest is written once and read by both passes.
-    busy = stored(members.join(hubs, "key").select("key", "hub", "node"), "mh-buckets")
-
-    ends = (F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
-    likely = stored(bayes_filter(busy.where("node <> hub").select(*ends).distinct(), nodes), "mh-likely-1")
-    both = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
-    links = stored(exact_links(likely, full_sets(both, nodes, docs, "1")), "mh-links-1")
-    root = stored(components(links.selectExpr("a AS u", "b AS v")), "mh-roots")
-    # Second pass: buckets that still hold several components.  The hub was compared with everyone already.
-    labelled = busy.where("node <> hub").join(root, "node", "left")
-    labelled = labelled.select("key", "node", F.coalesce("root", "node").alias("root"))
-    open_keys = labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    open_nodes = stored(labelled.join(open_keys.select("key"), "key").select("node", "root").distinct(), "mh-open")
-    full = full_sets(open_nodes, nodes, docs, "2")
-    likely = stored(bayes_filter(prefix_pairs(full, open_nodes), nodes), "mh-likely-2")
-    links = links.unionByName(stored(exact_links(likely, full), "mh-links-2"))
+    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    # Buckets of one node are gone after this; the rest is written once and read by every round.
+    busy = stored(members.join(shared, "key").select("key", "node"), "mh-buckets")
+
+    root = nodes.select("node", F.col("node").alias("root")).limit(0)
+    links = None
+    for r in range(HUB_ROUNDS):
+        likely = stored(bayes_filter(hub_pairs(busy, root, r), nodes), f"mh-likely-{r}")
+        both = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
+        found = stored(exact_links(likely, full_sets(both, nodes, docs, str(r))), f"mh-links-{r}")
+        links = found if links is None else links.unionByName(found)
+        root = stored(components(links.selectExpr("a AS u", "b AS v")), f"mh-roots-{r}")
+    # Last pass: buckets that still hold several components.
+    open_nodes = stored(open_buckets(busy, root).select("node", "root").distinct(), "mh-open")
+    full = full_sets(open_nodes, nodes, docs, "open")
+    likely = stored(bayes_filter(prefix_pairs(full, open_nodes), nodes), "mh-likely-open")
+    links = links.unionByName(stored(exact_links(likely, full), "mh-links-open"))
 
     root = components(links.selectExpr("a AS u", "b AS v"))
     placed = nodes.select("node", "doc_id").join(root, "node", "left")
