@@ -8,7 +8,8 @@ Training fits a bounded, documented sample: per class at most ``SAMPLE`` labelle
 first), of each at most ``SAMPLE_WINDOWS`` windows (least hash of place first).  Only rows whose
 crc32(doc_id as text) mod 3 is not 1 are learned from.  A label says that some window is toxic, not which, so after a
 round on random windows each toxic document is represented by its currently highest window, each clean one by its
-highest and a random one.  The same sample gives the same model, bit for bit.
+highest and a random one.  The same sample gives the same model, bit for bit.  One task fits it, since the sample is
+bounded; only the model, about 2.5 MB, comes to the driver.
 
 Edge cases: null and empty texts have one empty window; a null doc_id is scored and not held out; repeated rows get the
 same score; documents with several labels are toxic if any says so; without labels of both classes every score is 0.0;
@@ -62,8 +63,11 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(remainder == 1, F.lit(False))
 
 
-def training_windows(docs: DataFrame, labels: DataFrame) -> list[tuple[int, int, list[bytes]]]:
-    """``document number, label, words`` of the sample's windows, in a fixed order."""
+WINDOWS = "doc_id BIGINT, toxic INT, start BIGINT, words BINARY"
+
+
+def training_windows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The sample's windows: at most 2 * SAMPLE * SAMPLE_WINDOWS rows."""
     known = pick(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -88,10 +92,14 @@ def training_windows(docs: DataFrame, labels: DataFrame) -> list[tuple[int, int,
             )
 
     rows = pick(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
-    found = rows.mapInArrow(kernel, "doc_id BIGINT, toxic INT, start BIGINT, words BINARY").distinct().collect()
-    found = sorted((r["doc_id"], r["start"], bytes(r["words"]), r["toxic"]) for r in found)
-    number = {d: i for i, d in enumerate(dict.fromkeys(r[0] for r in found))}
-    return [(number[d], toxic, words.split()) for d, _, words, toxic in found]
+    return rows.mapInArrow(kernel, WINDOWS).distinct()
+
+
+def numbered(windows: list[tuple[int, int, bytes, int]]) -> list[tuple[int, int, list[bytes]]]:
+    """``document number, label, words`` of windows ``doc_id, start, words, label``, in a fixed order."""
+    windows = sorted(windows)
+    number = {d: i for i, d in enumerate(dict.fromkeys(w[0] for w in windows))}
+    return [(number[d], toxic, words.split()) for d, _, words, toxic in windows]
 
 
 def train(sample: list[tuple[int, int, list[bytes]]], epochs: int = EPOCHS, seed: int = SEED) -> dict | None:
@@ -167,8 +175,19 @@ def calibrate(top: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
     return float(below + 0.7 * (here - below)), 1.0
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
-    return train(training_windows(docs, labels))
+def fit(docs: DataFrame, labels: DataFrame) -> bytes | None:
+    """The fitted model, pickled, or None where the sample lacks a class."""
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for b in batches:
+            found += zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "words", "toxic")), strict=True)
+        model = train(numbered(found))
+        if model is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    fitted = training_windows(docs, labels).repartition(1).mapInArrow(kernel, "model BINARY").collect()
+    return bytes(fitted[0]["model"]) if fitted else None
 
 
 # ------------------------------------------------------------------------------------------------------------------
@@ -236,15 +255,14 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def score_documents(docs: DataFrame, model: dict | None) -> DataFrame:
+def score_documents(docs: DataFrame, model: bytes | None) -> DataFrame:
     """``docs`` with ``toxicity``, the score of its whole text; the other columns pass through."""
     name = "toxicity"
     out = docs.select(*docs.columns, F.lit(0.0).alias(name))
     if model is None:
         return out
-    raw = pickle.dumps(model)
-    shared = docs.sparkSession.sparkContext.broadcast(raw)  # about 2.5 MB, whatever the data
-    mark = zlib.crc32(raw)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # about 2.5 MB, whatever the data
+    mark = zlib.crc32(model)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = process_cache("toxic", lambda: Scorer(pickle.loads(shared.value)), mark)

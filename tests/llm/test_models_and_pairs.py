@@ -300,10 +300,58 @@ def test_held_out_labels_are_not_read(spark, docs, sf):
     from pyspark.sql import functions as F
 
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    a, b = (toxicity.training_windows(docs, x) for x in (labels, flipped))
+    a, b = (sorted(map(tuple, toxicity.training_windows(docs, x).collect())) for x in (labels, flipped))
     assert a == b and len(a) > 0
 
 
+def brute_logit(p, text):
+    """The highest logit of a text's windows, each word, step and window by itself, in double precision."""
+
+    def inputs(word):
+        d = rnn.describe_words([word])
+        return np.concatenate([p["word"][d.row[0]], np.mean([p["char"][g] for g in d.grams], axis=0)]).astype(float)
+
+    def run(xs, side):
+        h, states = np.zeros(rnn.HIDDEN), []
+        for x in xs:
+            g, u = x @ p["wx"][side] + p["bx"][side][0], h @ p["wh"][side]
+            n = rnn.HIDDEN
+            z, r = (1 / (1 + np.exp(-(g[k : k + n] + u[k : k + n]))) for k in (0, n))
+            h = h + (1 - z) * (np.tanh(g[2 * n :] + r * u[2 * n :]) - h)
+            states.append(h)
+        return states
+
+    words = text.lower().split()
+    last = max(0, len(words) - toxicity.WINDOW)
+    logits = []
+    for start in sorted({min(s, last) for s in range(0, last + toxicity.STRIDE, toxicity.STRIDE)}):
+        xs = [inputs(w) for w in words[start : start + toxicity.WINDOW]]
+        if not xs:
+            return float(p["bo"][0])
+        hs = np.array([np.concatenate(s) for s in zip(run(xs, 0), run(xs[::-1], 1)[::-1], strict=True)])
+        e = np.exp(np.tanh(hs @ p["wa"]) @ p["va"])
+        logits.append(float(e / e.sum() @ hs @ p["wo"] + p["bo"][0]))
+    return max(logits)
+
+
+def test_scores_equal_brute_force(spark, docs, rows, sf):
+    """Every 8th text of the table and the odd ones, against the plain recurrence over all their windows."""
+    import pickle
+
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    fitted = toxicity.fit(docs, labels)
+    assert fitted == toxicity.fit(docs.repartition(5), labels)  # the same sample, the same model
+    model = pickle.loads(fitted)
+    texts = [(i, t) for i, t in rows[::8]] + [(r[0], r[1]) for r in odd_rows() if r[0] not in (7, 8)]
+    df = spark.createDataFrame(texts, "doc_id BIGINT, text STRING")
+    got = Counter((r["text"], round(r["toxicity"], 9)) for r in toxicity.score_documents(df, fitted).collect())
+    score = dict(got.keys())
+    assert len(score) == len(got)  # one score for one text
+    for text in {t for _, t in texts}:
+        x = brute_logit(model["p"], (text or "").encode()) - model["shift"] + math.log(0.7 / 0.3)
+        assert score[text] == pytest.approx(1 / (1 + math.exp(-x)), abs=2e-3)
+
+
 # Pipeline -----------------------------------------------------------------------------------------------------
 
 
