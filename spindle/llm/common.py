@@ -66,6 +66,16 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             start = end
 
 
+def give_back() -> None:
+    """Returns memory that a worker has freed to the system, where its C library can; workers outlive their tasks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def process_cache(name: str, make: Callable[[], object], version: object = None) -> object:
     """An object made once per Python worker process; it outlives a task, as workers are reused.
 
@@ -75,7 +85,7 @@ def process_cache(name: str, make: Callable[[], object], version: object = None)
     home = sys.modules.setdefault("_spindle_llm_cache", types.ModuleType("_spindle_llm_cache")).__dict__
     if home.get("key") != (name, version):
         home["key"] = home["value"] = None
-        pa.default_memory_pool().release_unused()
+        give_back()
         home["value"] = make()
         home["key"] = name, version
     return home["value"]

@@ -4,9 +4,10 @@
    Documents with equal sets are one *node* from here on (a 128-bit digest of the set), so copies cost nothing.
 2. Signatures are cut into ``BANDS`` bands of ``ROWS`` values; nodes that agree in a band meet in its bucket.
    A pair at the threshold meets in no bucket with a chance of (1 - 0.75**4)**32 = 5e-6.
-3. Candidates.  First in ``HUB_ROUNDS`` rounds: every node is paired with one hub only, the node drawn by a hash among all
-   that share an open bucket with it, so a round lists at most one pair a node, however many buckets two nodes share.
-   The links found merge nodes into components, and buckets within one component are closed.  Then only nodes of buckets that still hold several
+3. Candidates, in three passes; after each the links found merge nodes into components, and buckets within one
+   component are closed.  First every node is paired with one hub only, the node drawn by a hash among all that share a
+   bucket with it: at most one pair a node, however many buckets a large group shares.  Then every node of an open bucket
+   is paired with that bucket's hub.  Last, only nodes of buckets that, without their hub, still hold several
    components are compared, and of their pairs only those that can reach the threshold: with every set in one order,
    rarest shingle first, a pair that reaches it must share a shingle among the first ``|A| - need + 1`` of A and the
    first ``|B| - need + 1`` of B, where ``need`` is the overlap it needs.  This loses no pair and lists few: what a
@@ -31,7 +32,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spindle.llm.common import WordHashes, mix64, pick, process_cache, sheltered, shingle_hashes, slices, stored, utf8
@@ -40,7 +41,7 @@ from spindle.llm.graph import components
 BANDS, ROWS = 32, 4
 HASHES = BANDS * ROWS
 BATCH = 16
-HUB_ROUNDS = 3
+HUB_DRAWS = 4
 MISS = 1e-6  # chance at which a pair's reaching the threshold is given up
 PART, WHOLE = 75, 100  # linked: WHOLE * |A and B| >= PART * |A or B|
 BROADCAST_KEYS = 1_000_000  # 8-byte keys broadcast at most (8 MB); beyond, a shuffled join
@@ -258,24 +259,21 @@ def prefix_pairs(full: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def open_buckets(busy: DataFrame, root: DataFrame) -> DataFrame:
-    """``key, node, root`` of the buckets that hold several components; a node in none yet is its own."""
-    labelled = busy.join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    """The rows of the buckets that hold several components, with ``root``; a node in none yet is its own."""
+    labelled = busy.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
     return labelled.join(several.select("key"), "key")
 
 
-def hub_pairs(busy: DataFrame, root: DataFrame, draw: int) -> DataFrame:
-    """One pair ``a, b`` for every node of an open bucket: the node and its hub.
+def with_hubs(rows: DataFrame, draw: Column) -> DataFrame:
+    """Rows ``key, node, root`` with the bucket's hub, its node of least hash under the draw, as ``rank, hub, hub_root``."""
+    hub = F.struct(F.xxhash64(draw, "node").alias("rank"), F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    return rows.join(rows.groupBy("key").agg(F.min(hub).alias("x")).select("key", "x.*"), "key")
 
-    A bucket's hub is its node of least hash, a node's hub the one of least hash among its buckets' and not of its own
-    component.  The same hash in all buckets lets a group of copies agree on a few hubs.
-    """
-    rows = open_buckets(busy, root)
-    rank = F.xxhash64(F.lit(draw), "node")
-    hubs = rows.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), "node", "root")).alias("hub"))
-    near = rows.join(hubs, "key").where("root <> hub.root")
-    chosen = near.groupBy("node").agg(F.min(F.struct("hub.rank", "hub.node"))["node"].alias("hub"))
-    return chosen.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+
+def pairs_of(rows: DataFrame) -> DataFrame:
+    """The pairs ``a, b`` of ``node, hub``, each once."""
+    return rows.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
 
 
 def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -296,16 +294,23 @@ def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Buckets of one node are gone after this; the rest is written once and read by every round.
     busy = stored(members.join(shared, "key").select("key", "node"), "mh-buckets")
 
-    root = nodes.select("node", F.col("node").alias("root")).limit(0)
-    links = None
-    for r in range(HUB_ROUNDS):
-        likely = stored(bayes_filter(hub_pairs(busy, root, r), nodes), f"mh-likely-{r}")
+    def linked(pairs: DataFrame, tag: str) -> DataFrame:
+        likely = stored(bayes_filter(pairs, nodes), f"mh-likely-{tag}")
         both = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
-        found = stored(exact_links(likely, full_sets(both, nodes, docs, str(r))), f"mh-links-{r}")
-        links = found if links is None else links.unionByName(found)
-        root = stored(components(links.selectExpr("a AS u", "b AS v")), f"mh-roots-{r}")
-    # Last pass: buckets that still hold several components.
-    open_nodes = stored(open_buckets(busy, root).select("node", "root").distinct(), "mh-open")
+        return stored(exact_links(likely, full_sets(both, nodes, docs, tag)), f"mh-links-{tag}")
+
+    def merged(links: DataFrame, tag: str) -> DataFrame:
+        return stored(components(links.selectExpr("a AS u", "b AS v")), f"mh-roots-{tag}")
+
+    # One draw for all buckets, so that a group of copies agrees on a few hubs; a node takes the first of its buckets'.
+    near = with_hubs(busy.withColumn("root", F.col("node")), F.lit(-1)).where("node <> hub").groupBy("node").agg(F.min(F.struct("rank", "hub"))["hub"].alias("hub"))
+    links = linked(pairs_of(near), "1")
+    # A few draws, not one per bucket: a group's buckets then share hubs, and fewer different pairs are compared.
+    still = stored(with_hubs(open_buckets(busy, merged(links, "1")), F.pmod("key", F.lit(HUB_DRAWS))), "mh-still")
+    links = links.unionByName(linked(pairs_of(still.where("root <> hub_root")), "2"))
+    # The hub was compared with everyone in its bucket; the others are compared where they are in several components.
+    rest = open_buckets(still.where("node <> hub").select("key", "node"), merged(links, "2"))
+    open_nodes = stored(rest.select("node", "root").distinct(), "mh-open")
     full = full_sets(open_nodes, nodes, docs, "open")
     likely = stored(bayes_filter(prefix_pairs(full, open_nodes), nodes), "mh-likely-open")
     links = links.unionByName(stored(exact_links(likely, full), "mh-links-open"))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindle.llm import rnn
-from spindle.llm.common import pick, process_cache, sheltered, slices, utf8, words_of
+from spindle.llm.common import give_back, pick, process_cache, sheltered, slices, utf8, words_of
 
 WINDOW, STRIDE = 32, 24
 SAMPLE = 1500  # documents per class
@@ -183,6 +183,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> bytes | None:
         for b in batches:
             found += zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "words", "toxic")), strict=True)
         model = train(numbered(found))
+        del found
+        give_back()
         if model is not None:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
