@@ -333,12 +333,11 @@ def _sum_rows(rows: list[Row], dim: int, by_group: bool) -> list[tuple]:
 
 
 def cluster_ab_outer_join(points: DataFrame, centers: Centers) -> DataFrame:
-    """``(ci, n_a, n_b, s_a, s_b)``: per cluster the A-side and B-side counts and coordinate sums, joined with a
-    full outer join (a missing side reads as count 0 and the zero vector).
+    """``(ci, n_a, n_b, s_a, s_b)``: per cluster the A-side and B-side counts and coordinate sums: the full outer join of both
+    sides on ``ci`` (a missing side reads as count 0 and the zero vector).
 
-    Both sides come from one ``groupBy(ci, grp)`` aggregation of at most 2K rows, persisted so that the points are
-    scanned once (Spark does not reuse the exchange below a Python ``mapInArrow``); the join is between two
-    relations of at most K rows.
+    Both sides come from one ``groupBy(ci, grp)`` aggregation of at most 2K rows over one scan; regrouping these by ``ci``
+    joins them without a second scan, and without a cached copy that someone would have to release.
     """
     cs = as_centers(centers)
     _, dim = check_centers(cs)
@@ -347,21 +346,17 @@ def cluster_ab_outer_join(points: DataFrame, centers: Centers) -> DataFrame:
         .groupBy("ci", "grp")
         .agg(F.count(F.lit(1)).alias("n"), *vector_sum_aggs("features", dim))
         .select("ci", "grp", "n", vector_sum_column(dim).alias("s"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
 
-    def side(g: str, tag: str) -> DataFrame:
-        return sums.where(F.col("grp") == F.lit(g)).select(
-            "ci", F.col("n").alias(f"n_{tag}"), F.col("s").alias(f"s_{tag}")
-        )
+    def side(column: str, g: str) -> Column:
+        return F.first(F.when(F.col("grp") == F.lit(g), F.col(column)), ignorenulls=True)
 
     zero = F.array_repeat(F.lit(0.0), dim)
-    return side(GROUP_A, "a").join(side(GROUP_B, "b"), "ci", "full_outer").select(
-        "ci",
-        F.coalesce("n_a", F.lit(0)).cast("bigint").alias("n_a"),
-        F.coalesce("n_b", F.lit(0)).cast("bigint").alias("n_b"),
-        F.coalesce("s_a", zero).alias("s_a"),
-        F.coalesce("s_b", zero).alias("s_b"),
+    return sums.groupBy("ci").agg(
+        F.coalesce(side("n", GROUP_A), F.lit(0)).cast("bigint").alias("n_a"),
+        F.coalesce(side("n", GROUP_B), F.lit(0)).cast("bigint").alias("n_b"),
+        F.coalesce(side("s", GROUP_A), zero).alias("s_a"),
+        F.coalesce(side("s", GROUP_B), zero).alias("s_b"),
     )
 
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import threading
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -175,14 +175,22 @@ class RunningState:
     query: StreamingQuery
     out_dir: str
     spark: SparkSession
+    held: list[DataFrame] = field(default_factory=list, repr=False)  # states handed out, persisted until release()
 
     def state(self) -> DataFrame:
-        """The latest value of every state key, persisted: each relation of a report reads it."""
-        return _latest(self.spark, self.out_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        """The latest value of every state key, persisted: each relation of a report reads it.  ``release`` ends that."""
+        self.held.append(_latest(self.spark, self.out_dir).persist(StorageLevel.MEMORY_AND_DISK))
+        return self.held[-1]
 
     def tables(self):
+        """The histogram and sketch relations, over a state that ``release`` frees."""
         return tables_from_cells(self.state())
 
+    def release(self) -> None:
+        """Unpersists every state this object has handed out; relations over them are read anew from the sink."""
+        while self.held:
+            self.held.pop().unpersist()
+
     def report(self, fam: HashFamily, k: int) -> HeavyHitters:
         state = self.state()
         hh = hh_from_tables(*tables_from_cells(state), fam, k)

@@ -28,6 +28,11 @@ def test_running_state_equals_batch(spark):
     assert _rows(cm) == _rows(sk.count_min_cells(items, FAM))
     assert _rows(cs) == _rows(sk.count_sketch_cells(items, FAM))
     assert processed.first().processed == items.count()
+    held = list(rs.held)
+    assert len(held) == 2 and all(df.storageLevel.useMemory for df in held)
+    rs.release()
+    assert not rs.held and not any(df.storageLevel.useMemory for df in held)
+    assert _rows(freq) == _rows(sk.item_frequency(items))  # read anew
 
 
 def split_by_day(spark, directory):
