@@ -5,6 +5,11 @@
 3. ``secrets`` (1): found secrets are masked in the text; every document stays.
 4. ``mixing`` (9): documents are repeated or left out so that sources come near their target weights.
 5. ``bpe`` (3): token ids of every document left, with their count and digests.
+
+Edge cases, each as its operator's module states it: a null or empty text is scored as one empty window, has no words to
+share (all such rows stay), no secrets, size 0 in the mix and no tokens; a null doc_id takes part through its text;
+repeated rows are near-duplicates of each other; a null source is a source of its own; a text may be of any length; columns
+beyond those of ``documents`` are dropped by each stage, whatever their names; an empty table passes through as one.
 """
 
 from __future__ import annotations
