@@ -1,7 +1,7 @@
-"""Operators of a training-data pipeline over the ``documents`` and ``embeddings`` tables.
+"""Operators of a training-data pipeline over the ``documents``, ``embeddings`` and ``conversations`` tables.
 
 Nothing else in the library imports this subpackage.  Its functions are shipped to executors by value, so workers need
-only numpy, pyarrow, xxhash and tokenizers, not this package.
+only numpy, pyarrow, xxhash, tokenizers and tiktoken, not this package.
 """
 
 import sys
