@@ -2,8 +2,9 @@
 
 Three base patterns are matched first (their spans are fixed by contract).  Then the text is lexed as source and
 configuration syntax: every assignment mark (``=``, ``:``, ``:=``, ``=>``, a ``<tag>`` body) is read outwards into a
-*name* on its left and a *value* on its right.  Values are literals (quoted, or bare up to a delimiter) or references
-to other names.  Constants propagate: a literal bound to a name reaches every name that is assigned from it, through
+*name* on its left and a *value* on its right.  Values are literals (quoted in any of the usual ways, over one or more
+lines, in parts that are concatenated, as lists, as YAML blocks, as the default behind ``||``, ``??`` or ``or``; or bare up
+to a delimiter) or references to other names, also from inside an interpolated string.  Constants propagate: a literal bound to a name reaches every name that is assigned from it, through
 any number of steps and in either order of lines.  A literal is reported as kind ``literal`` when the most sensitive
 name it reaches, together with its own shape, scores at least ``MIN_SCORE``.
 
@@ -39,7 +40,22 @@ MARK = re.compile(r"=>|:=|(?<![=!<>:])=(?!=)|:(?![:/])")
 NAME_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-"
 # No bound on any length: every repetition is possessive and ends at a character the next part needs, so the scans of
 # all marks together are linear in the text.
-QUOTED = re.compile(r"""[\x20\t]*+[rbuf]?("(?:[^"\\\n]++|\\.)++"|'(?:[^'\\\n]++|\\.)++')""")
+STRING = re.compile(
+    r"""([rbufRBUF]{0,2})(?:\"{3}(?P<triple>(?:(?!\"{3})[\s\S])++)\"{3}|'{3}(?P<single3>(?:(?!'{3})[\s\S])++)'{3}"""
+    r"""|"(?P<double>(?:[^"\\\n]++|\\.)++)"|'(?P<single>(?:[^'\\\n]++|\\.)++)'|`(?P<back>[^`]++)`)"""
+)
+#: Before a string: blanks, one line break, or an opening bracket with any white space behind it.
+OPEN = re.compile(r"[\x20\t]*+(?:\\?\n[\x20\t]*+|([(\[])\s*+)?")
+KEY_MARK = re.compile(r"[\x20\t]*+[:=]")
+#: Between the parts of one value, outside and inside brackets; there a comma begins the next value of a list.
+JOIN = re.compile(r"\s*+(\+|&|\.{1,2})\s*+|[\x20\t]*+(?:\\\n[\x20\t]*+)?")
+JOIN_INSIDE = re.compile(r"\s*+([+&,]|\.{1,2})?\s*+")
+DEFAULT = re.compile(r"[\x20\t]*+(?:\|\||\?\?|or\b)")
+INTERPOLATED = re.compile(r"(\$?)\{([A-Za-z_][A-Za-z0-9_.]*+)\}")
+YAML_BLOCK = re.compile(r"[\x20\t]*+[|>][+-]?[\x20\t]*+\n([\x20\t]++)(\S[^\n]*+(?:\n\1[^\n]*+)*+)")
+YAML_LIST = re.compile(r"[\x20\t]*+\n((?:[\x20\t]*+-[\x20\t]++[^\n]++(?:\n|\Z))++)")
+YAML_ITEM = re.compile(r"""^[\x20\t]*+-[\x20\t]++["']?([^\s"'`,;(){}\[\]<>|:=]++)["']?[\x20\t]*+$""", re.MULTILINE)
+NEXT_LINE = re.compile(r"""[\x20\t]*+\n[\x20\t]++([^\s"'`,;(){}\[\]<>|:=]++)[\x20\t]*+(?=\n|\Z)""")
 BARE = re.compile(r"""[\x20\t]*+([^\s"'`,;(){}\[\]<>|]++)""")
 REFERENCE = re.compile(r"""[\x20\t]*+(?:\$\{?|%\()?([A-Za-z_][A-Za-z0-9_.\-]*+)\}?(?=[\s,;)}\]]|$)""")
 # An authentication scheme word with its token behind it.
@@ -105,36 +121,91 @@ def under_scheme(name: str, refs: list[tuple[str, str]]) -> str:
     return f"{name}.bearer"
 
 
-def lex(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, str]]]:
-    """``(name, start, end)`` of literals bound to names, and ``(target, source)`` references between names."""
-    literals: list[tuple[str, int, int]] = []
+def strings_at(text: str, at: int, fold: bool) -> tuple[list[tuple[int, int, str]], list[str], int]:
+    """``(start, end, value)`` of the strings that begin at ``at``, the names they interpolate, and where they end.
+
+    With ``fold``, parts joined by an operator or standing side by side are one value, whose stretch covers all of them
+    with what is between; inside brackets a comma begins another value.
+    """
+    before = OPEN.match(text, at)
+    m = STRING.match(text, before.end())
+    if not m or ("\n" in before.group() and not before.group(1) and KEY_MARK.match(text, m.end())):
+        return [], [], at
+    join = JOIN_INSIDE if before.group(1) else JOIN
+    out: list[tuple[int, int, str]] = []
+    names: list[str] = []
+    (start, end), parts = m.span(m.lastgroup), []
+    while True:
+        value = m[m.lastgroup]
+        parts.append(value)
+        literal_braces = "f" not in m[1].lower()
+        names += [n for dollar, n in INTERPOLATED.findall(value) if dollar or not literal_braces]
+        end = m.end(m.lastgroup)
+        link = join.match(text, m.end()) if fold else None
+        after = STRING.match(text, link.end()) if link else None
+        if after is None:
+            break
+        if link.group(1) == ",":
+            out.append((start, end, "".join(parts)))
+            start, parts = after.start(after.lastgroup), []
+        m = after
+    return [*out, (start, end, "".join(parts))], names, m.end()
+
+
+def lex(text: str) -> tuple[list[tuple[str, int, int, str]], list[tuple[str, str]]]:
+    """``(name, start, end, value)`` of literals bound to names, and ``(target, source)`` references between names.
+
+    Marks inside a value of several parts, a block or a list bind what follows them too, but are not folded again."""
+    literals: list[tuple[str, int, int, str]] = []
     refs: list[tuple[str, str]] = []
-    at = 0
+    at = folded = 0
+
+    def bind(name: str, begin: int, fresh: bool) -> int:
+        strings, names, stop = strings_at(text, begin, fresh)
+        for start, end, value in strings:
+            bound = under_scheme(name, refs) if SCHEME.match(text, start, end) else name
+            literals.append((bound, start, end, value))
+        refs.extend((name, source) for source in names)
+        return stop if strings else 0
+
     for mark in MARK.finditer(text):
         name = name_before(text[at : mark.start()])  # a name holds no mark, so it begins after the one before
         at = mark.end()
         if not name:
             continue
-        if m := QUOTED.match(text, mark.end()):
-            start, end = m.start(1) + 1, m.end(1) - 1
-            bound = under_scheme(name, refs) if SCHEME.match(text, start, end) else name
-            literals.append((bound, start, end))
+        fresh = mark.start() >= folded
+        if m := PEM_VALUE.match(text, at):
+            literals.append((name, m.start(1), m.end(1), m[1]))
             continue
-        if m := PEM_VALUE.match(text, mark.end()):
-            literals.append((name, m.start(1), m.end(1)))
+        if stop := bind(name, at, fresh):
+            folded = max(folded, stop)
             continue
-        if m := REFERENCE.match(text, mark.end()):
-            refs.append((name, m.group(1)))
-        start = mark.end()
+        if fresh and mark.group() == ":":
+            if m := YAML_BLOCK.match(text, at):
+                literals.append((name, m.start(2), m.end(2), m[2]))
+                folded = m.end()
+                continue
+            if m := YAML_LIST.match(text, at):
+                literals += [(name, *i.span(1), i[1]) for i in YAML_ITEM.finditer(text, m.start(1), m.end(1))]
+                folded = m.end()
+                continue
+        if m := NEXT_LINE.match(text, at):
+            literals.append((name, m.start(1), m.end(1), m[1]))
+            continue
+        start, bound = at, name
         if m := SCHEME.match(text, start):  # the value is the token after the scheme word
+            if whole := REFERENCE.match(text, start):
+                refs.append((name, whole.group(1)))
             start, bound = m.end(), under_scheme(name, refs)
-            if m := REFERENCE.match(text, start):
-                refs.append((name, m.group(1)))
-        else:
-            bound = name
+        if m := REFERENCE.match(text, start):
+            refs.append((name, m.group(1)))
+            default = DEFAULT.match(text, m.end())
+            if default and (stop := bind(name, default.end(), fresh)):  # then what stands before it is a name, not a value
+                folded = max(folded, stop)
+                continue
         if m := BARE.match(text, start):
-            literals.append((bound, m.start(1), m.end(1)))
-    literals += [(m.group(1), m.start(2), m.end(2)) for m in TAG.finditer(text)]
+            literals.append((bound, m.start(1), m.end(1), m[1]))
+    literals += [(m.group(1), m.start(2), m.end(2), m[2]) for m in TAG.finditer(text)]
     return literals, refs
 
 
@@ -143,7 +214,7 @@ def literal_spans(text: str) -> list[Span]:
     literals, refs = lex(text)
     if not literals:
         return []
-    weight = {n: name_weight(n) for n in {n for n, _, _ in literals} | {t for t, _ in refs} | {s for _, s in refs}}
+    weight = {n: name_weight(n) for n in {n for n, *_ in literals} | {t for t, _ in refs} | {s for _, s in refs}}
     targets: dict[str, list[str]] = {}
     for target, source in refs:
         targets.setdefault(source, []).append(target)
@@ -162,8 +233,8 @@ def literal_spans(text: str) -> list[Span]:
                 todo += sources.get(x, ())
     found = {
         (start, end, "literal")
-        for name, start, end in literals
-        if (reach[name] > 0 or PEM.match(text, start, end)) and reach[name] + literal_weight(text[start:end]) >= MIN_SCORE
+        for name, start, end, value in literals
+        if (reach[name] > 0 or PEM.match(value)) and reach[name] + literal_weight(value) >= MIN_SCORE
     }
     return sorted(found)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -135,6 +136,46 @@ def test_secret_authentication_schemes():
     assert token not in secret_scan.redact(f"Authorization: Bearer {token}")
 
 
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ('pwd = "x9Kq7-" + "Zz81hhWq"', ['x9Kq7-" + "Zz81hhWq']),
+        ('pwd = "x9Kq7-"\n    + "Zz81hhWq"', ['x9Kq7-"\n    + "Zz81hhWq']),
+        ("pwd = ('x9Kq7-'\n  'Zz81hhWq')", ["x9Kq7-'\n  'Zz81hhWq"]),
+        ('pwds = 1\ndb_pwd = ["x9Kq7-Zz81hh", "Wq81-hh00pLs"]', ["x9Kq7-Zz81hh", "Wq81-hh00pLs"]),
+        ('pwd = """x9Kq7-Zz81hh"""', ["x9Kq7-Zz81hh"]),
+        ("pwd = \'\'\'x9Kq7-\nZz81hh\'\'\'", ["x9Kq7-\nZz81hh"]),
+        ("pwd = `x9Kq7-Zz81hh`", ["x9Kq7-Zz81hh"]),
+        ('pwd =\n    "x9Kq7-Zz81hh"', ["x9Kq7-Zz81hh"]),
+        ("pwd:\n  x9Kq7-Zz81hh\nend", ["x9Kq7-Zz81hh"]),
+        ("pwd: |\n  x9Kq7-\n  Zz81hh\nother: 1", ["x9Kq7-\n  Zz81hh"]),
+        ("pwd:\n  - x9Kq7-Zz81hh\n  - \"Wq81-hh00pLs\"\nother: 1", ["x9Kq7-Zz81hh", "Wq81-hh00pLs"]),
+        ('pwd = process.env.PW || "x9Kq7-Zz81hh"', ["x9Kq7-Zz81hh"]),
+        ('k = "x9Kq7-Zz81hh"\npwd = f"{k}"', ["x9Kq7-Zz81hh"]),
+        ('k = "x9Kq7-Zz81hh"\npwd = `${k}`', ["x9Kq7-Zz81hh"]),
+        ('pwd:\n"title": "x9Kq7-Zz81hh"', []),
+        ('title = "x9Kq7-" + "Zz81hhWq"', []),
+    ],
+)
+def test_secret_forms_of_values(text, found):
+    assert [text[s:e] for s, e, _ in secret_scan.literal_spans(text)] == found
+    for secret in found:
+        assert secret not in secret_scan.redact(text)
+
+
+@pytest.mark.parametrize(
+    "unit", ['="a"+', "a: |\n  ", 'a="""', "a=\'\'\'", "a=`", "pwd=\n", "a:\n - b", '"=\'"+\'="+', "a=b||", "a=[", 'a="x",']
+)
+def test_secret_lexing_is_linear(unit):
+    def seconds(n):
+        text = unit * n
+        start = time.perf_counter()
+        secret_scan.literal_spans(text)
+        return time.perf_counter() - start
+
+    assert seconds(40_000) < 16 * max(seconds(5_000), 0.01)
+
+
 def test_secret_base_rule_drops_failing_matches_after_matching():
     # the failing match takes "pass" with it, so what follows is not read anew
     assert secret_scan.base_spans("token = pass\nword=abcdefgh") == []
