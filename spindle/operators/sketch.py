@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, IntegralType, TimestampNTZType, TimestampType
 
 from spindle.functions.hashing import HashFamily, hash_col, sign_col
 from spindle.session import ensure_checkpoint_dir
@@ -50,6 +51,52 @@ def top_k(freq: DataFrame, k: int) -> DataFrame:
     return freq.where(F.col("n") >= kth_frequency(freq, k))
 
 
+# Counters of one task's summary (16 bytes each), and the most candidates broadcast to the recount.
+SUMMARY_COUNTERS = 8192
+BROADCAST_CANDIDATES = 1_000_000
+
+
+def frequent_summary(items: DataFrame, capacity: int = SUMMARY_COUNTERS) -> DataFrame:
+    """``(item, low, err)``: the Misra–Gries summaries of all tasks added up.  For every item ``low <= n <= low + E`` with E
+    the ``err`` of the NULL row (an item without a row has ``low`` 0); E is at most lines / (capacity + 1)."""
+    if capacity < 1:
+        raise ValueError("capacity must be positive")
+    from pyspark import cloudpickle
+
+    from spindle.functions import frequent
+
+    cloudpickle.register_pickle_by_value(frequent)
+    parts = valid(items).select("item").mapInArrow(frequent.summary_kernel(capacity), frequent.SUMMARY_SCHEMA)
+    return parts.groupBy("item").agg(F.sum("low").alias("low"), F.sum("err").alias("err"))
+
+
+def top_k_items(items: DataFrame, k: int, capacity: int = SUMMARY_COUNTERS) -> DataFrame:
+    """``(item, n)``: the rows of ``top_k(item_frequency(items), k)``, without a shuffle of the rare items.
+
+    The summaries leave a candidate set that is proven to hold the answer: the k-th largest ``low`` is at most the k-th
+    frequency T, so an item of the answer has ``low + E >= T``, and one without a counter is ruled out where T > E.
+    Candidates are then counted exactly in a second scan, by a broadcast up to ``BROADCAST_CANDIDATES`` of them (counted
+    here) and by a shuffled semi-join beyond.  Where E is 0 the summary is the histogram; where the bound rules nothing out
+    (near-uniform items), the full histogram is built.  The summary is kept in the shared folder: building this starts a job.
+    """
+    if k <= 0:
+        raise ValueError("k must be positive")
+    ensure_checkpoint_dir(items.sparkSession)
+    summary = frequent_summary(items, capacity).checkpoint(eager=True)
+    counted = summary.where(F.col("item").isNotNull())
+    error = int(summary.where(F.col("item").isNull()).agg(F.coalesce(F.sum("err"), F.lit(0))).first()[0])
+    if error == 0:
+        return top_k(counted.select("item", F.col("low").alias("n")), k)
+    largest = counted.select("low").orderBy(F.desc("low")).limit(k).agg(F.count(F.lit(1)), F.min("low")).first()
+    if largest[0] < k or largest[1] <= error:
+        return top_k(item_frequency(items), k)
+    candidates = counted.where(F.col("low") >= largest[1] - error).select("item")
+    if candidates.count() <= BROADCAST_CANDIDATES:
+        candidates = F.broadcast(candidates)
+    freq = item_frequency(items.join(candidates, "item", "left_semi")).checkpoint(eager=True)
+    return top_k(freq, k)
+
+
 def _cells(item: Column, fam: HashFamily, kind: str) -> Column:
     structs = []
     for h in fam.rows:
@@ -384,16 +431,38 @@ def hh_from_tables(
 # ---------------------------------------------------------------------------------------------------------------
 
 
+# Width of the blocks of a running total, in batch numbers or days.
+TOTAL_BLOCK = 1024
+
+
+def _block(batch: str, kind: DataType) -> Column:
+    """A key that rises with the batch and groups neighbours; a constant for types without a number."""
+    if isinstance(kind, DateType):
+        return F.floor(F.unix_date(batch) / F.lit(TOTAL_BLOCK)).cast("bigint")
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
+        return F.unix_date(F.to_date(batch)).cast("bigint")
+    if isinstance(kind, IntegralType):
+        wide = F.col(batch).cast("bigint")
+        return F.when(wide.isNotNull(), (wide - F.pmod(wide, F.lit(TOTAL_BLOCK))))
+    return F.lit(0).cast("bigint")
+
+
 def _taken(sizes: DataFrame, threshold: int) -> DataFrame:
-    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
-    with_before = sizes.withColumn("before", F.coalesce(F.sum("size").over(w), F.lit(0)).cast("bigint"))
-    return with_before.where(F.col("before") < F.lit(threshold))
+    """The batches with fewer than ``threshold`` items before them, by a running total of two levels: over blocks of
+    batches, then inside each block that begins below the threshold.  A null batch comes first."""
+    sizes = sizes.withColumn("block", _block("batch", sizes.schema["batch"].dataType))
+    totals = sizes.groupBy("block").agg(F.sum("size").alias("total"))
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(F.col("block").alias("b"), F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("block").orderBy("batch").rowsBetween(Window.unboundedPreceding, -1)
+    open_blocks = sizes.join(starts.where(F.col("start") < F.lit(threshold)), F.col("block").eqNullSafe(F.col("b")))
+    before = (F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))).cast("bigint")
+    return open_blocks.withColumn("before", before).where(F.col("before") < F.lit(threshold)).select("batch", "size", "before")
 
 
 def batch_sizes(items: DataFrame, threshold: int) -> DataFrame:
     """``(batch, size, before)`` for the batches that are taken: a batch is taken whole iff the items of all
-    earlier batches number fewer than ``threshold``.  One row per batch, so the running total is a window over
-    a small relation."""
+    earlier batches number fewer than ``threshold``."""
     sizes = items.groupBy("batch").agg(F.count(F.lit(1)).alias("size"))
     return _taken(sizes, threshold)
 

@@ -343,7 +343,7 @@ def q_hh(source, what):
         if what == "freq":
             return sk.item_frequency(items)
         if what == "top":
-            return sk.top_k(sk.item_frequency(items), HH_K)
+            return sk.top_k_items(items, HH_K)
         if what == "cm":
             return sk.count_min_cells(items, FAM)
         if what == "cs":
@@ -430,6 +430,7 @@ def registry() -> dict[str, Entry]:
         # items and sketches
         "items_parse": Entry(q_items_parse, orc.items_parse()),
         "item_frequency": Entry(q_hh("lineitem_partkey", "freq"), orc.item_frequency("lineitem_partkey")),
+        "top_k_events": Entry(q_hh("events", "top"), orc.top_k("events", HH_K)),
         "top_k_heavy_hitters": Entry(q_hh("lineitem_partkey", "top"), orc.top_k("lineitem_partkey", HH_K)),
         "count_min_cells": Entry(q_hh("lineitem_partkey", "cm"), orc.count_min_cells("lineitem_partkey", FAM)),
         "count_sketch_cells": Entry(q_hh("lineitem_partkey", "cs"), orc.count_sketch_cells("lineitem_partkey", FAM)),

@@ -118,6 +118,75 @@ def test_top_k_size_invariant(spark):
         assert top.agg(F.min("n")).first()[0] == kth
 
 
+def skewed_items(spark, seed):
+    """60 items with many copies, two of them tied, among thousands that occur a few times; some lines do not parse."""
+    rng = random.Random(seed)
+    many = [i for i in range(60) for _ in range(40 + 10 * (i // 2))]
+    rows = many + [rng.randrange(1000, 9000) for _ in range(6000)] + [None] * 50
+    rng.shuffle(rows)
+    return spark.createDataFrame([(r,) for r in rows], "item BIGINT").repartition(7)
+
+
+@pytest.mark.parametrize("capacity", [1, 20, 400, 10_000])
+def test_frequent_summary_bounds(spark, capacity):
+    items = skewed_items(spark, 3)
+    exact = {r.item: r.n for r in sk.item_frequency(items).collect()}
+    rows = sk.frequent_summary(items, capacity).collect()
+    low = {r.item: r.low for r in rows if r.item is not None}
+    (error,) = [r.err for r in rows if r.item is None]
+    assert error <= sum(exact.values()) / (capacity + 1)
+    assert all(low.get(i, 0) <= n <= low.get(i, 0) + error for i, n in exact.items())
+    assert (error == 0) == (capacity == 10_000)
+
+
+@pytest.mark.parametrize(("capacity", "k"), [(1, 5), (20, 5), (400, 1), (400, 5), (400, 7), (10_000, 5), (400, 20_000)])
+def test_top_k_items_equals_histogram(spark, capacity, k, monkeypatch):
+    items = skewed_items(spark, capacity + k)
+    expect = sorted(map(tuple, sk.top_k(sk.item_frequency(items), k).collect()))
+    for limit in (sk.BROADCAST_CANDIDATES, 0):
+        monkeypatch.setattr(sk, "BROADCAST_CANDIDATES", limit)
+        assert sorted(map(tuple, sk.top_k_items(items, k, capacity).collect())) == expect
+
+
+def test_top_k_items_recounts_candidates_only(spark, monkeypatch):
+    items = skewed_items(spark, 9)
+    seen = []
+    build = sk.item_frequency
+    monkeypatch.setattr(sk, "item_frequency", lambda df: seen.append(build(df)) or seen[-1])
+    top = sorted(r.item for r in sk.top_k_items(items, 5, 400).collect())
+    assert top == [54, 55, 56, 57, 58, 59]  # the third pair ties at the fifth place
+    assert seen[0].count() < 200  # of some 4,000 distinct items
+
+
+def test_top_k_items_of_nothing(spark):
+    for rows in ([], [(None,)] * 5):
+        assert sk.top_k_items(spark.createDataFrame(rows, "item BIGINT"), 3).count() == 0
+    with pytest.raises(ValueError):
+        sk.top_k_items(spark.createDataFrame([], "item BIGINT"), 0)
+
+
+@pytest.mark.parametrize("kind", ["INT", "BIGINT", "DATE", "TIMESTAMP", "STRING"])
+def test_running_total_in_blocks(spark, kind, monkeypatch):
+    monkeypatch.setattr(sk, "TOTAL_BLOCK", 4)
+    rng = random.Random(8)
+    n = {b: rng.randrange(1, 9) for b in range(-20, 40)}
+    lines_ = [(b, 1) for b, c in n.items() for _ in range(c)] + [(None, 1)] * 3
+    items = spark.createDataFrame(lines_, "b INT, item BIGINT")
+    day = F.date_add(F.lit("2024-01-31").cast("date"), F.col("b"))
+    batch = {"DATE": day, "TIMESTAMP": day.cast("timestamp"), "STRING": F.format_string("%04d", F.col("b") + 100)}
+    key = F.when(F.col("b").isNotNull(), batch.get(kind, F.col("b").cast("string"))).cast(kind)
+    items = items.select("item", key.alias("batch"))
+    order = sorted(n)
+    before, expect = 3, [(3, 0)]
+    for b in order:
+        if before < 150:
+            expect.append((n[b], before))
+        before += n[b]
+    got = sk.batch_sizes(items, 150).orderBy(F.col("batch").asc_nulls_first()).collect()
+    assert [(r["size"], r["before"]) for r in got] == expect
+    assert sk.batch_sizes(items, 0).count() == 0
+
+
 def test_large_sketches_are_joined_without_broadcast(spark, monkeypatch):
     items = lineitem_items(spark, SF001, "l_partkey")
     fam = hash_family(3, 50, seed=5)
