@@ -173,7 +173,7 @@ def test_secret_lexing_is_linear(unit):
         secret_scan.literal_spans(text)
         return time.perf_counter() - start
 
-    assert seconds(40_000) < 16 * max(seconds(5_000), 0.01)
+    assert seconds(40_000) < 32 * max(seconds(5_000), 0.01)  # squares would take 64 times as long
 
 
 def test_secret_base_rule_drops_failing_matches_after_matching():
