@@ -38,12 +38,15 @@ def points_from_table(df: DataFrame, features: Column, group: Column, id_col: Co
     ).where(_required(finite, F.lit("a feature vector must hold finite numbers")))
 
 
-def parse_point_lines(lines: DataFrame, mode: str = "failfast", value: str = "value", dim: int | None = None) -> DataFrame:
+def parse_point_lines(
+    lines: DataFrame, mode: str = "failfast", value: str = "value", dim: int | None = None, same_dim: int | None = None
+) -> DataFrame:
     """Parse ``x1,...,xd,label`` text lines.  The last comma token is the group, the rest are coordinates.
 
     A line is bad if a coordinate is not a finite number, there is none, the label is not a group, or, with ``dim``,
     if it has another number of coordinates.  ``mode="failfast"`` fails the job on a bad line, whatever columns are
-    read; ``mode="drop"`` skips bad lines.  Lines get a position-derived id.
+    read; ``mode="drop"`` skips bad lines.  With ``same_dim`` a good line with another number of coordinates fails the
+    job in both modes, whatever columns are read: the points would not be one dataset.  Lines get a position-derived id.
     """
     if mode not in ("failfast", "drop"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -62,14 +65,25 @@ def parse_point_lines(lines: DataFrame, mode: str = "failfast", value: str = "va
         why = why.when(~label.isin(GROUP_A, GROUP_B), F.concat(F.lit("group label must be A or B, got: "), label))
         why = why.when(F.size(bad) > 0, F.concat(F.lit("malformed coordinate: "), F.get(bad, F.lit(0)))).otherwise(shape)
         ok = _required(ok, why)
+    if same_dim is not None:
+        mixed = F.concat(F.lit(f"points of {same_dim} coordinates expected, got: "), F.col(value))
+        ok = F.when(ok, _required(n == same_dim + 1, mixed)).otherwise(F.lit(False))
     return lines.where(ok).select(
         F.monotonically_increasing_id().alias("id"), coords.alias("features"), label.alias("grp")
     )
 
 
 def read_points(spark: SparkSession, path: str, mode: str = "failfast", dim: int | None = None) -> DataFrame:
-    """Labelled-point text scan (one point per line, no header)."""
-    return parse_point_lines(spark.read.text(path), mode=mode, dim=dim)
+    """Labelled-point text scan (one point per line, no header).
+
+    Without ``dim`` the dataset's dimension is that of its first good line, read at once as a schema is inferred, and a
+    good line of any other dimension fails the job in both modes.
+    """
+    lines = spark.read.text(path)
+    if dim is not None:
+        return parse_point_lines(lines, mode=mode, dim=dim)
+    first = parse_point_lines(lines, mode="drop").select(F.size("features").alias("d")).first()
+    return parse_point_lines(lines, mode=mode, same_dim=first and first["d"])
 
 
 def point_lines(points: DataFrame, decimals: int = 5) -> DataFrame:

@@ -99,12 +99,30 @@ def test_trailing_comma_line(spark, tmpdir_fresh):
 
 
 def test_read_points_any_dimension(spark, tmpdir_fresh):
+    for name, text, features, groups in (
+        ("two", "40.7267,-74.0345,B\n40.7383,-74.0403,A\n", [[40.7267, -74.0345], [40.7383, -74.0403]], ["B", "A"]),
+        ("three", "1,2,3,A\n", [[1.0, 2.0, 3.0]], ["A"]),
+        ("none", "", [], []),
+    ):
+        path = os.path.join(tmpdir_fresh, name)
+        with open(path, "w") as f:
+            f.write(text)
+        rows = read_points(spark, path).collect()
+        assert [r.features for r in rows] == features
+        assert [r.grp for r in rows] == groups
+
+
+@pytest.mark.parametrize("mode", ["failfast", "drop"])
+def test_read_points_one_dimension_per_dataset(spark, tmpdir_fresh, mode):
     path = os.path.join(tmpdir_fresh, "pts.csv")
+    bad = "" if mode == "failfast" else "x,1,A\n1,2,C\n1,2,3,4,\n"
     with open(path, "w") as f:
-        f.write("40.7267,-74.0345,B\n40.7383,-74.0403,A\n1,2,3,A\n")
-    rows = read_points(spark, path).collect()
-    assert [r.features for r in rows] == [[40.7267, -74.0345], [40.7383, -74.0403], [1.0, 2.0, 3.0]]
-    assert [r.grp for r in rows] == ["B", "A", "A"]
+        f.write(bad + "40.7267,-74.0345,B\n40.7383,-74.0403,A\n1,2,3,A\n")
+    mixed = read_points(spark, path, mode=mode)
+    for df in (mixed, mixed.select("grp"), mixed.groupBy().count()):  # pruned columns too
+        with pytest.raises(Exception, match="points of 2 coordinates expected, got: 1,2,3,A"):
+            df.collect()
+    assert read_points(spark, path, mode="drop", dim=2).count() == 2
 
 
 def test_generator_split_and_round_trip(spark, tmpdir_fresh):
