@@ -23,13 +23,12 @@ the running total from the log.
 from __future__ import annotations
 
 import threading
-import time
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from spindle.functions.hashing import HashFamily
 from spindle.functions.text import parse_item
@@ -243,7 +242,8 @@ class BoundedSink:
         self.out_dir = out_dir
         self.fam = fam
         self.threshold = threshold
-        self.begun = threading.Event()  # the query called the sink for the first time
+        self.begun = False  # the query called the sink for the first time
+        self.changed = threading.Condition()  # notified when the first batch arrives and when a batch is done
         self._lock = threading.Lock()
         self._closed = False
         # Lines of all taken batches, and the last one (the only one that can come again).
@@ -268,11 +268,17 @@ class BoundedSink:
             self._closed = True
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
-        self.begun.set()
+        self._notify()
         with self._lock:
             if self._closed:  # the batch stays uncommitted, so a restart takes it
                 raise RuntimeError("the bounded run was closed")
             self._write(batch_df, batch_id)
+        self._notify()
+
+    def _notify(self) -> None:
+        with self.changed:
+            self.begun = True
+            self.changed.notify_all()
 
     def _write(self, batch_df: DataFrame, batch_id: int) -> None:
         before = self.before(batch_id)
@@ -303,6 +309,32 @@ class BoundedSink:
         return df.select("batch_id", "size", "before")
 
 
+class _Progress(StreamingQueryListener):
+    """Which queries have begun (a batch made progress, or they wait for data) and which have ended, by run id."""
+
+    def __init__(self, changed: threading.Condition):
+        self.changed = changed
+        self.begun: set[str] = set()
+        self.ended: set[str] = set()
+
+    def _add(self, to: set[str], run_id) -> None:
+        with self.changed:
+            to.add(str(run_id))
+            self.changed.notify_all()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._add(self.begun, event.progress.runId)
+
+    def onQueryIdle(self, event) -> None:
+        self._add(self.begun, event.runId)
+
+    def onQueryTerminated(self, event) -> None:
+        self._add(self.ended, event.runId)
+
+
 @dataclass
 class BoundedRun:
     query: StreamingQuery
@@ -326,31 +358,32 @@ def run_bounded(
     out_dir: str | None = None,
     checkpoint: str | None = None,
     trigger: dict | None = None,
-    poll_s: float = 0.1,
 ) -> BoundedRun:
     """Consume ``lines`` until T lines were taken (at a batch boundary), the input ends, or the timeout passes.
 
     The clock starts once the query is initialised (its first batch reaches the sink, or it waits for data).  At the
-    deadline a batch that is being written is finished, and no other is taken.
+    deadline a batch that is being written is finished, and no other is taken.  Nothing is polled: the sink and a
+    listener on the query's progress, idle and end events wake the caller.
     """
     spark = lines.sparkSession
     out_dir, checkpoint = _folders(spark, "bounded", out_dir, checkpoint)
     sink = BoundedSink(spark, out_dir, fam, threshold)
-    q = (
-        lines.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
-        .start()
-    )
-    start = None
-    timed_out = False
-    while q.isActive and sink.total < threshold:
-        if start is None and (sink.begun.is_set() or "Waiting" in q.status["message"]):
-            start = time.monotonic()
-        if start is not None and time.monotonic() - start > timeout_s:
-            timed_out = True
-            break
-        q.awaitTermination(poll_s)
+    events = _Progress(sink.changed)
+    spark.streams.addListener(events)
+    try:
+        q = (
+            lines.writeStream.foreachBatch(sink)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "100 milliseconds"}))
+            .start()
+        )
+        run_id = str(q.runId)
+        with sink.changed:
+            sink.changed.wait_for(lambda: sink.begun or run_id in events.begun | events.ended or sink.total >= threshold)
+            done = sink.changed.wait_for(lambda: run_id in events.ended or sink.total >= threshold, timeout_s)
+        timed_out = not done
+    finally:
+        spark.streams.removeListener(events)
     sink.close()
     timed_out = timed_out and sink.total < threshold
     q.stop()
