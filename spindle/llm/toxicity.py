@@ -1,11 +1,14 @@
 """Toxicity: a bidirectional GRU with attention pooling over character and word inputs, trained in numpy.
 
-A text is its words (white space splits, A-Z lowered), cut into windows of ``WINDOW`` words, ``STRIDE`` apart, the last
-one ending with the text: every word is in a window, whole texts are scored.  A document's logit is its highest
+A text is its words (white space splits, A-Z lowered; a word over ``PIECE`` bytes counts as pieces of that size which
+overlap by ``OVERLAP``, so unspaced text has windows too), cut into windows of ``WINDOW`` words, ``STRIDE`` apart, the
+last one ending with the text: every word is in a window, every run of 17 words in one window, whole texts are scored.  A document's logit is its highest
 window's; the score is its logistic value after a shift and scale fixed in training.
 
 Training fits a bounded, documented sample: per class at most ``SAMPLE`` labelled documents (least hash of doc_id
-first), of each at most ``SAMPLE_WINDOWS`` windows (least hash of place first).  Only rows whose
+first).  Of a clean one, at most ``SAMPLE_WINDOWS`` windows (least hash of place first) are taken, all of them clean.  A
+toxic one is taken with all its windows or not at all, since its toxic passage may be any of them: the shortest first, up
+to ``SAMPLE_BYTES`` of text together, one at least.  Only rows whose
 crc32(doc_id as text) mod 3 is not 1 are learned from.  A label says that some window is toxic, not which, so after a
 round on random windows each toxic document is represented by its currently highest window, each clean one by its
 highest and a random one.  The same sample gives the same model, bit for bit.  One task fits it, since the sample is
@@ -25,15 +28,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.llm import rnn
 from spindle.llm.common import give_back, pick, process_cache, sheltered, slices, utf8, words_of
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
+PIECE, OVERLAP = 48, 16  # bytes
 SAMPLE = 1500  # documents per class
-SAMPLE_WINDOWS = 24  # per sampled document
+SAMPLE_WINDOWS = 24  # per sampled clean document
+SAMPLE_BYTES = 8 << 20  # of sampled toxic texts together
 EPOCHS = 10
 BATCH = 128
 WORD_DROPOUT = 0.5  # share of words whose word part is hidden in a training step
@@ -46,6 +51,17 @@ SCORE_BATCH = 1024  # windows scored at once
 SCORE_BYTES = 1 << 20  # text whose words a worker holds at once; a longer text is scored by itself
 
 
+def units_of(text: bytes) -> list[bytes]:
+    """The words of a text, long ones in overlapping pieces."""
+    words = words_of(text)
+    if max(map(len, words), default=0) <= PIECE:
+        return words
+    out = []
+    for w in words:
+        out += [w] if len(w) <= PIECE else [w[i : i + PIECE] for i in range(0, len(w) - OVERLAP, PIECE - OVERLAP)]
+    return out
+
+
 def window_starts(n: int) -> np.ndarray:
     """First words of the windows of a text of ``n`` words."""
     if n <= WINDOW:
@@ -67,39 +83,45 @@ WINDOWS = "doc_id BIGINT, toxic INT, start BIGINT, words BINARY"
 
 
 def training_windows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The sample's windows: at most 2 * SAMPLE * SAMPLE_WINDOWS rows."""
+    """The sample's windows: at most SAMPLE * SAMPLE_WINDOWS of clean documents, and those of SAMPLE_BYTES of toxic ones."""
     known = pick(labels, "doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    sample = known.where("toxic = 1").orderBy(*order).limit(SAMPLE)
+    texts = pick(docs, "doc_id", "text")
+    toxic = known.where("toxic = 1").orderBy(*order).limit(SAMPLE)
+    size = texts.join(F.broadcast(toxic), "doc_id").groupBy("doc_id", "toxic").agg(F.sum(F.octet_length("text")).alias("size"))
+    by_size = Window.orderBy(F.col("size").asc_nulls_first(), *order)  # at most SAMPLE rows
+    size = size.select("doc_id", "toxic", F.sum("size").over(by_size).alias("total"), F.row_number().over(by_size).alias("place"))
+    sample = size.where((F.coalesce("total", F.lit(0)) <= SAMPLE_BYTES) | (F.col("place") == 1)).select("doc_id", "toxic")
     sample = sample.unionByName(known.where("toxic = 0").orderBy(*order).limit(SAMPLE))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in slices(batches, "text"):
             out = {"doc_id": [], "toxic": [], "start": [], "words": []}
             for doc_id, toxic, text in zip(s.column("doc_id").to_pylist(), s.column("toxic").to_pylist(), utf8(s, "text"), strict=True):
-                words = words_of(text or b"")
-                starts = sorted(window_starts(len(words)).tolist(), key=lambda x: zlib.crc32(f"{doc_id}:{x}".encode()))
-                for x in sorted(starts[:SAMPLE_WINDOWS]):
+                words = units_of(text or b"")
+                starts = window_starts(len(words)).tolist()
+                if not toxic:
+                    starts = sorted(starts, key=lambda x: zlib.crc32(f"{doc_id}:{x}".encode()))[:SAMPLE_WINDOWS]
+                for x in sorted(starts):
                     out["doc_id"].append(doc_id)
                     out["toxic"].append(toxic)
                     out["start"].append(x)
-                    # a window's words are cut to 200 bytes for training, which bounds the sample's size
-                    out["words"].append(b" ".join(w[:200] for w in words[x : x + WINDOW]))
+                    out["words"].append(b" ".join(words[x : x + WINDOW]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["doc_id"], pa.int64()), pa.array(out["toxic"], pa.int32()), pa.array(out["start"], pa.int64()), pa.array(out["words"], pa.binary())],
                 list(out),
             )
 
-    rows = pick(docs, "doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
+    rows = texts.join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
     return rows.mapInArrow(kernel, WINDOWS).distinct()
 
 
 def numbered(windows: list[tuple[int, int, bytes, int]]) -> list[tuple[int, int, list[bytes]]]:
     """``document number, label, words`` of windows ``doc_id, start, words, label``, in a fixed order."""
-    windows = sorted(windows)
+    windows, same = sorted(windows), {}
     number = {d: i for i, d in enumerate(dict.fromkeys(w[0] for w in windows))}
-    return [(number[d], toxic, words.split()) for d, _, words, toxic in windows]
+    return [(number[d], toxic, [same.setdefault(w, w) for w in words.split()]) for d, _, words, toxic in windows]
 
 
 def train(sample: list[tuple[int, int, list[bytes]]], epochs: int = EPOCHS, seed: int = SEED) -> dict | None:
@@ -234,7 +256,7 @@ class Scorer:
 
     def logits(self, texts: list[bytes]) -> np.ndarray:
         """A logit per text: the highest of its windows'."""
-        words = [words_of(t) for t in texts]
+        words = [units_of(t) for t in texts]
         sizes = np.array([len(w) for w in words])
         flat = self.number(chain([b""], *words), int(sizes.sum()) + 1)  # an empty word, so that there always is one
         base = np.cumsum(sizes) - sizes + 1

@@ -304,6 +304,33 @@ def test_held_out_labels_are_not_read(spark, docs, sf):
     assert a == b and len(a) > 0
 
 
+def test_toxic_documents_are_learned_whole(spark, monkeypatch):
+    long = " ".join(f"w{i}" for i in range(3000))
+    toxic = [i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1]
+    clean = [i for i in range(100, 130) if zlib.crc32(str(i).encode()) % 3 != 1]
+    rows = [(i, long if i == toxic[0] else f"bad {i} " * 5) for i in toxic] + [(i, long) for i in clean] + [(toxic[1], None)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(i, 1) for i in toxic] + [(i, 0) for i in clean], "doc_id BIGINT, toxic INT")
+    windows = Counter(r["doc_id"] for r in toxicity.training_windows(docs, labels).collect())
+    assert windows[toxic[0]] == len(toxicity.window_starts(3000)) > toxicity.SAMPLE_WINDOWS
+    assert all(windows[i] == toxicity.SAMPLE_WINDOWS for i in clean)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 10_000)  # the long one goes as a whole, the short ones stay
+    fewer = Counter(r["doc_id"] for r in toxicity.training_windows(docs, labels).collect())
+    assert set(windows) - set(fewer) == {toxic[0]}
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 0)  # the shortest is kept
+    assert len({r["doc_id"] for r in toxicity.training_windows(docs, labels).where("toxic = 1").collect()}) == 1
+
+
+def test_units_cover_long_words():
+    assert toxicity.units_of(b"a bc " + b"d" * 48) == [b"a", b"bc", b"d" * 48]
+    for n in (49, 80, 81, 1000):
+        word = bytes(97 + i * i % 26 for i in range(n))
+        pieces = toxicity.units_of(word)
+        joined = pieces[0] + b"".join(x[toxicity.OVERLAP :] for x in pieces[1:])
+        assert joined == word and all(len(x) <= toxicity.PIECE for x in pieces)
+        assert all(any(word[i : i + 16] in x for x in pieces) for i in range(n - 15))
+
+
 def brute_logit(p, text):
     """The highest logit of a text's windows, each word, step and window by itself, in double precision."""
 
@@ -321,7 +348,14 @@ def brute_logit(p, text):
             states.append(h)
         return states
 
-    words = text.lower().split()
+    words = []
+    for w in text.lower().split():
+        at = 0
+        while True:  # a long word as pieces of 48 bytes, each beginning 32 after the one before
+            words.append(w[at : at + 48])
+            if at + 48 >= len(w):
+                break
+            at += 32
     last = max(0, len(words) - toxicity.WINDOW)
     logits = []
     for start in sorted({min(s, last) for s in range(0, last + toxicity.STRIDE, toxicity.STRIDE)}):
