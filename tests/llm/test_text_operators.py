@@ -327,6 +327,40 @@ def test_ledger_commits_once_and_survives_a_dead_attempt(spark, tmpdir_fresh):
     same_rows(ledger.totals(), [("a", "en", "v", 1, 4, 2, 1, 1), (None, None, "v", 1, 1, 1, 0, 0)], [*token_rollup.KEYS, *token_rollup.SUMS])
 
 
+def test_hot_texts_are_marked_like_others(spark, library, monkeypatch):
+    from llm_support import SCHEMA, odd_rows
+
+    monkeypatch.setattr(token_rollup, "HOT_SHARE", 10)  # the row that stands three times is hot
+    full = [{"doc_id": i, "text": t, "lang": lang, "source": s} for i, t, lang, s, _ in odd_rows()]
+    df = spark.createDataFrame(odd_rows(), SCHEMA)
+    same_rows(token_rollup.corpus_rollup(df), brute_rollup(full, library), [*token_rollup.KEYS, *token_rollup.SUMS])
+
+
+def test_ledger_bases(spark, tmpdir_fresh):
+    import os
+
+    columns = [*token_rollup.KEYS, *token_rollup.SUMS]
+    ledger = token_rollup.TokenLedger(spark, f"{tmpdir_fresh}/ledger", compact_every=3)
+    assert not ledger.compact()
+
+    def rows(n):
+        return spark.createDataFrame([("a", None, "v", n), (None, "en", "v", 1)], "source STRING, lang STRING, tokenizer STRING, tokens BIGINT")
+
+    want = [0, 0]
+    for i in range(1, 9):
+        assert ledger.commit(f"{i}", token_rollup.inserts(rows(i)))
+        want = [want[0] + i, i]
+        same_rows(ledger.totals(), [("a", None, "v", i, want[0], i, 0, 0), (None, "en", "v", i, i, i, 0, 0)], columns)
+        assert len(ledger.pending()) == i % 3
+        assert not ledger.commit("1", token_rollup.inserts(rows(99)))  # in a base, and still known
+    os.makedirs(f"{tmpdir_fresh}/ledger/base=3")  # a base that died before its marker
+    assert ledger.pending() == ["7", "8"]
+    assert ledger.compact() and not ledger.compact()
+    same_rows(ledger.totals(), [("a", None, "v", 8, 36, 8, 0, 0), (None, "en", "v", 8, 8, 8, 0, 0)], columns)
+    assert sorted(n for n in os.listdir(f"{tmpdir_fresh}/ledger") if n.startswith("base")) == ["base=2", "base=3"]
+    assert ledger.batches() == [str(i) for i in range(1, 9)] and ledger.pending() == []
+
+
 # Sharding -----------------------------------------------------------------------------------------------------
 
 
