@@ -30,6 +30,8 @@ FRACTION = 1 / 2  # of short texts, a smaller one keeps too few hashes to estima
 HASH_BITS = 48
 RANGE_ROWS = 64  # documents of a doc_id range, about, until there are MOST_RANGES ranges; then ranges grow
 MOST_RANGES = 1 << 16
+SAMPLE_PER_RANGE = 20  # doc_ids drawn per range, about, to place the ranges' ends
+SEED = 5
 NO_ID = -(2**63)  # place of a null doc_id in the order
 
 
@@ -93,9 +95,11 @@ def in_ranges(docs: DataFrame) -> DataFrame:
     Only splitters and first keys, at most ``MOST_RANGES`` numbers each, go through the driver.
     """
     rows = pick(docs, "doc_id", "text").select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text")
-    ranges = int(min(MOST_RANGES, max(1, rows.count() // RANGE_ROWS)))
+    rows_found = rows.count()
+    ranges = int(min(MOST_RANGES, max(1, rows_found // RANGE_ROWS)))
     shares = [i / ranges for i in range(1, ranges)]
-    cut = rows.agg(F.percentile_approx("key", shares, 20 * ranges)).first()[0] if shares else None
+    sample = rows.where(F.rand(SEED) * rows_found < ranges * SAMPLE_PER_RANGE)  # ranges say where rows go, never what comes out
+    cut = sample.agg(F.percentile_approx("key", shares, 20 * ranges)).first()[0] if shares else None
     splitters = np.unique(np.array(cut or [], np.int64))
 
     def place(key: pa.Array) -> np.ndarray:
