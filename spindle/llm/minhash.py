@@ -5,8 +5,9 @@
 2. Signatures are cut into ``BANDS`` bands of ``ROWS`` values; nodes that agree in a band meet in its bucket.
    A pair at the threshold meets in no bucket with a chance of (1 - 0.75**4)**32 = 5e-6.
 3. Candidates, in three passes; after each the links found merge nodes into components, and buckets within one
-   component are closed.  First every node is paired with one hub only, the node drawn by a hash among all that share a
-   bucket with it: at most one pair a node, however many buckets a large group shares.  Then every node of an open bucket
+   component are closed.  First every node is paired with one hub only, the node that meets most others of all that share a
+   bucket with it: at most one pair a node, however many buckets a large group shares, and in a group of near-copies
+   the hub is one in its middle, which most of the group links with.  Then every node of an open bucket
    is paired with that bucket's hub.  Last, only nodes of buckets that, without their hub, still hold several
    components are compared, and of their pairs only those that can reach the threshold: with every set in one order,
    rarest shingle first, a pair that reaches it must share a shingle among the first ``|A| - need + 1`` of A and the
@@ -265,9 +266,21 @@ def open_buckets(busy: DataFrame, root: DataFrame) -> DataFrame:
     return labelled.join(several.select("key"), "key")
 
 
+def meeting_rows(members: DataFrame) -> DataFrame:
+    """The rows of buckets with several nodes, with ``far``: minus the number of nodes its node meets, over its buckets.
+
+    In a group of near-copies the node that meets most is the one in its middle, least changed."""
+    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    met = members.join(size, "key")
+    far = met.groupBy("node").agg((-F.sum("n")).alias("far"))
+    return met.join(far, "node").select("key", "node", "far")
+
+
 def with_hubs(rows: DataFrame, draw: Column) -> DataFrame:
-    """Rows ``key, node, root`` with the bucket's hub, its node of least hash under the draw, as ``rank, hub, hub_root``."""
-    hub = F.struct(F.xxhash64(draw, "node").alias("rank"), F.col("node").alias("hub"), F.col("root").alias("hub_root"))
+    """Rows ``key, node, far, root`` with the bucket's hub as ``rank, hub, hub_root``: its node of least ``far``, of several
+    the one of least hash under the draw."""
+    rank = F.struct("far", F.xxhash64(draw, "node").alias("x")).alias("rank")
+    hub = F.struct(rank, F.col("node").alias("hub"), F.col("root").alias("hub_root"))
     return rows.join(rows.groupBy("key").agg(F.min(hub).alias("x")).select("key", "x.*"), "key")
 
 
@@ -289,10 +302,8 @@ def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         ),
         "mh-nodes",
     )
-    members = bucket_rows(nodes)
-    shared = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     # Buckets of one node are gone after this; the rest is written once and read by every round.
-    busy = stored(members.join(shared, "key").select("key", "node"), "mh-buckets")
+    busy = stored(meeting_rows(bucket_rows(nodes)), "mh-buckets")
 
     def linked(pairs: DataFrame, tag: str) -> DataFrame:
         likely = stored(bayes_filter(pairs, nodes), f"mh-likely-{tag}")
@@ -309,7 +320,7 @@ def placed_rows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     still = stored(with_hubs(open_buckets(busy, merged(links, "1")), F.pmod("key", F.lit(HUB_DRAWS))), "mh-still")
     links = links.unionByName(linked(pairs_of(still.where("root <> hub_root")), "2"))
     # The hub was compared with everyone in its bucket; the others are compared where they are in several components.
-    rest = open_buckets(still.where("node <> hub").select("key", "node"), merged(links, "2"))
+    rest = open_buckets(still.where("node <> hub").select("key", "node", "far"), merged(links, "2"))
     open_nodes = stored(rest.select("node", "root").distinct(), "mh-open")
     full = full_sets(open_nodes, nodes, docs, "open")
     likely = stored(bayes_filter(prefix_pairs(full, open_nodes), nodes), "mh-likely-open")
