@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from spindle.plans import oracle as orc
 from spindle.session import work_path
-from spindle.streaming.items import item_stream, run_bounded, run_running_state
+from spindle.streaming.items import item_stream, run_bounded, run_running_state, state_partitions
 
 COMPACT_EVERY = 10  # below the number of days, so snapshots are written and read
 
@@ -53,8 +53,8 @@ def q_stream_hh_summary(spark, sf):
     return s.select("processed", "n_distinct", "n_top", rnd("avg_err_cm"), rnd("avg_err_cs"))
 
 
-def day_stream(spark, sf):
-    """The user ids of ``events`` as a stream with one file per day and micro-batch, in the order of the days.
+def day_files(spark, sf):
+    """The folder of the user ids of ``events`` with one file per day, in the order of the days.
 
     The file source takes files by modification time, which is set to that order; events without a day come first.
     """
@@ -68,6 +68,11 @@ def day_stream(spark, sf):
     for i, day in enumerate(days):
         for file in fs.listStatus(day):
             fs.setTimes(file.getPath(), 1000 * (i + 1), -1)
+    return path
+
+
+def day_stream(spark, path):
+    """The user ids of ``day_files`` as a stream with one file, so one day, per micro-batch."""
     return item_stream(spark, path, "user_id", max_files_per_trigger=1)
 
 
@@ -75,14 +80,15 @@ def q_bounded_stream_run(spark, sf):
     """The log of a bounded run over the day stream: the batches taken before the threshold."""
     from spindle.plans.catalog import FAM, STREAM_T
 
-    run = run_bounded(day_stream(spark, sf), FAM, STREAM_T, timeout_s=600, trigger={"availableNow": True})
+    run = run_bounded(day_stream(spark, day_files(spark, sf)), FAM, STREAM_T, timeout_s=600, trigger={"availableNow": True})
     return run.sink.log(spark).select("batch_id", "size", "before")
 
 
 def q_stream_hh_summary_batches(spark, sf):
     from spindle.plans.catalog import FAM, HH_K, rnd
 
-    rs = run_running_state(day_stream(spark, sf), FAM, compact_every=COMPACT_EVERY)
+    path = day_files(spark, sf)
+    rs = run_running_state(day_stream(spark, path), FAM, compact_every=COMPACT_EVERY, partitions=state_partitions(spark, path))
     s = rs.report(FAM, HH_K).summary
     return s.select("processed", "n_distinct", "n_top", rnd("avg_err_cm"), rnd("avg_err_cs"))
 

@@ -23,6 +23,7 @@ the running total from the log.
 from __future__ import annotations
 
 import threading
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -42,6 +43,9 @@ from spindle.operators.sketch import (
 )
 from spindle.session import work_path
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+STATE_BYTES = 2 << 20  # of a replay's files for each partition of its state
+
 
 def item_stream(
     spark: SparkSession,
@@ -197,6 +201,26 @@ class RunningState:
         return hh
 
 
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, partitions: int | None):
+    before = spark.conf.get(SHUFFLE_PARTITIONS)
+    if partitions:
+        spark.conf.set(SHUFFLE_PARTITIONS, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, before)
+
+
+def state_partitions(spark: SparkSession, path: str) -> int:
+    """State partitions for a replay of the files under ``path``: one for each core, more where a partition would have
+    more than ``STATE_BYTES`` of them, never more than the session's shuffle partitions."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    least = max(spark.sparkContext.defaultParallelism, -(-fs.getContentSummary(jpath).getLength() // STATE_BYTES))
+    return min(least, int(spark.conf.get(SHUFFLE_PARTITIONS)))
+
+
 def start_running_state(
     lines: DataFrame,
     fam: HashFamily,
@@ -205,9 +229,13 @@ def start_running_state(
     trigger: dict | None = None,
     name: str | None = None,
     compact_every: int = 50,
+    partitions: int | None = None,
 ) -> RunningState:
     """Start the stateful query; ``trigger`` defaults to ``{"availableNow": True}``, use
-    ``{"processingTime": "100 milliseconds"}`` for an unbounded source."""
+    ``{"processingTime": "100 milliseconds"}`` for an unbounded source.
+
+    Every micro-batch commits every partition of the state, whatever its own size: ``partitions`` is their number, where
+    the session's number of shuffle partitions is not to be it.  A restart keeps the number it was started with."""
     spark = lines.sparkSession
     out_dir, checkpoint = _folders(spark, "stream-state", out_dir, checkpoint)
     agg = cells(lines, fam).groupBy("tag", "a", "b").agg(F.sum("v").cast("bigint").alias("v"))
@@ -216,7 +244,8 @@ def start_running_state(
     )
     if name:
         writer = writer.queryName(name)
-    q = writer.trigger(**(trigger or {"availableNow": True})).start()
+    with _shuffle_partitions(spark, partitions):  # the query runs in a copy of the session, taken at its start
+        q = writer.trigger(**(trigger or {"availableNow": True})).start()
     return RunningState(q, out_dir, spark)
 
 

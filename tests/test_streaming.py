@@ -35,6 +35,18 @@ def test_running_state_equals_batch(spark):
     assert _rows(freq) == _rows(sk.item_frequency(items))  # read anew
 
 
+def test_state_has_the_partitions_asked_for(spark, tmp_path):
+    from spindle.streaming import items
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    lines = item_stream(spark, SF001, "user_id", glob="events.parquet")
+    rs = run_running_state(lines, FAM, out_dir=f"{tmp_path}/out", partitions=3)
+    assert len([d for d in os.listdir(f"{tmp_path}/out-ckpt/state/0") if d.isdigit()]) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert _rows(rs.state()) == _rows(sk.cell_state(event_items(spark, SF001), FAM))
+    assert items.state_partitions(spark, SF001) <= int(before)
+
+
 def split_by_day(spark, directory):
     """Write one parquet folder per day (``day=...``) with increasing file times: one micro-batch per day."""
     ev = spark.read.parquet(f"{SF001}/events.parquet").withColumn("day", F.to_date("ts").cast("string"))
