@@ -22,6 +22,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -54,11 +55,7 @@ class ByteBPE:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
+        self.path = path
         spec = json.load(open(path, encoding="utf-8"))
         self.specials = [t["content"] for t in spec["added_tokens"]]
         self.special_re = re.compile("|".join(map(re.escape, self.specials))) if self.specials else None
@@ -66,6 +63,16 @@ class ByteBPE:
         self.text_of = [str(i) for i in range(len(self.bytes_of))]
         self.ranks = self._rank_encoding(spec)
 
+    @cached_property
+    def tok(self):
+        """The library's tokenizer, loaded where it is used; a worker that encodes by ranks does without."""
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(self.path)
+        tok.no_truncation()
+        tok.no_padding()
+        return tok
+
     def _byte_table(self, spec: dict) -> list[bytes]:
         """id -> bytes.  Byte-level vocabularies write a byte as its own Latin-1 character where that is printable,
         the others, in order, as the characters from U+0100 on."""

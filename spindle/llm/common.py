@@ -52,7 +52,9 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that one slice holds at most ``limit`` bytes of ``column`` (one row at least)."""
+    """The batches cut so that one slice holds at most ``limit`` bytes of ``column`` (one row at least).
+
+    After the last, what the task has freed goes back to the system: workers wait for their next task beside others."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -64,6 +66,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
             end = max(start + 1, int(np.searchsorted(total, before + limit, "right")))
             yield batch.slice(start, end - start)
             start = end
+    give_back()
 
 
 def give_back() -> None:
@@ -91,6 +94,11 @@ def process_cache(name: str, make: Callable[[], object], version: object = None)
     return home["value"]
 
 
+def empty_cache() -> None:
+    """Ends what a worker's last operator left in it, for a step that keeps nothing and needs the room."""
+    process_cache("", lambda: None)
+
+
 # ------------------------------------------------------------------------------------------------------------------
 # Word shingles
 # ------------------------------------------------------------------------------------------------------------------

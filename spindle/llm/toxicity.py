@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spindle.llm import rnn
-from spindle.llm.common import give_back, pick, process_cache, sheltered, slices, utf8, words_of
+from spindle.llm.common import empty_cache, give_back, pick, process_cache, sheltered, slices, utf8, words_of
 
 WINDOW, STRIDE = 32, 16
 PIECE, OVERLAP = 48, 16  # bytes
@@ -96,6 +96,7 @@ def training_windows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     sample = sample.unionByName(known.where("toxic = 0").orderBy(*order).limit(SAMPLE))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty_cache()
         for s in slices(batches, "text"):
             out = {"doc_id": [], "toxic": [], "start": [], "words": []}
             for doc_id, toxic, text in zip(s.column("doc_id").to_pylist(), s.column("toxic").to_pylist(), utf8(s, "text"), strict=True):
@@ -201,11 +202,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> bytes | None:
     """The fitted model, pickled, or None where the sample lacks a class."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty_cache()
         found = []
         for b in batches:
             found += zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "words", "toxic")), strict=True)
-        model = train(numbered(found))
+        sample = numbered(found)
         del found
+        model = train(sample)
+        del sample
         give_back()
         if model is not None:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])

@@ -89,6 +89,13 @@ def test_chains_links_and_passages(spark):
     same_rows(minhash.near_duplicates(df), brute_near(pairs), ["doc_id", "n_shingles", "component_id", "kept"])
 
 
+def test_hubs_are_the_nodes_that_meet_most(spark):
+    members = [(1, "a"), (1, "b"), (2, "b"), (2, "c"), (3, "b"), (3, "d"), (4, "e")]
+    rows = minhash.meeting_rows(spark.createDataFrame([(k, n.encode()) for k, n in members], "key BIGINT, node BINARY"))
+    hubs = minhash.with_hubs(rows.withColumn("root", rows.node), rows.key).collect()
+    assert {(r["key"], bytes(r["node"]), bytes(r["hub"])) for r in hubs} == {(k, n.encode(), b"b") for k, n in members[:-1]}
+
+
 def test_sequential_pruning_bounds():
     least = minhash.least_matches()
     assert len(least) == minhash.HASHES // minhash.BATCH and least == sorted(least)
@@ -321,6 +328,22 @@ def test_toxic_documents_are_learned_whole(spark, monkeypatch):
     assert len({r["doc_id"] for r in toxicity.training_windows(docs, labels).where("toxic = 1").collect()}) == 1
 
 
+def test_training_drops_what_other_operators_left_in_a_worker(docs, sf, monkeypatch):
+    import sys
+
+    from spindle.llm.common import process_cache
+
+    kernels, labels = [], docs.sparkSession.read.parquet(f"{sf}/labels.parquet")
+    run = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, kernel, *a: kernels.append(kernel) or run(df, kernel, *a))
+    toxicity.fit(docs.limit(0), labels)
+    assert len(kernels) == 2  # the windows, the model
+    for kernel in kernels:
+        process_cache("words", dict)
+        assert list(kernel(iter([]))) == []
+        assert sys.modules["_spindle_llm_cache"].value is None
+
+
 def test_units_cover_long_words():
     assert toxicity.units_of(b"a bc " + b"d" * 48) == [b"a", b"bc", b"d" * 48]
     for n in (49, 80, 81, 1000):

@@ -555,3 +555,12 @@ def test_process_cache_holds_one_object():
     assert get("a", 1) is first and made == [("a", 1)]
     assert get("a", 2) is not first and get("b") is get("b")
     assert get("a", 1) is not first and made == [("a", 1), ("a", 2), ("b", None), ("a", 1)]
+
+
+def test_a_worker_that_encodes_by_ranks_does_not_load_the_library():
+    from spindle.llm.bpe import ByteBPE, default_tokenizer
+
+    b = ByteBPE(default_tokenizer())
+    ids = b.encode(["some text, and some more"])
+    assert b.ranks is not None and "tok" not in vars(b)
+    assert [x.tolist() for x in ids] == [x.tolist() for x in b.encode_library(["some text, and some more"])]
