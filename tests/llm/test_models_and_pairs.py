@@ -89,6 +89,30 @@ def test_chains_links_and_passages(spark):
     same_rows(minhash.near_duplicates(df), brute_near(pairs), ["doc_id", "n_shingles", "component_id", "kept"])
 
 
+def test_pairs_of_a_large_group_grow_with_its_size(spark, monkeypatch):
+    """Copies of one text with a few changed words each: those near its middle meet there, so few pairs are left."""
+    rng = np.random.default_rng(7)
+    base = [f"b{i}" for i in range(150)]
+    texts = [" ".join(base)]
+    for i in range(240):
+        own = list(base)
+        for at in rng.choice(29, 2 + i % 4, replace=False):  # five shingles each; with up to four the middle is linked
+            own[5 * int(at) + 5] = f"e{i}_{at}"
+        texts.append(" ".join(own))
+    pairs = [(i, t) for i, t in enumerate(texts)]
+    listed = []
+    whole = minhash.bayes_filter
+
+    def counted(found, nodes):
+        listed.append(found.count())
+        return whole(found, nodes)
+
+    monkeypatch.setattr(minhash, "bayes_filter", counted)
+    df = spark.createDataFrame(pairs, "doc_id BIGINT, text STRING")
+    same_rows(minhash.near_duplicates(df), brute_near(pairs), ["doc_id", "n_shingles", "component_id", "kept"])
+    assert len(listed) == 3 and listed[0] <= len(texts) and listed[2] <= len(texts), listed
+
+
 def test_hubs_are_the_nodes_that_meet_most(spark):
     members = [(1, "a"), (1, "b"), (2, "b"), (2, "c"), (3, "b"), (3, "d"), (4, "e")]
     rows = minhash.meeting_rows(spark.createDataFrame([(k, n.encode()) for k, n in members], "key BIGINT, node BINARY"))
