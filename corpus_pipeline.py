@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spindle.llm.bpe import encode_digests
-from spindle.llm.common import pick, stored, table
+from spindle.llm.common import bounded_batches, pick, stored, table
 from spindle.llm.minhash import drop_near_duplicates
 from spindle.llm.mixing import mix_documents
 from spindle.llm.secret_scan import redact_secrets
@@ -29,14 +29,17 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return drop_toxic(pick(docs, *COLUMNS), table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return drop_near_duplicates(pick(docs, *COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return redact_secrets(pick(docs, *COLUMNS))
 
 
@@ -45,6 +48,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return encode_digests(docs)
 
 

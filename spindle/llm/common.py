@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spindle.session import work_path
 
 SLICE_BYTES = 4 << 20  # text handled at once by a Python kernel; a longer text is a slice of its own
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -41,6 +42,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts go to Python in Arrow batches of a slice's bytes, where the session does not say otherwise.
+
+    The default bounds a batch by 10,000 rows, which is tens of MB of texts in the JVM and in every worker."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, f"{SLICE_BYTES}b")
+
+
 def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written once as Parquet in the cluster's shared folder and read back.
 

@@ -15,6 +15,7 @@ WORD_ROWS, CHAR_ROWS = 1 << 17, 1 << 15
 WORD_DIM, CHAR_DIM = 4, 12
 HIDDEN, ATTENTION = 8, 8
 GRAMS = (4,)
+DESCRIBED = 20_000  # words described at once
 F32 = np.float32
 
 
@@ -32,7 +33,14 @@ class Words:
 
 
 def describe_words(words: list[bytes]) -> Words:
-    """Hash rows of words and of their character n-grams, vectorised over all words."""
+    """Hash rows of words and of their character n-grams, ``DESCRIBED`` words at once."""
+    parts = [_described(words[i : i + DESCRIBED]) for i in range(0, max(1, len(words)), DESCRIBED)]
+    counts = np.concatenate([p[2] for p in parts])
+    return Words(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.cumsum(counts) - counts)
+
+
+def _described(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash rows of words, the rows of their character n-grams one after the other, and each word's number of them."""
     import xxhash
 
     row = np.fromiter((xxhash.xxh32_intdigest(w) for w in words), np.uint32, len(words)) % np.uint32(WORD_ROWS)
@@ -58,7 +66,7 @@ def describe_words(words: list[bytes]) -> Words:
     order = np.argsort(who, kind="stable")
     grams = np.concatenate(found)[order].astype(np.int64)
     counts = np.bincount(who, minlength=len(words))
-    return Words(row.astype(np.int64), grams, np.cumsum(counts) - counts)
+    return row.astype(np.int64), grams, counts
 
 
 def new_parameters(seed: int) -> dict[str, np.ndarray]:

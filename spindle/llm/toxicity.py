@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import pickle
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -46,7 +46,7 @@ DECAY = 1e-4
 RATE = 0.01
 THRESHOLD = 0.7
 SEED = 11
-MEMO_WORDS = 100_000  # words whose inputs a worker remembers
+MEMO_WORDS = 50_000  # words whose inputs a worker remembers
 SCORE_BATCH = 1024  # windows scored at once
 SCORE_BYTES = 1 << 20  # text whose words a worker holds at once; a longer text is scored by itself
 
@@ -118,36 +118,83 @@ def training_windows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.mapInArrow(kernel, WINDOWS).distinct()
 
 
-def numbered(windows: list[tuple[int, int, bytes, int]]) -> list[tuple[int, int, list[bytes]]]:
-    """``document number, label, words`` of windows ``doc_id, start, words, label``, in a fixed order."""
-    windows, same = sorted(windows), {}
-    number = {d: i for i, d in enumerate(dict.fromkeys(w[0] for w in windows))}
-    return [(number[d], toxic, [same.setdefault(w, w) for w in words.split()]) for d, _, words, toxic in windows]
+class Numbers(dict):
+    """Word -> number in order of first appearance."""
+
+    def __init__(self):
+        super().__init__()
+        self.order: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self.order)
+        self.order.append(word)
+        return n
 
 
-def train(sample: list[tuple[int, int, list[bytes]]], epochs: int = EPOCHS, seed: int = SEED) -> dict | None:
+class Sample:
+    """A sample's windows as numbers of its words, from batches ``doc_id, toxic, start, words`` in that order of windows.
+
+    Read a slice at a time, so that its words are held once each and not once per window."""
+
+    def __init__(self, batches: Iterable[pa.RecordBatch]):
+        known = Numbers()
+        empty = known[b""]
+        docs, toxic, sizes, windows = [], [], [], [np.empty((0, WINDOW), np.int32)]
+        for s in slices(batches, "words", SCORE_BYTES):
+            words = [x.split() for x in s.column("words").to_pylist()]
+            size = np.array([len(x) for x in words], np.int32)
+            numbers = np.full((len(words), WINDOW), empty, np.int32)
+            numbers[np.arange(WINDOW) < size[:, None]] = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int32, size.sum())
+            windows.append(numbers)
+            sizes.append(size)
+            docs.append(s.column("doc_id").to_numpy(zero_copy_only=False))
+            toxic.append(s.column("toxic").to_numpy(zero_copy_only=False))
+        self.words = sorted(known)  # the empty word comes first
+        place = np.empty(len(known), np.int32)
+        place[[known[w] for w in self.words]] = np.arange(len(known), dtype=np.int32)
+        del known
+        # the last window is empty, and clean
+        self.windows = np.concatenate([*windows, np.full((1, WINDOW), empty, np.int32)])
+        for i in range(0, len(self.windows), SCORE_BATCH):
+            self.windows[i : i + SCORE_BATCH] = place[self.windows[i : i + SCORE_BATCH]]
+        self.size = np.concatenate([*sizes, [0]])
+        self.y = np.concatenate([*toxic, [0]]).astype(rnn.F32)
+        doc = np.concatenate([np.empty(0, np.int64), *docs])
+        self.by_doc = np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1)
+
+    def both(self) -> bool:
+        """Whether both classes are there."""
+        return set(self.y[:-1].tolist()) == {0, 1}
+
+    def mask(self, at: slice | np.ndarray) -> np.ndarray:
+        return (np.arange(WINDOW) < self.size[at][:, None]).astype(rnn.F32)
+
+
+def train(sample: Sample, epochs: int = EPOCHS, seed: int = SEED) -> dict | None:
     """The fitted model, or None where the sample lacks a class."""
-    label_of = {d: y for d, y, _ in sample}
-    if set(label_of.values()) != {0, 1}:
+    if not sample.both():
         return None
-    vocabulary = {w: i for i, w in enumerate(sorted({w for _, _, ws in sample for w in ws} | {b""}))}
-    words = rnn.describe_words(list(vocabulary))
-    windows = np.zeros((len(sample) + 1, WINDOW), np.int64)
-    mask = np.zeros(windows.shape, rnn.F32)
-    for i, (_, _, ws) in enumerate(sample):
-        windows[i, : len(ws)] = [vocabulary[w] for w in ws]
-        mask[i, : len(ws)] = 1
-    doc = np.array([d for d, _, _ in sample])
-    y = np.array([label_of[d] for d in doc] + [0], rnn.F32)  # the last window is empty, and clean
-    by_doc = np.split(np.arange(len(doc)), np.flatnonzero(np.diff(doc)) + 1)  # the sample is in document order
+    windows, by_doc, y = sample.windows, sample.by_doc, sample.y
+    last = len(windows) - 1
+    words = rnn.describe_words(sample.words)
+    sample.words = None
     rng = np.random.default_rng(seed)
     p = rnn.new_parameters(seed)
     adam = rnn.Adam(p, DECAY)
 
+    met, place = np.zeros(len(words.row), bool), np.zeros(len(words.row), np.int64)
+
     def logits_of_all() -> np.ndarray:
-        inputs = rnn.word_inputs(p, rnn.word_vectors(p, words))
-        cuts = range(0, len(windows), SCORE_BATCH)
-        return np.concatenate([rnn.forward(p, inputs, windows[i : i + SCORE_BATCH], mask[i : i + SCORE_BATCH]) for i in cuts])
+        out = np.empty(len(windows), rnn.F32)
+        for i in range(0, len(windows), SCORE_BATCH):
+            at = slice(i, i + SCORE_BATCH)
+            met[:] = False
+            met[windows[at]] = True
+            used = np.flatnonzero(met)
+            place[used] = np.arange(len(used))
+            inputs = rnn.word_inputs(p, rnn.word_vectors(p, subset(words, used)))
+            out[at] = rnn.forward(p, inputs, place[windows[at]], sample.mask(at))
+        return out
 
     for epoch in range(epochs):
         if epoch < 2:
@@ -158,7 +205,7 @@ def train(sample: list[tuple[int, int, list[bytes]]], epochs: int = EPOCHS, seed
             for own in by_doc:
                 top = own[np.argmax(now[own])]
                 chosen.append([top] if y[top] else [top, rng.choice(own)])
-        take = np.append(np.concatenate(chosen), len(sample))
+        take = np.append(np.concatenate(chosen), last)
         positive = max(1.0, float(y[take].sum()))
         weight = np.where(y[take] > 0, (len(take) - positive) / positive, 1.0).astype(rnn.F32)
         order = rng.permutation(len(take))
@@ -170,7 +217,7 @@ def train(sample: list[tuple[int, int, list[bytes]]], epochs: int = EPOCHS, seed
             seen = np.ones((len(used), rnn.WORD_DIM + rnn.CHAR_DIM), rnn.F32)
             seen[:, : rnn.WORD_DIM] = (rng.random(len(used)) >= WORD_DROPOUT)[:, None] / (1 - WORD_DROPOUT)
             vectors = rnn.word_vectors(p, sub) * seen
-            logits, kept = rnn.forward(p, rnn.word_inputs(p, vectors), local, mask[at], keep=True)
+            logits, kept = rnn.forward(p, rnn.word_inputs(p, vectors), local, sample.mask(at), keep=True)
             d = (rnn.sigmoid(logits) - y[at]) * weight[order[i : i + BATCH]] / len(at)
             g = rnn.backward(p, sub, vectors, seen, local, kept, d.astype(rnn.F32))
             adam.apply(g, RATE * (1 - epoch / epochs))
@@ -203,18 +250,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> bytes | None:
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         empty_cache()
-        found = []
-        for b in batches:
-            found += zip(*(b.column(c).to_pylist() for c in ("doc_id", "start", "words", "toxic")), strict=True)
-        sample = numbered(found)
-        del found
-        model = train(sample)
-        del sample
+        model = train(Sample(batches))
         give_back()
         if model is not None:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
-    fitted = training_windows(docs, labels).repartition(1).mapInArrow(kernel, "model BINARY").collect()
+    fitted = training_windows(docs, labels).repartition(1).sortWithinPartitions("doc_id", "start", "words").mapInArrow(kernel, "model BINARY").collect()
     return bytes(fitted[0]["model"]) if fitted else None
 
 
@@ -223,39 +264,30 @@ def fit(docs: DataFrame, labels: DataFrame) -> bytes | None:
 # ------------------------------------------------------------------------------------------------------------------
 
 
-class Numbers(dict):
-    """Word -> number in order of first appearance."""
-
-    def __init__(self):
-        super().__init__()
-        self.order: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        n = self[word] = len(self.order)
-        self.order.append(word)
-        return n
-
-
 class Scorer:
     """A model with the inputs of the words met so far."""
 
     def __init__(self, model: dict):
         self.model, self.p = model, model["p"]
+        self.forget()
+
+    def forget(self) -> None:
         self.known = Numbers()
-        self.inputs = np.zeros((2, 0, 3 * rnn.HIDDEN), rnn.F32)
+        self.inputs = np.empty((2, MEMO_WORDS, 3 * rnn.HIDDEN), rnn.F32)  # memory is taken as words fill it
 
     def number(self, words: Iterator[bytes], n: int) -> np.ndarray:
         """Numbers of words; those not met before get their inputs."""
         if len(self.known) > MEMO_WORDS:
-            self.known, self.inputs = Numbers(), self.inputs[:, :0]
+            self.forget()
         before = len(self.known)
         out = np.fromiter(map(self.known.__getitem__, words), np.int64, n)
-        new = self.known.order[before:]
-        fresh = [
-            rnn.word_inputs(self.p, rnn.word_vectors(self.p, rnn.describe_words(new[i : i + 20_000])))
-            for i in range(0, len(new), 20_000)
-        ]
-        self.inputs = np.concatenate([self.inputs, *fresh], axis=1)
+        if len(self.known) > self.inputs.shape[1]:
+            larger = np.empty((2, 2 * len(self.known), 3 * rnn.HIDDEN), rnn.F32)
+            larger[:, :before] = self.inputs[:, :before]
+            self.inputs = larger
+        for i in range(before, len(self.known), rnn.DESCRIBED):
+            new = self.known.order[i : i + rnn.DESCRIBED]
+            self.inputs[:, i : i + len(new)] = rnn.word_inputs(self.p, rnn.word_vectors(self.p, rnn.describe_words(new)))
         return out
 
     def logits(self, texts: list[bytes]) -> np.ndarray:

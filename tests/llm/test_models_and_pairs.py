@@ -368,6 +368,82 @@ def test_training_drops_what_other_operators_left_in_a_worker(docs, sf, monkeypa
         assert sys.modules["_spindle_llm_cache"].value is None
 
 
+def window_batches(rows):
+    import pyarrow as pa
+
+    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("start", pa.int64()), ("words", pa.binary())])
+    return [pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in part], schema) for part in rows]
+
+
+def test_sample_holds_each_word_once():
+    rows = [(3, 1, 0, b"b a"), (3, 1, 16, b"a c a"), (5, 0, 0, b"")], [(9, 0, 0, b"c z")]
+    sample = toxicity.Sample(iter(window_batches(rows)))
+    assert sample.words == [b"", b"a", b"b", b"c", b"z"] and sample.both()
+    assert [w[:n].tolist() for w, n in zip(sample.windows, sample.size, strict=True)] == [[2, 1], [1, 3, 1], [], [3, 4], []]
+    assert sample.mask(slice(None)).sum(axis=1).tolist() == [2, 3, 0, 2, 0] and not sample.windows[2].any()
+    assert sample.y.tolist() == [1, 1, 0, 0, 0] and [x.tolist() for x in sample.by_doc] == [[0, 1], [2], [3]]
+    nothing = toxicity.Sample(iter([]))
+    assert not nothing.both() and len(nothing.windows) == 1
+    assert toxicity.train(toxicity.Sample(iter(window_batches(rows[1:])))) is None
+
+
+def test_training_needs_little_beside_its_sample():
+    """20,000 windows with 160,000 words: what training holds at most, counted by Python."""
+    import tracemalloc
+
+    batches = window_batches([[(i // 10, i // 10 % 2, i % 10 * 16, b" ".join(b"word%d" % ((i * 8 + j) % 160_000) for j in range(32))) for i in range(20_000)]])
+    tracemalloc.start()
+    try:
+        model = toxicity.train(toxicity.Sample(iter(batches)), epochs=1)
+        assert model is not None and tracemalloc.get_traced_memory()[1] < 90 << 20
+    finally:
+        tracemalloc.stop()
+
+
+def test_words_are_described_in_pieces(monkeypatch):
+    words = [b"", b"alpha", b"be", b"gamma", b"delta-epsilon"]
+    whole = rnn.describe_words(words)
+    monkeypatch.setattr(rnn, "DESCRIBED", 2)
+    parts = rnn.describe_words(words)
+    for name in ("row", "grams", "start", "count"):
+        assert getattr(whole, name).tolist() == getattr(parts, name).tolist()
+
+
+def test_memo_of_words_grows_and_starts_anew(monkeypatch):
+    model = {"p": rnn.new_parameters(2), "shift": 0.0, "scale": 1.0}
+    texts = [b"one two three", b"four five", b"six seven eight nine ten eleven", b"", b"one two"]
+    want = toxicity.Scorer(model).logits(texts)
+    monkeypatch.setattr(toxicity, "MEMO_WORDS", 3)
+    small = toxicity.Scorer(model)
+    assert np.allclose(small.logits(texts), want) and len(small.known) > 3
+    assert np.allclose([small.logits([t])[0] for t in texts], want)
+
+
+def test_stages_hand_texts_over_in_batches_of_bounded_bytes(spark, sf):
+    import corpus_pipeline
+    import pyarrow as pa
+
+    from spindle.llm import common
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], ["size"])
+
+    texts = spark.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "repeat('x', 10000) AS text", "'en' AS lang", "'a' AS source", "10000L AS n_chars")
+    before = spark.conf.get(common.BATCH_BYTES, None)
+    try:
+        for stage in (corpus_pipeline.toxicity, corpus_pipeline.near_dedup, corpus_pipeline.secrets, corpus_pipeline.bpe):
+            spark.conf.unset(common.BATCH_BYTES)
+            stage(spark, texts.limit(0), sf)
+            found = [r["size"] for r in texts.mapInArrow(sizes, "size BIGINT").collect()]
+            assert sum(found) > 2000 * 10_000 and max(found) < common.SLICE_BYTES + 200_000
+        spark.conf.set(common.BATCH_BYTES, "7m")  # what the session says holds
+        corpus_pipeline.secrets(spark, texts.limit(0), sf)
+        assert spark.conf.get(common.BATCH_BYTES) == "7m"
+    finally:
+        spark.conf.set(common.BATCH_BYTES, before) if before else spark.conf.unset(common.BATCH_BYTES)
+
+
 def test_units_cover_long_words():
     assert toxicity.units_of(b"a bc " + b"d" * 48) == [b"a", b"bc", b"d" * 48]
     for n in (49, 80, 81, 1000):
